@@ -1,0 +1,25 @@
+"""Broadcast only what was measured."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Measure a side that is expected to be small: its rows and its bytes as text."""
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    n, length = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length(text)), F.lit(0))).first()
+    return n <= rows and length <= size
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Hint a broadcast when the measured size allows it.
+
+    Otherwise the side stays as it is: Spark then shuffles both sides and splits skewed
+    partitions at run time.
+    """
+    return F.broadcast(df) if is_small(df) else df

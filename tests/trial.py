@@ -1,0 +1,23 @@
+"""Run registered queries by hand: python tests/trial.py <sf> [name ...]"""
+
+import sys
+import time
+
+sys.path.insert(0, "/root/repo")
+from tests.conftest import build_session  # noqa: E402
+
+from changelake.queries.registry import QUERIES  # noqa: E402
+
+if __name__ == "__main__":
+    spark = build_session()
+    sf = f"/root/testdata/sf{sys.argv[1]}"
+    for name in sys.argv[2:] or QUERIES:
+        start = time.time()
+        try:
+            df = QUERIES[name](spark, sf)
+            rows = df.collect()
+            print(f"{name}: {len(rows)} rows, {time.time() - start:.2f}s", df.dtypes)
+            for r in rows[:2]:
+                print("   ", tuple(r))
+        except Exception as e:  # noqa: BLE001
+            print(f"{name}: FAILED {type(e).__name__} {str(e)[:700]}")
