@@ -97,7 +97,7 @@ def resolve_relation(
     slim = relations.select(
         "stream_id", "rel_oid", "seq", "rel_namespace", "rel_table", "rel_columns"
     )
-    if is_small(slim) and _most_versions(slim) <= BROADCAST_VERSIONS:
+    if is_small(slim, ["stream_id", "rel_oid"], BROADCAST_VERSIONS):
         resolved = changes.join(
             F.broadcast(relation_versions(slim)),
             (F.col("stream_id") == F.col("_stream"))
@@ -128,11 +128,6 @@ def resolve_relation(
     )
 
 
-def _most_versions(relations: DataFrame) -> int:
-    per_oid = relations.groupBy("stream_id", "rel_oid").count()
-    return per_oid.agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
-
-
 def tuple_to_columns(values: Column, names: Column) -> Column:
     """Tuple values as a map of column name to text.
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_WIDTH = 262_144
+BLOCK_WIDTH = 65_536
 
 
 def _block(order: str, width: int) -> Column:

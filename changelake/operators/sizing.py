@@ -9,11 +9,26 @@ BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Measure a side that is expected to be small: its rows and its bytes as text."""
+def is_small(
+    df: DataFrame,
+    keys: list[str] | None = None,
+    per_key: int | None = None,
+    rows: int = BROADCAST_ROWS,
+    size: int = BROADCAST_BYTES,
+) -> bool:
+    """Measure a side that is expected to be small: its rows and its bytes as text.
+
+    With `keys`, also that no key has more than `per_key` rows. One pass over the side.
+    """
     text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
-    n, length = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length(text)), F.lit(0))).first()
-    return n <= rows and length <= size
+    part = df.groupBy(keys or []).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length(text)), F.lit(0)).alias("b")
+    )
+    if keys:
+        part = part.agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.max("n").alias("most"))
+    found = part.first()
+    most = (found.most or 0) if keys else 0
+    return (found.n or 0) <= rows and (found.b or 0) <= size and most <= (per_key or 0)
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:

@@ -10,27 +10,36 @@ from changelake.operators.changes import is_change
 from changelake.operators.ordered import BLOCK_WIDTH, nearest_markers
 
 
-def assemble_transactions(log: DataFrame, width: int = BLOCK_WIDTH) -> DataFrame:
+def assemble_transactions(
+    log: DataFrame, changes: DataFrame | None = None, width: int = BLOCK_WIDTH
+) -> DataFrame:
     """Row changes of committed transactions, with the transaction they belong to.
 
     A change is committed when the closest BEGIN or COMMIT before it is a BEGIN and the closest
     one after it is a COMMIT. The others are held back: their COMMIT has not been seen, or the
     transaction was started over. Adds `tx_xid`, `commit_seq` and `commit_lsn`.
+
+    `changes` may hold the row changes of the log already resolved and filtered, so that only
+    those are shuffled; otherwise they are taken from the log.
     """
-    control = nearest_markers(
-        log,
+    if changes is None:
+        changes = log.filter(is_change())
+    is_control = F.col("msg_type").isin("B", "C")
+    control = log.filter(is_control).select("stream_id", "seq", "lsn", "msg_type", "xid")
+    placed = nearest_markers(
+        changes.unionByName(control, allowMissingColumns=True),
         ["stream_id"],
         "seq",
-        marker=F.col("msg_type").isin("B", "C"),
+        marker=is_control,
         value=F.struct("msg_type", "xid", "seq", "lsn"),
         before="_begin",
         after="_commit",
         width=width,
     )
-    return control.filter(
+    return placed.filter(
         is_change() & (F.col("_begin.msg_type") == "B") & (F.col("_commit.msg_type") == "C")
     ).select(
-        *log.columns,
+        *changes.columns,
         F.col("_begin.xid").alias("tx_xid"),
         F.col("_commit.seq").alias("commit_seq"),
         F.col("_commit.lsn").alias("commit_lsn"),

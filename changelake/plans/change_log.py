@@ -19,13 +19,14 @@ def committed_changes(
     earlier: DataFrame | None = None,
     width: int = BLOCK_WIDTH,
 ) -> DataFrame:
-    """Committed row changes of the target tables, with table name, operation and time."""
-    committed = assemble_transactions(log, width)
-    relations = log.filter(F.col("msg_type") == "R")
-    if earlier is not None:
-        relations = relations.unionByName(earlier)
-    changes = target_filter(resolve_relation(committed, relations, width), targets)
-    return add_cdc_metadata(changes, change_operation(), ingest_ts)
+    """Committed row changes of the target tables, with table name, operation and time.
+
+    Naming the tables and dropping what is not wanted needs no shuffle, so it comes before the
+    transactions, which need one.
+    """
+    wanted = target_filter(resolve_relation(log, earlier, width), targets)
+    committed = assemble_transactions(log, wanted, width)
+    return add_cdc_metadata(committed, change_operation(), ingest_ts)
 
 
 def table_changes(changes: DataFrame, table: str, fields: list[Field]) -> DataFrame:

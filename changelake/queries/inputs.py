@@ -101,40 +101,37 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         item(t, F.col("o_orderstatus")),
     )
 
-    def message(step: int, letter: Column, **values: Column) -> Column:
-        return F.struct(
-            *[
-                (
-                    F.lit("s1") if f.name == "stream_id"
-                    else key * 4 + step if f.name == "seq"
-                    else lsn_text(key) if f.name == "lsn"
-                    else letter if f.name == "msg_type"
-                    else key if f.name == "xid"
-                    else F.col("o_orderdate").cast("timestamp") if f.name == "ts"
-                    else values.get(f.name, F.lit(None)).cast(f.dataType)
-                ).alias(f.name)
-                for f in MESSAGE_SCHEMA.fields
-            ]
-        )
+    def message(seq: Column, letter: Column | str, **values: Column) -> list[Column]:
+        values |= {
+            "stream_id": F.lit("s1"),
+            "seq": seq,
+            "lsn": lsn_text(key),
+            "msg_type": F.lit(letter) if isinstance(letter, str) else letter,
+            "xid": key,
+            "ts": F.col("o_orderdate").cast("timestamp"),
+        }
+        return [
+            values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in MESSAGE_SCHEMA.fields
+        ]
 
     change = message(
-        1,
+        key * 4 + 1,
         kind,
         rel_oid=key % 3 + 16384,
         new_tuple=F.when(kind != "D", whole),
         old_tuple=F.when(kind == "U", F.array(key_item)).when(kind == "D", whole),
     )
-    messages = F.array(
-        message(0, F.lit("B")), change, F.when(key < last, message(2, F.lit("C")))
+    # One branch per message type: a filter on the type drops the other branches, as it would
+    # skip the row groups of a landed log.
+    return (
+        orders.select(change)
+        .unionByName(orders.select(message(key * 4, "B")))
+        .unionByName(orders.filter(key < last).select(message(key * 4 + 2, "C")))
+        .unionByName(orders.filter(key == last).select(message(key * 4 + 6, "T")))
+        .unionByName(orders.filter(key == last).select(message(key * 4 + 7, "Y")))
+        .unionByName(relations(spark), allowMissingColumns=True)
     )
-    # The odd messages come once, after the last order; seq grows with the table.
-    odd = F.when(
-        key == last, F.array(message(6, F.lit("T")), message(7, F.lit("Y")))
-    ).otherwise(F.array())
-    log = orders.select(F.explode(F.concat(messages, odd)).alias("m")).filter(
-        F.col("m").isNotNull()
-    ).select("m.*")
-    return log.unionByName(relations(spark), allowMissingColumns=True)
 
 
 def relations(spark: SparkSession) -> DataFrame:

@@ -28,7 +28,7 @@ from changelake.operators.catalog import CDC
 from changelake.operators.changes import MESSAGE_SCHEMA
 from changelake.operators.progress import sync_counts
 from changelake.operators.records import split_rejects
-from changelake.operators.sizing import broadcast_if_small
+from changelake.operators.sizing import BROADCAST_ROWS
 from changelake.operators.transactions import last_commits
 from changelake.plans.change_log import committed_changes, table_changes
 from changelake.plans.config import CHECKPOINT_INTERVAL_MS, Destination
@@ -102,23 +102,26 @@ def change_cdc(
         """Messages up to the last commit of their stream; writes the state of this batch."""
         before = state.read(spark, "commits", number - 1, COMMITS)
         known = state.read(spark, "relations", number - 1, MESSAGE_SCHEMA)
-        current = last_commits(batch)
+        # One row per stream, a handful: commits are planned with on the driver.
         known_commits = {r.stream_id: r for r in before.collect()}
-        new_commits = {r.stream_id: r for r in current.collect()}
+        new_commits = {r.stream_id: r for r in last_commits(batch).collect()}
         open_batches = [r.held_from for r in known_commits.values() if r.held_from is not None]
 
         everything = batch.withColumn("batch", F.lit(number).cast("bigint"))
         if new_commits and open_batches:
             everything = everything.unionByName(state.held(spark, min(open_batches), number - 1))
-        cut = broadcast_if_small(
-            before.select("stream_id", F.col("commit_seq").alias("_old"))
-            .join(
-                current.select("stream_id", F.col("commit_seq").alias("_new")),
-                "stream_id",
-                "full_outer",
+        cut = [
+            (
+                stream_id,
+                known_commits[stream_id].commit_seq if stream_id in known_commits else None,
+                new_commits[stream_id].commit_seq if stream_id in new_commits else None,
             )
-        )
-        placed = everything.join(cut, "stream_id", "left").filter(
+            for stream_id in {*known_commits, *new_commits}
+        ]
+        cut_frame = spark.createDataFrame(cut, "stream_id string, _old bigint, _new bigint")
+        if len(cut) <= BROADCAST_ROWS:
+            cut_frame = F.broadcast(cut_frame)
+        placed = everything.join(cut_frame, "stream_id", "left").filter(
             F.col("_old").isNull() | (F.col("seq") > F.col("_old"))
         )
         is_ready = F.coalesce(F.col("seq") <= F.col("_new"), F.lit(False))
