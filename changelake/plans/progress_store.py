@@ -13,6 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changelake.functions.positions import parse_lsn
 from changelake.operators.progress import (
     OFFSET_SCHEMA,
     STREAM_SCHEMA,
@@ -117,15 +118,13 @@ class ProgressStore:
 STATE_JSON = (
     "streams map<string, struct<sync_mode: string, last_lsn: string, "
     "full_load_completed: boolean, full_load_chunks_done: int, full_load_chunks_total: int, "
-    "last_sync_time: timestamp, kafka_offsets: map<string, map<int, bigint>>>>, "
+    "last_sync_time: timestamp, kafka_offsets: map<string, map<string, bigint>>>>, "
     "global_lsn string"
 )
 
 
 def read_state_json(spark: SparkSession, path: str) -> Progress:
     """Progress from a state document: streams by id, offsets by topic and partition."""
-    from changelake.functions.positions import parse_lsn
-
     state = spark.read.schema(STATE_JSON).option("multiLine", True).json(path)
     entries = state.select(F.explode("streams").alias("stream_id", "s"))
     streams = entries.select(
@@ -146,5 +145,6 @@ def read_state_json(spark: SparkSession, path: str) -> Progress:
     offsets = (
         entries.select("stream_id", F.explode("s.kafka_offsets").alias("topic", "p"))
         .select("stream_id", "topic", F.explode("p").alias("partition", "last_offset"))
+        .withColumn("partition", F.col("partition").cast("int"))
     )
     return Progress(streams.unionByName(overall, allowMissingColumns=True), offsets)
