@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,9 +15,19 @@ ARRAY_ELEMENT = r'"(?:[^"\\]|\\.)*"|[^,"{}\s][^,"{}]*'
 ARRAY_LITERAL = r'^\{(?:(?:' + ARRAY_ELEMENT + r')(?:,\s*(?:' + ARRAY_ELEMENT + r'))*)?\}$'
 
 
-def _integer(text: Column, kind) -> Column:
-    # Plain integers take the short way; 3.7 and 1e3 go through a decimal and lose the fraction.
-    return F.coalesce(text.try_cast(kind), text.try_cast("decimal(38,18)").try_cast(kind))
+# Bounds just outside each integer type.
+_OUTSIDE = {
+    "INT32": (Decimal(-(2**31) - 1), Decimal(2**31)),
+    "INT64": (Decimal(-(2**63) - 1), Decimal(2**63)),
+}
+
+
+def _integer(text: Column, canonical: str) -> Column:
+    # By way of a decimal, so that 3.7 and 1e3 count. The bounds are tested instead of tried,
+    # because a failing cast is slow.
+    number = text.try_cast("decimal(38,18)")
+    below, above = _OUTSIDE[canonical]
+    return F.when((number > below) & (number < above), number.cast(SPARK_TYPES[canonical]))
 
 
 def _boolean(text: Column) -> Column:
@@ -52,7 +63,7 @@ def _array(text: Column) -> Column:
 def cast_text(text: Column, canonical: str) -> Column:
     """One text column as one canonical type."""
     if canonical in ("INT32", "INT64"):
-        return _integer(text, SPARK_TYPES[canonical])
+        return _integer(text, canonical)
     if canonical == "BOOLEAN":
         return _boolean(text)
     if canonical == "BYTES":

@@ -134,6 +134,25 @@ def tuple_to_columns(values: Column, names: Column) -> Column:
     The i-th value gets the i-th name, or `col_<i>` where there is none. Null and unchanged
     values are null; a value of an unknown kind is left out. Of equal names the last counts.
     """
+    # Nearly always the kinds are known and the names differ: one pass over the values.
+    n, known = F.size(values), F.coalesce(F.size(names), F.lit(0))
+    texts = F.transform(values, lambda v: F.when(v["kind"] == "t", v["text"]))
+    extra = F.when(
+        n > known,
+        F.transform(
+            F.sequence(known, n - 1), lambda i: F.concat(F.lit("col_"), i.cast("string"))
+        ),
+    )
+    keys = (
+        F.when(n == known, names)
+        .when(n < known, F.slice(names, 1, n))
+        .when(known == 0, extra)
+        .otherwise(F.concat(names, extra))
+    )
+    plain = ~F.exists(
+        values, lambda v: ~F.coalesce(v["kind"].isin("n", "u", "t"), F.lit(False))
+    ) & ~F.coalesce(F.arrays_overlap(names, extra), F.lit(False))
+
     named = F.transform(
         values,
         lambda v, i: F.struct(
@@ -143,18 +162,16 @@ def tuple_to_columns(values: Column, names: Column) -> Column:
         ),
     )
     kept = F.filter(named, lambda e: e["kind"].isin("n", "u", "t"))
-    unique = F.filter(
+    last_of_name = F.filter(
         kept,
         lambda e, i: ~F.exists(
             F.slice(kept, i + 2, F.size(kept)), lambda later: later["key"] == e["key"]
         ),
     )
-    entries = F.when(
-        F.size(F.array_distinct(F.transform(kept, lambda e: e["key"]))) == F.size(kept), kept
-    ).otherwise(unique)
-    return F.map_from_entries(
-        F.transform(entries, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+    entries = F.transform(
+        last_of_name, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))
     )
+    return F.when(plain, F.map_from_arrays(keys, texts)).otherwise(F.map_from_entries(entries))
 
 
 def before_after(changes: DataFrame) -> DataFrame:
@@ -176,8 +193,10 @@ def row_image(changes: DataFrame) -> DataFrame:
     return changes.withColumn("image", F.coalesce("after", "before"))
 
 
-def target_filter(changes: DataFrame, targets: DataFrame) -> DataFrame:
-    """Keep the changes of the tables listed in `targets.table_name`."""
+def target_filter(changes: DataFrame, targets: DataFrame | list[str]) -> DataFrame:
+    """Keep the changes of the target tables: a list of names, or a frame with `table_name`."""
+    if not isinstance(targets, DataFrame):
+        return changes.filter(F.col("table_name").isin(list(targets)))
     names = targets.select("table_name").distinct()
     return changes.join(broadcast_if_small(names), "table_name", "left_semi")
 

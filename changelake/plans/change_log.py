@@ -14,7 +14,7 @@ from changelake.operators.transactions import assemble_transactions
 
 def committed_changes(
     log: DataFrame,
-    targets: DataFrame,
+    targets: DataFrame | list[str],
     ingest_ts: Column,
     earlier: DataFrame | None = None,
     width: int = BLOCK_WIDTH,

@@ -96,7 +96,7 @@ def change_cdc(
     generation = store.generation(spark)
     folder = store.folder(spark)
     state = _State(f"{folder}/cdc")
-    targets = spark.createDataFrame([(t,) for t in tables], "table_name string")
+    targets = list(tables)
 
     def ready_changes(batch: DataFrame, number: int, now) -> tuple[DataFrame, DataFrame] | None:
         """Messages up to the last commit of their stream; writes the state of this batch."""
