@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from changelake.functions.types import Field
 from changelake.operators.catalog import FULL_LOAD_CDC
 from changelake.sinks import parquet, tables
+from changelake.session import small_frame
 
 # Namespace and checkpoint settings used where none are given.
 TABLE_NAMESPACE = "cdc_db"
@@ -52,7 +53,7 @@ def catalog_frame(spark: SparkSession, streams: list[Stream]) -> DataFrame:
         )
         for s in streams
     ]
-    return spark.createDataFrame(rows, CATALOG_SCHEMA)
+    return small_frame(spark, rows, CATALOG_SCHEMA)
 
 
 @dataclass(frozen=True)

@@ -13,6 +13,7 @@ from changelake.operators.progress import STREAM_SCHEMA
 from changelake.operators.records import add_cdc_metadata, enforce_required, fail_on_rejects
 from changelake.plans.config import Destination
 from changelake.plans.progress_store import ProgressStore
+from changelake.session import small_frame
 
 # Ranges that are read, written and recorded together. Many, so that one wave fills a cluster.
 CHUNKS_PER_WAVE = 2000
@@ -55,6 +56,6 @@ def full_load(
         update = [
             (table, "full_load", None, None, completed, last + 1, chunks.count, ingest_ts)
         ]
-        store.update(spark, streams=spark.createDataFrame(update, STREAM_SCHEMA))
+        store.update(spark, streams=small_frame(spark, update, STREAM_SCHEMA))
         read += last - first + 1
     return read

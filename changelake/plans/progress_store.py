@@ -21,6 +21,7 @@ from changelake.operators.progress import (
     merge_streams,
 )
 from changelake.sinks import folders
+from changelake.session import small_frame
 
 # Position that holds for all streams together.
 GLOBAL = "_global"
@@ -35,7 +36,7 @@ class Progress(NamedTuple):
 def empty_progress(spark: SparkSession) -> Progress:
     """Progress of a source that was never read."""
     return Progress(
-        spark.createDataFrame([], STREAM_SCHEMA), spark.createDataFrame([], OFFSET_SCHEMA)
+        small_frame(spark, [], STREAM_SCHEMA), small_frame(spark, [], OFFSET_SCHEMA)
     )
 
 

@@ -18,6 +18,7 @@ from changelake.sources.changelog import change_log, change_log_stream
 from changelake.sources.tables import fields_by_table
 from changelake.streaming.change_cdc import change_cdc
 from changelake.streaming.topic_cdc import topic_cdc, utc_now
+from changelake.session import small_frame
 
 
 def start_position(
@@ -35,14 +36,14 @@ def start_position(
     last = last_commits(log).agg(F.max("last_position")).first()[0]
     position = -1 if last is None else last
     row = [(noted, None, None, position, None, None, None, now)]
-    store.update(spark, streams=spark.createDataFrame(row, STREAM_SCHEMA))
+    store.update(spark, streams=small_frame(spark, row, STREAM_SCHEMA))
     return position
 
 
 def sync(
     spark: SparkSession,
     source,
-    messages: str | DataFrame | None,
+    messages: str | None,
     destination: Destination,
     streams: list[Stream],
     store: ProgressStore,
@@ -51,6 +52,7 @@ def sync(
     chunks_per_wave: int = CHUNKS_PER_WAVE,
     from_earliest: bool = False,
     available_now: bool = True,
+    files_per_trigger: int | None = 1000,
 ) -> dict[str, int]:
     """Run a sync over tables; returns the number of ranges loaded per table.
 
@@ -79,7 +81,7 @@ def sync(
             )
     if following and messages is not None:
         query = change_cdc(
-            change_log_stream(spark, messages),
+            change_log_stream(spark, messages, files_per_trigger),
             {s.table: (s.destination, fields[s.table]) for s in following},
             destination,
             store,

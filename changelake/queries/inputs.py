@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from changelake.functions.types import Field
 from changelake.operators.changes import MESSAGE_SCHEMA
-from changelake.session import use_utc
+from changelake.session import small_frame, use_utc
 
 INGEST_TS = datetime.datetime(2024, 6, 1, tzinfo=datetime.timezone.utc)
 INGEST_MICROS = 1717200000000000
@@ -136,7 +136,8 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def relations(spark: SparkSession) -> DataFrame:
     """The announcements of two tables, one of them changed later on."""
-    return spark.createDataFrame(
+    return small_frame(
+        spark,
         [
             ("s1", -2, "R", 16384, "shop", "orders_a", ["o_orderkey", "o_custkey", "o_orderstatus"]),
             ("s1", -1, "R", 16385, "shop", "orders_b", ["o_orderkey", "o_custkey"]),
@@ -154,8 +155,8 @@ def lsn_text(key: Column) -> Column:
 
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables to capture: all that were announced under a name with an `a`, plus one unknown."""
-    return spark.createDataFrame(
-        [("shop.orders_a",), ("unknown.16386",)], "table_name string"
+    return small_frame(
+        spark, [("shop.orders_a",), ("unknown.16386",)], "table_name string"
     )
 
 

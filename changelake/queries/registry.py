@@ -19,7 +19,7 @@ from changelake.plans.progress_store import ProgressStore
 from changelake.plans.sync import sync, sync_topic
 from changelake.plans.topic_log import topic_log
 from changelake.queries import inputs
-from changelake.session import shared_folder
+from changelake.session import shared_folder, small_frame
 from changelake.sinks.topics import publish_frame
 from changelake.sources import snapshot as snap
 from changelake.sources.tables import FileTables
@@ -362,7 +362,8 @@ def watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    saved = spark.createDataFrame(
+    saved = small_frame(
+        spark,
         [("events", 0, 100), ("events", 1, 100)],
         "topic string, partition int, last_offset bigint",
     )
@@ -525,6 +526,7 @@ def table_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     sync(
         spark, source, f"{root}/messages", destination, [Stream("shop.orders_a")],
         ProgressStore(f"{root}/state"), clock=_clock, from_earliest=True,
+        files_per_trigger=None,
     )
     rows = destination.read(spark, "orders_a").select(
         *orders.columns, "_cdc_position", "_cdc_operation"

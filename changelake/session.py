@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def use_utc(spark: SparkSession) -> None:
@@ -25,3 +28,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="changelake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
+    """Rows the driver plans with, as a frame whose size Spark knows."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    columns = [dict(zip(schema.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(columns, to_arrow_schema(schema)), schema)

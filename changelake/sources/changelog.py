@@ -8,14 +8,17 @@ from changelake.operators.changes import MESSAGE_SCHEMA
 
 
 def change_log_stream(
-    spark: SparkSession, path: str, files_per_trigger: int = 1000
+    spark: SparkSession, path: str, files_per_trigger: int | None = 1000
 ) -> DataFrame:
-    """Unbounded read of message files in order of arrival; resumed from the checkpoint."""
-    return (
-        spark.readStream.schema(MESSAGE_SCHEMA)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(path)
-    )
+    """Unbounded read of message files in order of arrival; resumed from the checkpoint.
+
+    A file must hold no message older than those of a file before it. Where a backlog was not
+    landed in order, `files_per_trigger=None` takes all that is there as one batch.
+    """
+    reader = spark.readStream.schema(MESSAGE_SCHEMA)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
 
 
 def change_log(spark: SparkSession, path: str) -> DataFrame:

@@ -16,6 +16,7 @@ from changelake.sources.snapshot import (
     ctid_predicates,
     key_chunks,
 )
+from changelake.session import small_frame
 
 DISCOVERED = (
     "table_name string, column_name string, type string, nullable boolean, "
@@ -52,7 +53,7 @@ class FileTables:
                 )
                 is_key = f.name == self.keys[table]
                 rows.append((table, f.name, canonical, not is_key, is_key, n))
-        return spark.createDataFrame(rows, DISCOVERED)
+        return small_frame(spark, rows, DISCOVERED)
 
     def plan(self, spark: SparkSession, table: str) -> Chunks:
         return key_chunks(

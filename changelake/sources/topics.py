@@ -76,3 +76,11 @@ def sample_events(numbers: DataFrame, created_at: Column) -> DataFrame:
 def sample_range(spark: SparkSession, count: int, created_at: Column) -> DataFrame:
     """`count` synthetic events."""
     return sample_events(spark.range(1, count + 1).withColumnRenamed("id", "i"), created_at)
+
+
+def sample_stream(spark: SparkSession, per_second: int) -> DataFrame:
+    """Synthetic events without end, at a steady rate."""
+    rate = spark.readStream.format("rate").option("rowsPerSecond", per_second).load()
+    return sample_events(
+        rate.select((F.col("value") + 1).alias("i"), "timestamp"), F.col("timestamp")
+    )

@@ -6,6 +6,8 @@ COMMIT of its stream is held back in a state folder and taken up once a later CO
     <store>/g=<n>/cdc/held/batch=<b>        messages of batch b after the last commit
     <store>/g=<n>/cdc/relations/batch=<b>   latest relation of each oid, as of the last commit
     <store>/g=<n>/cdc/commits/batch=<b>     per stream: last commit, first batch still held
+    <store>/g=<n>/cdc/late/batch=<b>        messages at or before the last commit: delivered again,
+                                            or landed out of order; kept to be looked at
 
 Batch b reads the state of batch b-1 and writes its own, so a batch that is repeated gives the
 same result.
@@ -14,6 +16,7 @@ same result.
 from __future__ import annotations
 
 import datetime
+import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -23,49 +26,59 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from changelake.functions.positions import format_lsn, parse_lsn
-from changelake.functions.types import Field
+from changelake.functions.types import OPERATION_COLUMN, Field
 from changelake.operators.catalog import CDC
 from changelake.operators.changes import MESSAGE_SCHEMA
 from changelake.operators.progress import sync_counts
 from changelake.operators.records import split_rejects
-from changelake.operators.sizing import BROADCAST_ROWS
 from changelake.operators.transactions import last_commits
 from changelake.plans.change_log import committed_changes, table_changes
 from changelake.plans.config import CHECKPOINT_INTERVAL_MS, Destination
 from changelake.plans.progress_store import GLOBAL, ProgressStore
 from changelake.sinks import folders
 from changelake.streaming.topic_cdc import utc_now
+from changelake.session import small_frame
 
 COMMITS = "stream_id string, commit_seq bigint, last_position bigint, held_from bigint"
 KEPT_BATCHES = 10
 TABLES_AT_ONCE = 4
 
+log = logging.getLogger(__name__)
+
 
 class _State:
-    """State folders of the batches."""
+    """State folders of the batches. A folder is left out where a batch has nothing to write."""
 
     def __init__(self, root: str):
         self.root = root
 
-    def read(self, spark: SparkSession, name: str, batch: int, schema) -> DataFrame:
-        if batch < 0:
-            return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(f"{self.root}/{name}/batch={batch}")
+    def _batches(self, spark: SparkSession, name: str) -> list[int]:
+        return folders.numbered(spark, f"{self.root}/{name}", "batch=")
+
+    def latest(self, spark: SparkSession, name: str, before: int, schema) -> DataFrame:
+        """What the last batch before `before` wrote that wrote anything."""
+        found = [b for b in self._batches(spark, name) if b < before]
+        if not found:
+            return small_frame(spark, [], schema)
+        return spark.read.schema(schema).parquet(f"{self.root}/{name}/batch={found[-1]}")
 
-    def held(self, spark: SparkSession, first: int, last: int) -> DataFrame:
-        parts = [f"{self.root}/held/batch={b}" for b in range(first, last + 1)]
+    def held(self, spark: SparkSession, first: int, before: int) -> DataFrame | None:
+        found = [b for b in self._batches(spark, "held") if first <= b < before]
+        if not found:
+            return None
         with_batch = T.StructType([*MESSAGE_SCHEMA.fields, T.StructField("batch", T.LongType())])
-        reader = spark.read.schema(with_batch)
-        return reader.option("basePath", f"{self.root}/held").parquet(*parts)
+        reader = spark.read.schema(with_batch).option("basePath", f"{self.root}/held")
+        return reader.parquet(*[f"{self.root}/held/batch={b}" for b in found])
 
     def write(self, df: DataFrame, name: str, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch}")
 
     def retire(self, spark: SparkSession, before: int) -> None:
+        """Drop what no batch from `before` on can need."""
         for name in ("held", "relations", "commits"):
-            for b in folders.numbered(spark, f"{self.root}/{name}", "batch="):
-                if b < before:
-                    folders.remove(spark, f"{self.root}/{name}/batch={b}")
+            old = [b for b in self._batches(spark, name) if b < before]
+            for b in old if name == "held" else old[:-1]:
+                folders.remove(spark, f"{self.root}/{name}/batch={b}")
 
 
 def latest_relations(relations: DataFrame) -> DataFrame:
@@ -98,62 +111,78 @@ def change_cdc(
     state = _State(f"{folder}/cdc")
     targets = list(tables)
 
-    def ready_changes(batch: DataFrame, number: int, now) -> tuple[DataFrame, DataFrame] | None:
-        """Messages up to the last commit of their stream; writes the state of this batch."""
-        before = state.read(spark, "commits", number - 1, COMMITS)
-        known = state.read(spark, "relations", number - 1, MESSAGE_SCHEMA)
+    def ready_messages(batch: DataFrame, number: int) -> tuple[DataFrame, DataFrame, int] | None:
+        """Messages up to the last commit of their stream; writes the state of this batch.
+
+        Returns them with the relations known before and the last commit position, or nothing
+        where no commit arrived.
+        """
         # One row per stream, a handful: commits are planned with on the driver.
-        known_commits = {r.stream_id: r for r in before.collect()}
-        new_commits = {r.stream_id: r for r in last_commits(batch).collect()}
-        open_batches = [r.held_from for r in known_commits.values() if r.held_from is not None]
+        old = {
+            r.stream_id: r for r in state.latest(spark, "commits", number, COMMITS).collect()
+        }
+        new = {r.stream_id: r for r in last_commits(batch).collect()}
+        open_batches = [r.held_from for r in old.values() if r.held_from is not None]
+        known = state.latest(spark, "relations", number, MESSAGE_SCHEMA)
 
         everything = batch.withColumn("batch", F.lit(number).cast("bigint"))
-        if new_commits and open_batches:
-            everything = everything.unionByName(state.held(spark, min(open_batches), number - 1))
-        cut = [
-            (
-                stream_id,
-                known_commits[stream_id].commit_seq if stream_id in known_commits else None,
-                new_commits[stream_id].commit_seq if stream_id in new_commits else None,
-            )
-            for stream_id in {*known_commits, *new_commits}
-        ]
-        cut_frame = spark.createDataFrame(cut, "stream_id string, _old bigint, _new bigint")
-        if len(cut) <= BROADCAST_ROWS:
-            cut_frame = F.broadcast(cut_frame)
-        placed = everything.join(cut_frame, "stream_id", "left").filter(
-            F.col("_old").isNull() | (F.col("seq") > F.col("_old"))
+        if new and open_batches:
+            earlier = state.held(spark, min(open_batches), number)
+            everything = everything if earlier is None else everything.unionByName(earlier)
+        cut = small_frame(
+            spark,
+            [
+                (s, old[s].commit_seq if s in old else None, new[s].commit_seq if s in new else None)
+                for s in {*old, *new}
+            ],
+            "stream_id string, _old bigint, _new bigint",
         )
-        is_ready = F.coalesce(F.col("seq") <= F.col("_new"), F.lit(False))
-        ready = placed.filter(is_ready).select(MESSAGE_SCHEMA.fieldNames())
-        held = placed.filter(~is_ready)
-        held_now = held.filter(F.col("batch") == number).select(MESSAGE_SCHEMA.fieldNames())
-        state.write(held_now, "held", number)
-
-        first_held = {
-            r[0]: r[1] for r in held.groupBy("stream_id").agg(F.min("batch")).collect()
+        is_new = F.col("_old").isNull() | (F.col("seq") > F.col("_old"))
+        is_ready = is_new & F.coalesce(F.col("seq") <= F.col("_new"), F.lit(False))
+        is_now = F.col("batch") == number
+        placed = everything.join(cut, "stream_id", "left").withColumn(
+            "_place", F.when(is_ready, "ready").when(is_new, "held").otherwise("late")
+        )
+
+        def part(place: str, condition=None) -> DataFrame:
+            rows = placed.filter(F.col("_place") == place)
+            rows = rows if condition is None else rows.filter(condition)
+            return rows.select(MESSAGE_SCHEMA.fieldNames())
+
+        held, is_relation = F.col("_place") == "held", F.col("msg_type") == "R"
+        found = {
+            r.stream_id: r
+            for r in placed.groupBy("stream_id").agg(
+                F.min(F.when(held, F.col("batch"))).alias("held_from"),
+                F.count(F.when(held & is_now, 1)).alias("held"),
+                F.count(F.when((F.col("_place") == "late") & is_now, 1)).alias("late"),
+                F.count(F.when((F.col("_place") == "ready") & is_relation, 1)).alias("relations"),
+            ).collect()
         }
+        if any(r.held for r in found.values()):
+            state.write(part("held", is_now), "held", number)
+        if any(r.late for r in found.values()):
+            state.write(part("late", is_now), "late", number)
+        ready = part("ready")
+        if any(r.relations for r in found.values()):
+            relations = ready.filter(is_relation).unionByName(known)
+            state.write(latest_relations(relations), "relations", number)
+
         commits = []
-        for stream_id in sorted({*known_commits, *new_commits, *first_held}):
-            old, new = known_commits.get(stream_id), new_commits.get(stream_id)
-            row = new or old
-            still_open = first_held.get(stream_id)
-            if not new and old and old.held_from is not None:
-                still_open = old.held_from
+        for s in sorted({*old, *new, *found}):
+            last = new.get(s) or old.get(s)
+            held_from = found[s].held_from if s in found else None
+            if s not in new and s in old and old[s].held_from is not None:
+                held_from = old[s].held_from
             commits.append(
-                (
-                    stream_id,
-                    row.commit_seq if row else None,
-                    row.last_position if row else None,
-                    still_open,
-                )
+                (s, last and last.commit_seq, last and last.last_position, held_from)
             )
-        relations = ready.filter(F.col("msg_type") == "R").unionByName(known)
-        state.write(latest_relations(relations), "relations", number)
-        state.write(spark.createDataFrame(commits, COMMITS), "commits", number)
-        kept_from = min([c[3] for c in commits if c[3] is not None] + open_batches + [number])
-        state.retire(spark, min(kept_from, number - KEPT_BATCHES))
-        return (ready, known) if new_commits else None
+        state.write(small_frame(spark, commits, COMMITS), "commits", number)
+        needed = [c[3] for c in commits if c[3] is not None] + open_batches
+        state.retire(spark, min([*needed, number - KEPT_BATCHES]))
+        if not new:
+            return None
+        return ready, known, max(r.last_position or 0 for r in new.values())
 
     def write(batch: DataFrame, number: int) -> None:
         now = clock()
@@ -161,15 +190,17 @@ def change_cdc(
         batch = batch.persist()
         changes = None
         try:
-            found = ready_changes(batch, number, now)
+            found = ready_messages(batch, number)
             if found is None:
                 return
-            ready, known = found
+            ready, known, position = found
             changes = committed_changes(ready, targets, F.lit(now), known)
             if start_position is not None:
                 changes = changes.filter(parse_lsn(F.col("commit_lsn")) > start_position)
             changes = changes.persist()
-            touched = {r.table_name for r in sync_counts(changes).collect()}
+            counts = sync_counts(changes).collect()
+            for r in counts:
+                log.info("%s: %s %s", r.table_name, r.records, r[OPERATION_COLUMN])
 
             def write_table(table: str) -> None:
                 name, fields = tables[table]
@@ -179,15 +210,13 @@ def change_cdc(
                     destination.write_batch(rejected, f"{name}__rejects", batch_id, now.date())
 
             with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
-                list(pool.map(write_table, sorted(touched)))
-
-            last = last_commits(batch).agg(F.max("last_position").alias("last_position"))
-            names = [*tables, GLOBAL]
-            update = spark.createDataFrame([(n,) for n in names], "stream_id string").select(
-                "stream_id",
-                F.lit(CDC).alias("sync_mode"),
-                last.scalar().alias("last_position"),
-                F.lit(now).alias("last_sync_time"),
+                list(pool.map(write_table, sorted({r.table_name for r in counts})))
+
+            update = small_frame(
+                spark,
+                [(name, CDC, position, now) for name in [*tables, GLOBAL]],
+                "stream_id string, sync_mode string, last_position bigint, "
+                "last_sync_time timestamp",
             )
             update = update.withColumn("last_lsn", format_lsn(F.col("last_position")))
             store.update(spark, streams=update)

@@ -16,6 +16,7 @@ from changelake.operators.records import split_rejects
 from changelake.plans.config import CHECKPOINT_INTERVAL_MS, Destination, Stream
 from changelake.plans.progress_store import ProgressStore
 from changelake.plans.topic_log import only_stream, topic_log
+from changelake.session import small_frame
 
 
 def utc_now() -> datetime.datetime:
@@ -62,7 +63,7 @@ def topic_cdc(
             update = [(stream_id, CDC, None, None, None, None, None, now)]
             store.update(
                 spark,
-                streams=spark.createDataFrame(update, STREAM_SCHEMA),
+                streams=small_frame(spark, update, STREAM_SCHEMA),
                 offsets=seen,
             )
         finally:

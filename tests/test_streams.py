@@ -266,5 +266,35 @@ def test_streams_commit_apart(spark, tmp_path):
     assert sorted(got) == [(1, "s"), (2, "z"), (3, "z")]
 
 
+def test_repeated_messages_change_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    store, destination = ProgressStore(f"{root}/state"), Destination(base_path=f"{root}/out")
+    for rows in (FILES[0], FILES[1], FILES[2], FILES[0][1:3] + FILES[3]):
+        land(frame(spark, rows), f"{root}/in")
+    run_changes(spark, root, store, destination)
+    assert change_rows(spark, destination, "a_log", "id", "v") == A_ROWS
+    late = spark.read.parquet(f"{store.folder(spark)}/cdc/late/batch=3")
+    assert sorted(r.seq for r in late.collect()) == [1, 2]
+
+
+def test_sample_stream(spark, tmp_path):
+    from changelake.sources.topics import sample_stream
+
+    query = (
+        sample_stream(spark, 50).writeStream.format("memory").queryName("sampled")
+        .option("checkpointLocation", str(tmp_path)).start()
+    )
+    try:
+        for _ in range(20):
+            query.processAllAvailable()
+            if spark.table("sampled").count():
+                break
+            query.awaitTermination(1)
+    finally:
+        query.stop()
+    row = spark.table("sampled").orderBy("key").first()
+    assert row.key == "1001" and '"seq":1,' in row.value
+
+
 def test_schema_of_messages():
     assert chg.MESSAGE_SCHEMA.fieldNames()[:4] == ["stream_id", "seq", "lsn", "msg_type"]
