@@ -108,14 +108,14 @@ def resolve_relation(
         )
     else:
         resolved = nearest_markers(
-            changes.unionByName(relations),
+            changes,
+            slim,
             ["stream_id", "rel_oid"],
             "seq",
-            marker=is_relation,
             value=F.struct("rel_namespace", "rel_table", "rel_columns"),
             before="_relation",
             width=width,
-        ).filter(is_change())
+        )
 
     known_name = F.concat_ws(".", "_relation.rel_namespace", "_relation.rel_table")
     unknown_name = F.concat(F.lit("unknown."), F.col("rel_oid").cast("string"))

@@ -20,48 +20,40 @@ def _block(order: str, width: int) -> Column:
 
 
 def nearest_markers(
-    log: DataFrame,
+    rows: DataFrame,
+    markers: DataFrame,
     keys: list[str],
     order: str,
-    marker: Column,
     value: Column,
     before: str | None = None,
     after: str | None = None,
     width: int = BLOCK_WIDTH,
 ) -> DataFrame:
-    """Give every row the value of the closest marker row before and/or after it.
+    """Give every row the value of the closest marker before and/or after it.
 
-    `marker` says which rows of `log` are markers, `value` is what they carry (not null). Rows
-    that share `keys` are ordered by `order`, unique among them. A marker row does not see
-    itself. `before` and `after` name the added columns, null where there is no such marker.
+    Rows and markers that share `keys` are ordered by `order`, unique among both. `value` is
+    what a marker carries (not null). `before` and `after` name the added columns, null where
+    there is no such marker.
     """
-    rows = log.withColumns(
-        {
-            "_block": _block(order, width),
-            "_edge": F.lit(0),
-            "_mark": F.when(marker, value),
-        }
-    )
     place = keys + ["_block"]
+    rows = rows.withColumns(
+        {"_block": _block(order, width), "_edge": F.lit(0), "_is_row": F.lit(True)}
+    )
+    markers = markers.select(
+        *keys, order, value.alias("_mark"), _block(order, width).alias("_block"),
+        F.lit(0).alias("_edge"),
+    )
 
-    # One row per block that exists, with the first and last marker in it.
-    marked = (
-        rows.filter(F.col("_mark").isNotNull())
-        .groupBy(place)
-        .agg(
-            F.min_by("_mark", order).alias("_first"),
-            F.max_by("_mark", order).alias("_last"),
-        )
+    # One row per block, with the first and last marker in it.
+    marked = markers.groupBy(place).agg(
+        F.min_by("_mark", order).alias("_first"), F.max_by("_mark", order).alias("_last")
     )
-    blocks = rows.select(place).distinct().join(marked, place, "left")
+    blocks = rows.select(place).distinct().join(marked, place, "full_outer")
 
     # Carry the markers over the block borders, and put them back as border rows.
-    forward = Window.partitionBy(keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    backward = (
-        Window.partitionBy(keys)
-        .orderBy(F.desc("_block"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    by_block = Window.partitionBy(keys)
+    forward = by_block.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    backward = by_block.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
     borders = []
     if before:
         borders.append(
@@ -77,17 +69,21 @@ def nearest_markers(
         .filter(F.col("_mark").isNotNull())
     )
 
-    rows = rows.unionByName(seeds, allowMissingColumns=True)
+    together = rows.unionByName(markers, allowMissingColumns=True).unionByName(
+        seeds, allowMissingColumns=True
+    )
     inside = Window.partitionBy(place)
     added = {}
     if before:
-        ahead = inside.orderBy("_edge", order).rowsBetween(Window.unboundedPreceding, -1)
-        added[before] = F.last("_mark", True).over(ahead)
+        up = inside.orderBy("_edge", order)
+        added[before] = F.last("_mark", True).over(up.rowsBetween(Window.unboundedPreceding, -1))
     if after:
-        behind = inside.orderBy(F.desc("_edge"), F.desc(order))
-        added[after] = F.last("_mark", True).over(behind.rowsBetween(Window.unboundedPreceding, -1))
+        down = inside.orderBy(F.desc("_edge"), F.desc(order))
+        added[after] = F.last("_mark", True).over(down.rowsBetween(Window.unboundedPreceding, -1))
     return (
-        rows.withColumns(added).filter(F.col("_edge") == 0).drop("_block", "_edge", "_mark")
+        together.withColumns(added)
+        .filter(F.col("_is_row"))
+        .drop("_block", "_edge", "_is_row", "_mark")
     )
 
 

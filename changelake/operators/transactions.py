@@ -24,20 +24,19 @@ def assemble_transactions(
     """
     if changes is None:
         changes = log.filter(is_change())
-    is_control = F.col("msg_type").isin("B", "C")
-    control = log.filter(is_control).select("stream_id", "seq", "lsn", "msg_type", "xid")
+    control = log.filter(F.col("msg_type").isin("B", "C"))
     placed = nearest_markers(
-        changes.unionByName(control, allowMissingColumns=True),
+        changes,
+        control.select("stream_id", "seq", "lsn", "msg_type", "xid"),
         ["stream_id"],
         "seq",
-        marker=is_control,
         value=F.struct("msg_type", "xid", "seq", "lsn"),
         before="_begin",
         after="_commit",
         width=width,
     )
     return placed.filter(
-        is_change() & (F.col("_begin.msg_type") == "B") & (F.col("_commit.msg_type") == "C")
+        (F.col("_begin.msg_type") == "B") & (F.col("_commit.msg_type") == "C")
     ).select(
         *changes.columns,
         F.col("_begin.xid").alias("tx_xid"),

@@ -23,23 +23,24 @@ def test_nearest_markers(spark, width):
     rows = stream(width)
     df = spark.createDataFrame(rows, "k string, seq bigint, m boolean")
     got = nearest_markers(
-        df, ["k"], "seq", F.col("m"), F.struct("seq"), before="b", after="a", width=width
+        df.filter("not m"), df.filter("m"), ["k"], "seq", F.struct("seq"), "b", "a", width
     )
     found = {(r.k, r.seq): (r.b and r.b.seq, r.a and r.a.seq) for r in got.collect()}
     want = {}
-    for key, seq, _ in rows:
+    for key, seq, marker in rows:
         marks = [s for k, s, m in rows if k == key and m]
-        want[key, seq] = (
-            max((s for s in marks if s < seq), default=None),
-            min((s for s in marks if s > seq), default=None),
-        )
+        if not marker:
+            want[key, seq] = (
+                max((s for s in marks if s < seq), default=None),
+                min((s for s in marks if s > seq), default=None),
+            )
     assert found == want
     assert got.columns == ["k", "seq", "m", "b", "a"]
 
 
 def test_no_markers(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2)], "k string, seq bigint")
-    got = nearest_markers(df, ["k"], "seq", F.lit(False), F.struct("seq"), before="b")
+    got = nearest_markers(df, df.filter("false"), ["k"], "seq", F.struct("seq"), before="b")
     assert [(r.seq, r.b) for r in got.orderBy("seq").collect()] == [(1, None), (2, None)]
 
 
