@@ -51,17 +51,26 @@ def resume_filter(messages: DataFrame, offsets: DataFrame, default: int = -1) ->
     )
 
 
-def starting_offsets(offsets: DataFrame, topic: str) -> DataFrame:
-    """Saved offsets as one row of JSON: `{"topic": {"0": next}}`, for the topic source."""
-    entry = F.struct(
-        F.col("partition").cast("string").alias("key"), (F.col("last_offset") + 1).alias("value")
+def starting_offsets(
+    offsets: DataFrame, topic: str, partitions: int = 0, default: int = -1
+) -> DataFrame:
+    """Saved offsets as one row of JSON, for the topic source: `{"topic": {"0": next, ...}}`.
+
+    The source wants every partition named; of `partitions` those without a saved offset get
+    `default` (-1 latest, -2 earliest). No row where nothing is saved.
+    """
+    saved = offsets.filter(F.col("topic") == topic)
+    every = saved.select(F.explode(F.sequence(F.lit(0), F.lit(partitions))).alias("partition"))
+    every = every.filter(F.col("partition") < partitions).unionByName(saved.select("partition"))
+    following = every.distinct().join(saved, "partition", "left").select(
+        F.col("partition").cast("string").alias("key"),
+        F.coalesce(F.col("last_offset") + 1, F.lit(default)).alias("value"),
     )
-    by_partition = F.map_from_entries(F.array_sort(F.collect_list(entry)))
     # One entry per partition of one topic.
+    entries = F.array_sort(F.collect_list(F.struct("key", "value")))
     return (
-        offsets.filter(F.col("topic") == topic)
-        .groupBy("topic")
-        .agg(by_partition.alias("next"))
+        following.groupBy(F.lit(topic).alias("topic"))
+        .agg(F.map_from_entries(entries).alias("next"))
         .select(F.to_json(F.create_map("topic", "next")).alias("starting_offsets"))
     )
 

@@ -38,23 +38,21 @@ def full_load(
     saved = store.load(spark).streams.filter(F.col("stream_id") == table).first()
     done = (saved.full_load_chunks_done or 0) if saved else 0
     total = (saved.full_load_chunks_total or 0) if saved else 0
-    chunks = source.plan(spark, table)
-    if done and total:
-        # A resumed load keeps the ranges it began with; later rows fall into the open last one.
-        chunks = chunks._replace(count=total)
+    # A resumed load keeps the ranges it began with; later rows fall into the open last one.
+    ranges = source.ranges(spark, table, fields, total if done else None)
     generation = store.generation(spark)
     read = 0
-    for first in range(done, chunks.count, chunks_per_wave):
-        last = min(first + chunks_per_wave, chunks.count) - 1
-        rows = conform(source.read(spark, table, fields, chunks, first, last), fields)
+    for first in range(done, ranges.count, chunks_per_wave):
+        last = min(first + chunks_per_wave, ranges.count) - 1
+        rows = conform(ranges.read(first, last), fields)
         rows = fail_on_rejects(enforce_required(rows, fields))
         rows = rows.withColumn("_cdc_position", F.lit(0).cast("bigint"))
         rows = add_cdc_metadata(rows, F.lit("SNAPSHOT"), F.lit(ingest_ts))
         batch_id = f"load-{generation}-{first:010d}"
         destination.write_batch(rows, destination_table, batch_id, ingest_ts.date())
-        completed = last == chunks.count - 1
+        completed = last == ranges.count - 1
         update = [
-            (table, "full_load", None, None, completed, last + 1, chunks.count, ingest_ts)
+            (table, "full_load", None, None, completed, last + 1, ranges.count, ingest_ts)
         ]
         store.update(spark, streams=small_frame(spark, update, STREAM_SCHEMA))
         read += last - first + 1

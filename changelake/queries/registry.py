@@ -514,14 +514,12 @@ def topic_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def table_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table job: load `orders` in ranges, then stream landed changes of it."""
+    """The table job: load `orders`, then stream landed changes of it."""
     orders = inputs.table(spark, sf_dir, "orders")
     root = shared_folder(spark, "table-sync")
     inputs.changes(spark, sf_dir).write.parquet(f"{root}/messages")
     path = f"{sf_dir}/orders.parquet"
-    source = FileTables(
-        {"shop.orders_a": path}, {"shop.orders_a": "o_orderkey"}, chunk_width=ORDER_RANGE
-    )
+    source = FileTables({"shop.orders_a": path}, {"shop.orders_a": "o_orderkey"})
     destination = Destination(base_path=f"{root}/out")
     sync(
         spark, source, f"{root}/messages", destination, [Stream("shop.orders_a")],

@@ -16,6 +16,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
     """Numbers n of the folders `<path>/<prefix><n>`, ascending."""
     fs, p = _path(spark, path)

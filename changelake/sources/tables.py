@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +14,11 @@ from changelake.operators.catalog import discover
 from changelake.sources.snapshot import (
     FETCH_SIZE,
     PAGES_PER_CHUNK,
-    Chunks,
     ctid_predicates,
-    key_chunks,
+    page_chunks,
 )
 from changelake.session import small_frame
+from changelake.sinks import folders
 
 DISCOVERED = (
     "table_name string, column_name string, type string, nullable boolean, "
@@ -24,6 +26,13 @@ DISCOVERED = (
 )
 
 
+class Ranges(NamedTuple):
+    """The ranges of a table: how many there are, and how to read those from first to last."""
+
+    count: int
+    read: Callable[[int, int], DataFrame]
+
+
 def fields_by_table(discovered: DataFrame) -> dict[str, list[Field]]:
     """Discovered columns as fields of each table, for planning."""
     out: dict[str, list[Field]] = {}
@@ -35,14 +44,13 @@ def fields_by_table(discovered: DataFrame) -> dict[str, list[Field]]:
 
 @dataclass(frozen=True)
 class FileTables:
-    """Tables landed as Parquet, split by ranges of an integer key.
+    """Tables landed as Parquet. A range is a file, so each file is read once however it is sorted.
 
-    `keys` names the key column of each table; it counts as the primary key.
+    `keys` names the primary key column of each table.
     """
 
     paths: dict[str, str]
     keys: dict[str, str]
-    chunk_width: int = 1_000_000
 
     def discover(self, spark: SparkSession) -> DataFrame:
         rows = []
@@ -55,17 +63,35 @@ class FileTables:
                 rows.append((table, f.name, canonical, not is_key, is_key, n))
         return small_frame(spark, rows, DISCOVERED)
 
-    def plan(self, spark: SparkSession, table: str) -> Chunks:
-        return key_chunks(
-            spark.read.parquet(self.paths[table]), self.keys[table], self.chunk_width
+    def files(self, spark: SparkSession, table: str) -> list[str]:
+        """Paths of a table's files, oldest first, so that later ones come last."""
+        listed = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", True)
+            .load(self.paths[table])
+            .select("modificationTime", "path")
         )
+        return [r.path for r in listed.orderBy("modificationTime", "path").collect()]
 
-    def read(
-        self, spark: SparkSession, table: str, fields: list[Field], chunks: Chunks,
-        first: int, last: int,
-    ) -> DataFrame:
-        rows = spark.read.parquet(self.paths[table])
-        return rows.filter(chunks.between(first, last)).select([f.name for f in fields])
+    def ranges(
+        self, spark: SparkSession, table: str, fields: list[Field], count: int | None = None
+    ) -> Ranges:
+        files = self.files(spark, table)
+        count = count or max(len(files), 1)
+        names = [f.name for f in fields]
+        path = self.paths[table]
+        reader = spark.read.schema(spark.read.parquet(path).schema)
+        if folders.is_folder(spark, path):
+            reader = reader.option("basePath", path)
+
+        def read(first: int, last: int) -> DataFrame:
+            # The last range is open: files that came after the load began belong to it.
+            part = files[first:] if last == count - 1 else files[first : last + 1]
+            rows = reader.parquet(*part) if part else reader.parquet(path).limit(0)
+            return rows.select(names)
+
+        return Ranges(count, read)
 
 
 @dataclass(frozen=True)
@@ -95,7 +121,9 @@ class JdbcTables:
         ]
         return discover(*views, schemas=self.schemas)
 
-    def plan(self, spark: SparkSession, table: str) -> Chunks:
+    def ranges(
+        self, spark: SparkSession, table: str, fields: list[Field], count: int | None = None
+    ) -> Ranges:
         schema, _, name = table.partition(".")
         pages = self._query(
             spark,
@@ -103,17 +131,16 @@ class JdbcTables:
             "JOIN pg_namespace n ON n.oid = c.relnamespace",
         ).filter((F.col("nspname") == schema) & (F.col("relname") == name))
         row = pages.select("relpages").first()
-        count = -(-row[0] // self.pages_per_chunk) if row else 1
-        return Chunks("ctid", 0, self.pages_per_chunk, max(count, 1))
-
-    def read(
-        self, spark: SparkSession, table: str, fields: list[Field], chunks: Chunks,
-        first: int, last: int,
-    ) -> DataFrame:
-        rows = spark.read.jdbc(
-            self.url,
-            table,
-            predicates=ctid_predicates(chunks, first, last),
-            properties={"fetchsize": str(FETCH_SIZE), **self.properties},
-        )
-        return rows.select([f.name for f in fields])
+        chunks = page_chunks("ctid", row[0] if row else 0, self.pages_per_chunk)
+        chunks = chunks._replace(count=count or chunks.count)
+
+        def read(first: int, last: int) -> DataFrame:
+            rows = spark.read.jdbc(
+                self.url,
+                table,
+                predicates=ctid_predicates(chunks, first, last),
+                properties={"fetchsize": str(FETCH_SIZE), **self.properties},
+            )
+            return rows.select([f.name for f in fields])
+
+        return Ranges(chunks.count, read)

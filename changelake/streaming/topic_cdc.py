@@ -5,24 +5,55 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changelake.functions.types import topic_fields
 from changelake.operators.catalog import CDC
-from changelake.operators.progress import STREAM_SCHEMA, offset_watermark, resume_filter
+from changelake.operators.progress import (
+    STREAM_SCHEMA,
+    offset_watermark,
+    resume_filter,
+    starting_offsets,
+)
 from changelake.operators.records import split_rejects
-from changelake.plans.config import CHECKPOINT_INTERVAL_MS, Destination, Stream
+from changelake.plans.config import (
+    CHECKPOINT_INTERVAL_MS,
+    CHECKPOINT_RECORDS,
+    Destination,
+    Stream,
+)
 from changelake.plans.progress_store import ProgressStore
 from changelake.plans.topic_log import only_stream, topic_log
 from changelake.session import small_frame
+from changelake.sources.topics import topic_stream
 
 
 def utc_now() -> datetime.datetime:
     return datetime.datetime.now(datetime.timezone.utc)
 
 
+def subscribe(
+    spark: SparkSession,
+    servers: str,
+    stream: Stream,
+    store: ProgressStore,
+    partitions: int,
+    start: str = "latest",
+    records: int = CHECKPOINT_RECORDS,
+    options: dict[str, str] | None = None,
+) -> DataFrame:
+    """The stream's topic from its saved offsets on, at most `records` per micro-batch."""
+    stream_id = f"{stream.source_topic}.{stream.destination}"
+    begun = store.start_offsets(spark).filter(F.col("stream_id") == stream_id)
+    default = -2 if start == "earliest" else -1
+    saved = starting_offsets(begun, stream.source_topic, partitions, default).first()
+    return topic_stream(
+        spark, servers, stream.source_topic, saved[0] if saved else start, records, options
+    )
+
+
 def topic_cdc(
     messages: DataFrame,
     streams: list[Stream],

@@ -90,6 +90,9 @@ def test_starting_offsets(spark):
     saved = offsets(spark, ("s", "t", 1, 9), ("s", "t", 0, 4), ("s", "u", 0, 1))
     text = prg.starting_offsets(saved, "t").first()[0]
     assert json.loads(text) == {"t": {"0": 5, "1": 10}}
+    text = prg.starting_offsets(saved, "t", 4, -2).first()[0]
+    assert json.loads(text) == {"t": {"0": 5, "1": 10, "2": -2, "3": -2}}
+    assert prg.starting_offsets(saved, "x", 4).first() is None
 
 
 def test_state_json(spark, tmp_path):

@@ -9,7 +9,6 @@ from changelake.plans.config import Destination, Stream, catalog_frame
 from changelake.plans.full_load import full_load
 from changelake.plans.progress_store import ProgressStore
 from changelake.plans.sync import sync
-from changelake.sources.snapshot import key_chunks
 from changelake.sources.tables import FileTables, fields_by_table
 from tests.test_changes import frame, message, t
 from tests.test_streams import land
@@ -24,12 +23,12 @@ def clock():
 @pytest.fixture
 def world(spark, tmp_path):
     root = str(tmp_path)
-    spark.range(100).selectExpr("id", "cast(id as string) as v").write.parquet(f"{root}/a")
-    spark.range(10).selectExpr("id", "id / 2D as extra").write.parquet(f"{root}/b")
+    a = spark.range(100).selectExpr("id", "cast(id as string) as v")
+    a.repartition(10).write.parquet(f"{root}/a")
+    b = spark.range(10).selectExpr("id", "id / 2D as extra")
+    b.coalesce(1).write.parquet(f"{root}/b")
     spark.range(5).write.parquet(f"{root}/c")
-    source = FileTables(
-        {f"n.{x}": f"{root}/{x}" for x in "abc"}, {f"n.{x}": "id" for x in "abc"}, chunk_width=10
-    )
+    source = FileTables({f"n.{x}": f"{root}/{x}" for x in "abc"}, {f"n.{x}": "id" for x in "abc"})
     land(
         frame(
             spark,
@@ -135,10 +134,35 @@ def test_file_tables(spark, world):
     _, source, _, _ = world
     fields = fields_by_table(source.discover(spark))
     assert fields["n.b"] == [Field("id", "INT64", False, True), Field("extra", "DOUBLE")]
-    chunks = source.plan(spark, "n.a")
-    assert chunks == key_chunks(spark.range(100), "id", 10)
-    part = source.read(spark, "n.a", fields["n.a"], chunks, 3, 4)
-    assert sorted(r.id for r in part.collect()) == list(range(30, 50))
+    ranges = source.ranges(spark, "n.a", fields["n.a"])
+    assert ranges.count == 10
+    parts = [{r.id for r in ranges.read(n, n).collect()} for n in range(10)]
+    assert sorted(i for p in parts for i in p) == list(range(100))
+    assert {r.id for r in ranges.read(3, 4).collect()} == parts[3] | parts[4]
+
+
+def test_files_that_come_during_a_load(spark, world):
+    root, source, _, _ = world
+    fields = [Field("id", "INT64", False, True), Field("v")]
+    more = spark.range(100, 105).selectExpr("id", "cast(id as string) as v")
+    more.coalesce(1).write.mode("append").parquet(f"{root}/a")
+    ranges = source.ranges(spark, "n.a", fields, 10)
+    assert ranges.count == 10
+    last = {r.id for r in ranges.read(9, 9).collect()}
+    assert set(range(100, 105)) < last
+    first = {r.id for r in ranges.read(0, 8).collect()}
+    assert first | last == set(range(105)) and not first & last
+
+
+def test_partitioned_files(spark, tmp_path):
+    path = str(tmp_path / "p")
+    df = spark.range(20).selectExpr("id", "id % 3 as part")
+    df.write.partitionBy("part").parquet(path)
+    source = FileTables({"n.p": path}, {"n.p": "id"})
+    fields = fields_by_table(source.discover(spark))["n.p"]
+    ranges = source.ranges(spark, "n.p", fields)
+    got = [r for n in range(ranges.count) for r in ranges.read(n, n).collect()]
+    assert sorted((r.id, r.part) for r in got) == [(i, i % 3) for i in range(20)]
 
 
 def test_catalog_names_each_table_once(spark):
