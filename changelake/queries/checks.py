@@ -258,6 +258,16 @@ SELECT seq, oid AS rel_oid, tab AS table_name,
        CASE WHEN announced THEN names END AS rel_columns
 FROM res"""
 
+CHECKS["q_resolve_many_relations"] = with_(CHANGES) + """,
+announced AS (
+  SELECT 4 * o_orderkey + 3 AS aseq, 16384 + o_custkey % 3 AS aoid,
+         CAST(o_orderkey AS VARCHAR) AS a
+  FROM orders WHERE o_orderstatus = 'P'
+)
+SELECT seq, oid AS rel_oid, coalesce('shop.v_' || a, 'unknown.' || CAST(oid AS VARCHAR))
+         AS table_name, 'c_' || a AS rel_columns
+FROM data ASOF LEFT JOIN announced ON oid = aoid AND seq > aseq"""
+
 CHECKS["q_tuple_columns"] = with_(CHANGES) + """
 SELECT seq, n0 AS name, v0 AS value FROM res
 UNION ALL SELECT seq, n1, v1 FROM res
@@ -416,6 +426,15 @@ SELECT CAST(v0 AS BIGINT) AS o_orderkey, CAST(v1 AS BIGINT) AS o_custkey,
        {op_name("op")} AS _cdc_operation, CAST({INGEST_MICROS} AS BIGINT) AS _cdc_timestamp
 FROM res, top WHERE key < k AND tab = 'shop.orders_a'"""
 
+CHECKS["q_append"] = f"""
+SELECT *, '2024-06-01' AS ingest_date FROM ({CHECKS["q_snapshot"]})"""
+
+CHECKS["q_replay"] = with_(TOPIC) + """
+SELECT part AS _kafka_partition, off AS _kafka_offset,
+       CAST(json_extract_string(value, '$.k') AS BIGINT) AS k,
+       CASE WHEN part < 2 THEN 'b1' ELSE 'b2' END AS batch_id
+FROM msgs"""
+
 CHECKS["q_topic_sync"] = with_(TOPIC) + f"""
 SELECT {ENVELOPE}, CAST(json_extract_string(value, '$.k') AS BIGINT) AS k,
        'INSERT' AS _cdc_operation, ms * 1000 AS _cdc_timestamp, '2024-06-01' AS ingest_date

@@ -148,6 +148,23 @@ def relations(spark: SparkSession) -> DataFrame:
     )
 
 
+def many_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of `changes`, with a table announced anew after every pending order."""
+    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "P")
+    key = F.col("o_orderkey")
+    announced = orders.select(
+        F.lit("s1").alias("stream_id"),
+        (key * 4 + 3).alias("seq"),
+        F.lit("R").alias("msg_type"),
+        (F.col("o_custkey") % 3 + 16384).alias("rel_oid"),
+        F.lit("shop").alias("rel_namespace"),
+        F.concat(F.lit("v_"), key.cast("string")).alias("rel_table"),
+        F.array(F.concat(F.lit("c_"), key.cast("string"))).alias("rel_columns"),
+    )
+    log = changes(spark, sf_dir).filter(F.col("msg_type") != "R")
+    return log.unionByName(announced, allowMissingColumns=True)
+
+
 def lsn_text(key: Column) -> Column:
     low = (key * 65537) % 4294967296
     return F.concat_ws("/", F.hex(F.expr("o_orderkey div 256")), F.hex(low))

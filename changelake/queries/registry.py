@@ -20,6 +20,7 @@ from changelake.plans.sync import sync, sync_topic
 from changelake.plans.topic_log import topic_log
 from changelake.queries import inputs
 from changelake.session import shared_folder, small_frame
+from changelake.sinks.parquet import append_parquet, write_batch
 from changelake.sinks.topics import publish_frame
 from changelake.sources import snapshot as snap
 from changelake.sources.tables import FileTables
@@ -186,6 +187,14 @@ def resolve_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def resolve_many_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `resolve_relation`, with about a third as many announcements as changes."""
+    return chg.resolve_relation(inputs.many_relations(spark, sf_dir)).select(
+        "seq", "rel_oid", "table_name", F.array_join("rel_columns", ",").alias("rel_columns")
+    )
+
+
 @query
 def tuple_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = F.coalesce("new_tuple", "old_tuple")
@@ -486,6 +495,28 @@ def _clock():
     return inputs.INGEST_TS
 
 
+@query
+def append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot appended to a dated folder in bounded files, read back."""
+    root = shared_folder(spark, "append")
+    rows = snapshot(spark, sf_dir)
+    append_parquet(rows, root, "orders", inputs.INGEST_TS.date(), max_records=5000)
+    back = spark.read.parquet(f"{root}/orders")
+    return back.withColumn("ingest_date", F.date_format("ingest_date", "yyyy-MM-dd"))
+
+
+@query
+def replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches, the second written twice as after a kill, read back."""
+    root = shared_folder(spark, "replay")
+    rows = topic_change_log(spark, sf_dir).select("_kafka_partition", "_kafka_offset", "k")
+    low = F.col("_kafka_partition") < 2
+    day = inputs.INGEST_TS.date()
+    for batch_id, part in (("b1", low), ("b2", ~low), ("b2", ~low)):
+        write_batch(rows.filter(part), root, "events", batch_id, day)
+    return spark.read.parquet(f"{root}/events").drop("ingest_date")
+
+
 @query
 def topic_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The topic job as a stream over the events file, read back from its sink."""

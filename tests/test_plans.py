@@ -14,7 +14,7 @@ from tests.test_changes import frame, message
 
 SF_DIR = "/root/testdata/sf0.001"
 # These write to a sink; their plan is the read back.
-JOBS = {"q_topic_sync", "q_table_sync"}
+JOBS = {"q_append", "q_replay", "q_topic_sync", "q_table_sync"}
 
 
 def plan(df):
