@@ -41,6 +41,8 @@ def empty_progress(spark: SparkSession) -> Progress:
 
 
 class ProgressStore:
+    """The progress of one sync; one job at a time writes to it."""
+
     def __init__(self, path: str):
         self.path = path.rstrip("/")
 

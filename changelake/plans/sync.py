@@ -21,23 +21,30 @@ from changelake.streaming.topic_cdc import topic_cdc, utc_now
 from changelake.session import small_frame
 
 
-def start_position(
+def start_positions(
     spark: SparkSession, log: DataFrame, store: ProgressStore, now: datetime.datetime
-) -> int:
-    """Position that the change stream starts after.
+) -> dict[str, int]:
+    """Position that each change stream starts after, fixed by the first call.
 
-    The first call fixes it at the last commit landed so far; later calls return the same. It
-    is noted before any table is loaded, so no change between load and stream is lost.
+    That is the global position where progress was taken over from elsewhere, else the last
+    commit landed so far. It is noted before any table is loaded, so no change between load and
+    stream is lost.
     """
-    noted = f"{GLOBAL}_start"
-    saved = store.load(spark).streams.filter(F.col("stream_id") == noted).first()
-    if saved is not None:
-        return saved.last_position
-    last = last_commits(log).agg(F.max("last_position")).first()[0]
-    position = -1 if last is None else last
-    row = [(noted, None, None, position, None, None, None, now)]
-    store.update(spark, streams=small_frame(spark, row, STREAM_SCHEMA))
-    return position
+    prefix = f"{GLOBAL}_start/"
+    saved = store.load(spark).streams.filter(F.col("stream_id").startswith(GLOBAL)).collect()
+    noted = {r.stream_id: r.last_position for r in saved}
+    if prefix not in noted:
+        found = {prefix + r.stream_id: r.last_position for r in last_commits(log).collect()}
+        if noted.get(GLOBAL) is not None:
+            found = dict.fromkeys(found, noted[GLOBAL])
+        noted = {prefix: None, **found}
+        rows = [(k, None, None, v, None, None, None, now) for k, v in noted.items()]
+        store.update(spark, streams=small_frame(spark, rows, STREAM_SCHEMA))
+    return {
+        k.removeprefix(prefix): v
+        for k, v in noted.items()
+        if k.startswith(prefix) and k != prefix and v is not None
+    }
 
 
 def sync(
@@ -68,9 +75,9 @@ def sync(
     steps = sync_plan(chosen, store.load(spark).streams).orderBy("table").collect()
 
     following = [s for s in steps if s.needs_cdc]
-    position = None
+    positions = None
     if following and messages is not None and not from_earliest:
-        position = start_position(spark, change_log(spark, messages), store, clock())
+        positions = start_positions(spark, change_log(spark, messages), store, clock())
 
     loaded = {}
     for step in steps:
@@ -85,7 +92,7 @@ def sync(
             {s.table: (s.destination, fields[s.table]) for s in following},
             destination,
             store,
-            position,
+            positions,
             clock,
             available_now,
         )

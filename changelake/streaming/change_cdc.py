@@ -96,14 +96,15 @@ def change_cdc(
     tables: dict[str, tuple[str, list[Field]]],
     destination: Destination,
     store: ProgressStore,
-    start_position: int | None = None,
+    start_positions: dict[str, int] | None = None,
     clock: Callable[[], datetime.datetime] = utc_now,
     available_now: bool = True,
     interval_ms: int = CHECKPOINT_INTERVAL_MS,
 ) -> StreamingQuery:
     """Start the stream. `tables` maps a source table to its destination table and fields.
 
-    Transactions committed at or before `start_position` are passed over: the snapshot has them.
+    Transactions committed at or before the start position of their stream are passed over: the
+    snapshot has them.
     """
     spark = messages.sparkSession
     generation = store.generation(spark)
@@ -195,8 +196,10 @@ def change_cdc(
                 return
             ready, known, position = found
             changes = committed_changes(ready, targets, F.lit(now), known)
-            if start_position is not None:
-                changes = changes.filter(parse_lsn(F.col("commit_lsn")) > start_position)
+            for stream_id, start in (start_positions or {}).items():
+                passed = parse_lsn(F.col("commit_lsn")) <= start
+                passed = (F.col("stream_id") == stream_id) & F.coalesce(passed, F.lit(False))
+                changes = changes.filter(~passed)
             changes = changes.persist()
             counts = sync_counts(changes).collect()
             for r in counts:

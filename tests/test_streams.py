@@ -239,7 +239,7 @@ def test_start_position(spark, tmp_path):
     store, destination = ProgressStore(f"{root}/state"), Destination(base_path=f"{root}/out")
     for rows in FILES:
         land(frame(spark, rows), f"{root}/in")
-    run_changes(spark, root, store, destination, start_position=11)
+    run_changes(spark, root, store, destination, start_positions={"s": 11, "other": 99})
     assert change_rows(spark, destination, "a_log", "id", "v") == A_ROWS[3:]
 
 

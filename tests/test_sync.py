@@ -7,8 +7,10 @@ import pytest
 from changelake.functions.types import Field
 from changelake.plans.config import Destination, Stream, catalog_frame
 from changelake.plans.full_load import full_load
-from changelake.plans.progress_store import ProgressStore
-from changelake.plans.sync import sync
+from changelake.operators.progress import STREAM_SCHEMA
+from changelake.plans.progress_store import GLOBAL, ProgressStore
+from changelake.plans.sync import start_positions, sync
+from changelake.session import small_frame
 from changelake.sources.tables import FileTables, fields_by_table
 from tests.test_changes import frame, message, t
 from tests.test_streams import land
@@ -100,6 +102,18 @@ def test_full_refresh(spark, world):
     assert store.generation(spark) == 1
 
 
+def test_position_taken_over(spark, world):
+    """Progress from elsewhere: changes after its global position are taken, others are not."""
+    root, _, destination, store = world
+    later_changes(spark, root)
+    row = (GLOBAL, None, "0/4", 4, None, None, None, NOW)
+    done = ("n.a", "cdc", "0/4", 4, True, 10, 10, NOW)
+    store.update(spark, streams=small_frame(spark, [row, done], STREAM_SCHEMA))
+    assert run(spark, world) == {"n.b": 1}
+    assert operations(spark, destination, "a_log") == {"UPDATE": 1}
+    assert start_positions(spark, None, store, NOW) == {"s": 4}
+
+
 def test_from_earliest(spark, world):
     _, _, destination, _ = world
     run(spark, world, from_earliest=True)
