@@ -134,13 +134,16 @@ class JdbcTables:
         chunks = page_chunks("ctid", row[0] if row else 0, self.pages_per_chunk)
         chunks = chunks._replace(count=count or chunks.count)
 
+        # Times of day are read as text; timestamps without a zone stay without one.
+        as_text = ", ".join(f"`{f.name}` STRING" for f in fields if f.type == "TIME")
+        properties = {"fetchsize": str(FETCH_SIZE), "preferTimestampNTZ": "true"}
+        if as_text:
+            properties["customSchema"] = as_text
+        properties |= self.properties
+
         def read(first: int, last: int) -> DataFrame:
-            rows = spark.read.jdbc(
-                self.url,
-                table,
-                predicates=ctid_predicates(chunks, first, last),
-                properties={"fetchsize": str(FETCH_SIZE), **self.properties},
-            )
+            predicates = ctid_predicates(chunks, first, last)
+            rows = spark.read.jdbc(self.url, table, predicates=predicates, properties=properties)
             return rows.select([f.name for f in fields])
 
         return Ranges(chunks.count, read)
