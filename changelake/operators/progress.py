@@ -117,7 +117,8 @@ def merge_streams(saved: DataFrame, update: DataFrame) -> DataFrame:
 def load_progress(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Progress of a table load after each chunk: rows so far, chunks done, completed.
 
-    `rows` has `table_name` and `chunk`; `plan` one row per (table_name, chunk).
+    `rows` has `table_name` and `chunk`; `plan` one row per (table_name, chunk). The rows are
+    counted first, so the running sum goes over one small row per chunk.
     """
     so_far = (
         Window.partitionBy("table_name").orderBy("chunk")

@@ -197,14 +197,14 @@ WHERE chunk >= total // 3"""
 
 CHECKS["q_envelope"] = with_(TOPIC) + f" SELECT {ENVELOPE} FROM msgs"
 
-CHECKS["q_sample"] = """
+CHECKS["q_sample_events"] = """
 SELECT CAST(event_id + 1001 AS VARCHAR) AS key,
        '{"user_id":' || CAST(event_id + 1001 AS VARCHAR) || ',"event_type":"test","created_at":"'
          || strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || '","seq":' || CAST(event_id + 1 AS VARCHAR)
          || ',"message":"hello"}' AS value
 FROM events"""
 
-CHECKS["q_publish"] = with_(TOPIC) + " SELECT 'events' AS topic, key, value FROM msgs"
+CHECKS["q_publish_frame"] = with_(TOPIC) + " SELECT 'events' AS topic, key, value FROM msgs"
 
 # --- catalog ---------------------------------------------------------------------------------
 
@@ -217,7 +217,7 @@ SELECT DISTINCT 'shop.' || event_type || '.' || CAST(user_id AS VARCHAR) AS topi
          || '_' || CAST(user_id AS VARCHAR) AS stream_id
 FROM events WHERE event_type <> 'error'"""
 
-CHECKS["q_resolve_types"] = with_(INFO) + f"""
+CHECKS["q_resolve_type"] = with_(INFO) + f"""
 SELECT tab AS table_name, col AS column_name,
        {resolved("CASE WHEN nullable AND dt = 'inet' THEN NULL ELSE dt END")} AS type
 FROM info"""
@@ -395,7 +395,7 @@ SELECT 'u_' || CAST(id AS VARCHAR) AS stream_id,
        CAST(n AS INTEGER) AS full_load_chunks_done, us AS last_sync_time
 FROM merged"""
 
-CHECKS["q_positions"] = with_(CHANGES) + f""",
+CHECKS["q_commit_positions"] = with_(CHANGES) + f""",
 last AS (SELECT CAST(max({lsn_position("key")}) AS BIGINT) AS pos FROM data, top WHERE key < k)
 SELECT DISTINCT tab AS table_name, pos AS last_position, 'cdc' AS sync_mode,
        {lsn_text("pos")} AS last_lsn

@@ -35,7 +35,7 @@ ORDERS_A = [Field("o_orderkey", "INT64"), Field("o_custkey", "INT64"), Field("o_
 
 
 def query(fn):
-    QUERIES["q_" + fn.__name__] = fn
+    QUERIES["q_" + fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -104,14 +104,14 @@ def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sample_events_(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = inputs.table(spark, sf_dir, "events")
     numbers = events.select((F.col("event_id") + 1).alias("i"), "ts")
     return sample_events(numbers, F.col("ts"))
 
 
 @query
-def publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+def publish_frame_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish_frame(inputs.topic(spark, sf_dir), "events")
 
 
@@ -141,7 +141,7 @@ def discover_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def resolve_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+def resolve_type_(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = inputs.information_columns(spark, sf_dir)
     name = F.when(F.col("is_nullable") == "NO", F.col("data_type")).otherwise(
         F.nullif("data_type", F.lit("inet"))
@@ -445,7 +445,7 @@ def merge_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def commit_positions_(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _resolved(spark, sf_dir).select("table_name").distinct()
     return commit_positions(inputs.changes(spark, sf_dir), tables)
 

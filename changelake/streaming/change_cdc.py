@@ -207,12 +207,11 @@ def change_cdc(
 
             def write_table(table: str) -> None:
                 name, fields = tables[table]
+                good, rejected = split_rejects(table_changes(changes, table, fields))
                 # Each partition of the batch may hold a few rows of each table: gather them into
                 # files of a fair size.
-                rows = table_changes(changes, table, fields).hint("rebalance")
-                good, rejected = split_rejects(rows)
-                destination.write_batch(good, name, batch_id, now.date())
-                if any(not f.nullable for f in fields):
+                destination.write_batch(good.hint("rebalance"), name, batch_id, now.date())
+                if any(not f.nullable for f in fields) and not rejected.isEmpty():
                     destination.write_batch(rejected, f"{name}__rejects", batch_id, now.date())
 
             with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:

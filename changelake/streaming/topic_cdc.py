@@ -84,7 +84,7 @@ def topic_cdc(
         try:
             good, rejected = split_rejects(topic_log(batch, fields, F.lit(now)))
             destination.write_batch(good, stream.destination, batch_id, now.date())
-            if has_required:
+            if has_required and not rejected.isEmpty():
                 destination.write_batch(
                     rejected, f"{stream.destination}__rejects", batch_id, now.date()
                 )
