@@ -135,7 +135,7 @@ def tuple_to_columns(values: Column, names: Column) -> Column:
     values are null; a value of an unknown kind is left out. Of equal names the last counts.
     """
     # Nearly always the kinds are known and the names differ: one pass over the values.
-    n, known = F.size(values), F.coalesce(F.size(names), F.lit(0))
+    n, known = F.array_size(values), F.coalesce(F.array_size(names), F.lit(0))
     texts = F.transform(values, lambda v: F.when(v["kind"] == "t", v["text"]))
     extra = F.when(
         n > known,
@@ -165,7 +165,7 @@ def tuple_to_columns(values: Column, names: Column) -> Column:
     last_of_name = F.filter(
         kept,
         lambda e, i: ~F.exists(
-            F.slice(kept, i + 2, F.size(kept)), lambda later: later["key"] == e["key"]
+            F.slice(kept, i + 2, F.array_size(kept)), lambda later: later["key"] == e["key"]
         ),
     )
     entries = F.transform(
@@ -207,7 +207,7 @@ def image_columns(fields: Iterable[Field]) -> list[Column]:
     Gives what `before_after`, `row_image` and a projection by name give, in generated code.
     """
     image = F.when(F.col("msg_type") == "D", F.col("old_tuple")).otherwise(F.col("new_tuple"))
-    width = F.coalesce(F.size("rel_columns"), F.lit(0))
+    width = F.coalesce(F.array_size("rel_columns"), F.lit(0))
     out = []
     for f in fields:
         place = F.array_position("rel_columns", f.name)

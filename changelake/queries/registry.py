@@ -314,7 +314,7 @@ def cast(spark: SparkSession, sf_dir: str) -> DataFrame:
             "day": F.date_format("day", "yyyy-MM-dd"),
             "at": F.unix_micros(F.col("at").cast("timestamp")),
             "at_tz": F.unix_micros("at_tz"),
-            "price": F.col("price").cast("string"),
+            "price": F.expr("format_number(price, '0.000000000000000000')"),
             "f32": F.col("f32").cast("double"),
             "list": F.array_join("list", "|"),
         }

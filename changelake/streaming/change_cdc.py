@@ -127,8 +127,10 @@ def change_cdc(
         known = state.latest(spark, "relations", number, MESSAGE_SCHEMA)
 
         everything = batch.withColumn("batch", F.lit(number).cast("bigint"))
-        if new and open_batches:
-            earlier = state.held(spark, min(open_batches), number)
+        # Held messages are read again only once their stream commits.
+        closing = [old[s].held_from for s in new if s in old and old[s].held_from is not None]
+        if closing:
+            earlier = state.held(spark, min(closing), number)
             everything = everything if earlier is None else everything.unionByName(earlier)
         cut = small_frame(
             spark,
