@@ -68,4 +68,6 @@ def write_batch(
     """
     dated = df.withColumn("ingest_date", F.lit(ingest_date))
     writer = _writer(dated, compression, row_group_size_mb, file_size_mb, max_records)
+    # Also where the session overwrites partitions one by one.
+    writer = writer.option("partitionOverwriteMode", "static")
     writer.mode("overwrite").parquet(f"{base_path}/{table}/batch_id={batch_id}")

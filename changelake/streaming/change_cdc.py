@@ -20,6 +20,7 @@ import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -216,8 +217,10 @@ def change_cdc(
                 if any(not f.nullable for f in fields) and not rejected.isEmpty():
                     destination.write_batch(rejected, f"{name}__rejects", batch_id, now.date())
 
+            # The threads take over the stream's job group, so stopping it stops them as well.
+            touched = sorted({r.table_name for r in counts})
             with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
-                list(pool.map(write_table, sorted({r.table_name for r in counts})))
+                list(pool.map(inheritable_thread_target(write_table), touched))
 
             update = small_frame(
                 spark,

@@ -48,6 +48,17 @@ def test_batch_is_replaced(spark, tmp_path):
     assert rows.filter("batch_id = 'b1' and ingest_date = '2024-06-01'").count() == 0
 
 
+def test_batch_is_replaced_whatever_the_session_says(spark, tmp_path):
+    base = str(tmp_path)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_batch(numbers(spark, 10), base, "t", "b1", DAY)
+        write_batch(numbers(spark, 7), base, "t", "b1", NEXT_DAY)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert spark.read.parquet(f"{base}/t").count() == 7
+
+
 def test_append_table(spark):
     name = f"cdc_{uuid.uuid4().hex}.t"
     append_table(numbers(spark, 3).selectExpr("x", "x * 2 as y"), name)
