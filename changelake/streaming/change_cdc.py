@@ -36,9 +36,9 @@ from changelake.operators.transactions import last_commits
 from changelake.plans.change_log import committed_changes, table_changes
 from changelake.plans.config import CHECKPOINT_INTERVAL_MS, Destination
 from changelake.plans.progress_store import GLOBAL, ProgressStore
+from changelake.session import small_frame
 from changelake.sinks import folders
 from changelake.streaming.topic_cdc import utc_now
-from changelake.session import small_frame
 
 COMMITS = "stream_id string, commit_seq bigint, last_position bigint, held_from bigint"
 KEPT_BATCHES = 10
@@ -219,8 +219,9 @@ def change_cdc(
 
             # The threads take over the stream's job group, so stopping it stops them as well.
             touched = sorted({r.table_name for r in counts})
+            inherit = inheritable_thread_target(batch.sparkSession)
             with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
-                list(pool.map(inheritable_thread_target(write_table), touched))
+                list(pool.map(inherit(write_table), touched))
 
             update = small_frame(
                 spark,
