@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changelake.functions.types import resolve_type
-from changelake.operators.sizing import broadcast_if_small
 
 # Topics that belong to the message broker itself.
 INTERNAL_TOPICS = ["__consumer_offsets", "__transaction_state"]
@@ -77,7 +76,7 @@ def discover_topics(messages: DataFrame, topics: Iterable[str] = ()) -> DataFram
 def stream_select(discovered: DataFrame, catalog: DataFrame) -> DataFrame:
     """Discovered tables that the catalog names."""
     names = catalog.select(F.col("table").alias("table_name")).distinct()
-    return discovered.join(broadcast_if_small(names), "table_name", "left_semi")
+    return discovered.join(names, "table_name", "left_semi")
 
 
 def sync_plan(catalog: DataFrame, progress: DataFrame) -> DataFrame:

@@ -13,14 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changelake.functions.casts import cast_text
 from changelake.functions.types import Field
 from changelake.operators.ordered import BLOCK_WIDTH, nearest_markers
-from changelake.operators.sizing import broadcast_if_small, is_small
 
 TUPLE = T.ArrayType(T.StructType().add("kind", "string").add("text", "string"))
 MESSAGE_SCHEMA = (
@@ -51,9 +50,6 @@ MESSAGE_TYPES = {
 }
 DATA_TYPES = ["I", "U", "D"]
 
-# A key with more versions than this in a broadcast side makes every row compare with all of them.
-BROADCAST_VERSIONS = 64
-
 
 def is_change() -> Column:
     return F.col("msg_type").isin(DATA_TYPES)
@@ -67,26 +63,14 @@ def classify_messages(log: DataFrame) -> DataFrame:
     return log.withColumns({"message": kind, "yields_row": F.coalesce(is_change(), F.lit(False))})
 
 
-def relation_versions(relations: DataFrame) -> DataFrame:
-    """RELATION messages as versions of a table, each valid up to the next one."""
-    by_oid = Window.partitionBy("stream_id", "rel_oid").orderBy("seq")
-    return relations.select(
-        F.col("stream_id").alias("_stream"),
-        F.col("rel_oid").alias("_oid"),
-        F.col("seq").alias("_from"),
-        F.lead("seq").over(by_oid).alias("_to"),
-        F.struct("rel_namespace", "rel_table", "rel_columns").alias("_relation"),
-    )
-
-
 def resolve_relation(
     log: DataFrame, earlier: DataFrame | None = None, width: int = BLOCK_WIDTH
 ) -> DataFrame:
     """Give each row change the latest relation of its oid seen before it.
 
     Adds `table_name` and replaces `rel_columns`. `earlier` holds relation messages of earlier
-    batches, in the layout of the log. Few versions are joined by broadcast with no shuffle; as
-    many versions as changes are carried along the log in blocks.
+    batches, in the layout of the log. Relations are carried along the log in blocks, however many
+    there are; a null oid has none.
     """
     is_relation = F.col("msg_type") == "R"
     relations = log.filter(is_relation)
@@ -94,28 +78,17 @@ def resolve_relation(
         relations = relations.unionByName(earlier, allowMissingColumns=True)
     changes = log.filter(is_change())
 
-    slim = relations.select(
-        "stream_id", "rel_oid", "seq", "rel_namespace", "rel_table", "rel_columns"
+    resolved = nearest_markers(
+        changes,
+        relations.filter(F.col("rel_oid").isNotNull()).select(
+            "stream_id", "rel_oid", "seq", "rel_namespace", "rel_table", "rel_columns"
+        ),
+        ["stream_id", "rel_oid"],
+        "seq",
+        value=F.struct("rel_namespace", "rel_table", "rel_columns"),
+        before="_relation",
+        width=width,
     )
-    if is_small(slim, ["stream_id", "rel_oid"], BROADCAST_VERSIONS):
-        resolved = changes.join(
-            F.broadcast(relation_versions(slim)),
-            (F.col("stream_id") == F.col("_stream"))
-            & (F.col("rel_oid") == F.col("_oid"))
-            & (F.col("seq") > F.col("_from"))
-            & (F.col("_to").isNull() | (F.col("seq") < F.col("_to"))),
-            "left",
-        )
-    else:
-        resolved = nearest_markers(
-            changes,
-            slim,
-            ["stream_id", "rel_oid"],
-            "seq",
-            value=F.struct("rel_namespace", "rel_table", "rel_columns"),
-            before="_relation",
-            width=width,
-        )
 
     known_name = F.concat_ws(".", "_relation.rel_namespace", "_relation.rel_table")
     unknown_name = F.concat(F.lit("unknown."), F.col("rel_oid").cast("string"))
@@ -197,8 +170,7 @@ def target_filter(changes: DataFrame, targets: DataFrame | list[str]) -> DataFra
     """Keep the changes of the target tables: a list of names, or a frame with `table_name`."""
     if not isinstance(targets, DataFrame):
         return changes.filter(F.col("table_name").isin(list(targets)))
-    names = targets.select("table_name").distinct()
-    return changes.join(broadcast_if_small(names), "table_name", "left_semi")
+    return changes.join(targets.select("table_name").distinct(), "table_name", "left_semi")
 
 
 def image_columns(fields: Iterable[Field]) -> list[Column]:

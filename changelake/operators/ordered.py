@@ -31,9 +31,10 @@ def nearest_markers(
 ) -> DataFrame:
     """Give every row the value of the closest marker before and/or after it.
 
-    Rows and markers that share `keys` are ordered by `order`, unique among both. `value` is
-    what a marker carries (not null). `before` and `after` name the added columns, null where
-    there is no such marker.
+    Rows and markers that share `keys` are ordered by `order`, unique among the markers. A marker
+    at a row's own place is neither before nor after it, so markers may be among the rows. `value`
+    is what a marker carries (not null). `before` and `after` name the added columns, null
+    where there is no such marker.
     """
     place = keys + ["_block"]
     rows = rows.withColumns(
@@ -72,13 +73,14 @@ def nearest_markers(
     together = rows.unionByName(markers, allowMissingColumns=True).unionByName(
         seeds, allowMissingColumns=True
     )
-    inside = Window.partitionBy(place)
+    # At one place the row comes first in either direction.
+    inside, is_marker = Window.partitionBy(place), F.col("_is_row").isNull()
     added = {}
     if before:
-        up = inside.orderBy("_edge", order)
+        up = inside.orderBy("_edge", order, is_marker)
         added[before] = F.last("_mark", True).over(up.rowsBetween(Window.unboundedPreceding, -1))
     if after:
-        down = inside.orderBy(F.desc("_edge"), F.desc(order))
+        down = inside.orderBy(F.desc("_edge"), F.desc(order), is_marker)
         added[after] = F.last("_mark", True).over(down.rowsBetween(Window.unboundedPreceding, -1))
     return (
         together.withColumns(added)

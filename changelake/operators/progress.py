@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from changelake.functions.types import OPERATION_COLUMN
 from changelake.operators.ordered import BLOCK_WIDTH, row_numbers
-from changelake.operators.sizing import broadcast_if_small
 
 STREAM_SCHEMA = (
     T.StructType()
@@ -43,7 +42,7 @@ def resume_filter(messages: DataFrame, offsets: DataFrame, default: int = -1) ->
 
     A partition without a saved offset starts after `default`.
     """
-    saved = broadcast_if_small(offsets.select("topic", "partition", "last_offset"))
+    saved = offsets.select("topic", "partition", "last_offset")
     return (
         messages.join(saved, ["topic", "partition"], "left")
         .filter(F.col("offset") > F.coalesce("last_offset", F.lit(default)))

@@ -22,21 +22,30 @@ from changelake.streaming.topic_cdc import topic_cdc, utc_now
 
 
 def start_positions(
-    spark: SparkSession, log: DataFrame, store: ProgressStore, now: datetime.datetime
+    spark: SparkSession,
+    log: DataFrame,
+    store: ProgressStore,
+    now: datetime.datetime,
+    from_earliest: bool = False,
 ) -> dict[str, int]:
     """Position that each change stream starts after, fixed by the first call.
 
     That is the global position where progress was taken over from elsewhere, else the last
-    commit landed so far. It is noted before any table is loaded, so no change between load and
-    stream is lost.
+    commit landed so far, or none `from_earliest`. It is noted before any table is loaded, so no change between load and
+    stream is lost. Positions of different streams can't be compared: a global one is refused where there are several.
     """
     prefix = f"{GLOBAL}_start/"
     saved = store.load(spark).streams.filter(F.col("stream_id").startswith(GLOBAL)).collect()
     noted = {r.stream_id: r.last_position for r in saved}
     if prefix not in noted:
-        found = {prefix + r.stream_id: r.last_position for r in last_commits(log).collect()}
-        if noted.get(GLOBAL) is not None:
-            found = dict.fromkeys(found, noted[GLOBAL])
+        found = {}
+        if not from_earliest:
+            found = {prefix + r.stream_id: r.last_position for r in last_commits(log).collect()}
+        if noted.get(GLOBAL) is not None and not from_earliest:
+            names = [r.stream_id for r in log.select("stream_id").distinct().limit(2).collect()]
+            if len(names) > 1:
+                raise ValueError("a global position was taken over, but there are several change streams")
+            found = {prefix + s: noted[GLOBAL] for s in names}
         noted = {prefix: None, **found}
         rows = [(k, None, None, v, None, None, None, now) for k, v in noted.items()]
         store.update(spark, streams=small_frame(spark, rows, STREAM_SCHEMA))
@@ -76,8 +85,9 @@ def sync(
 
     following = [s for s in steps if s.needs_cdc]
     positions = None
-    if following and messages is not None and not from_earliest:
-        positions = start_positions(spark, change_log(spark, messages), store, clock())
+    if following and messages is not None:
+        log = change_log(spark, messages)
+        positions = start_positions(spark, log, store, clock(), from_earliest)
 
     loaded = {}
     for step in steps:

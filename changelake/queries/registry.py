@@ -548,14 +548,15 @@ def table_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table job: load `orders`, then stream landed changes of it."""
     orders = inputs.table(spark, sf_dir, "orders")
     root = shared_folder(spark, "table-sync")
-    inputs.changes(spark, sf_dir).write.parquet(f"{root}/messages")
+    # Eight files that land in no order.
+    log = inputs.changes(spark, sf_dir)
+    log.repartition(8, F.expr("seq div 1024")).write.parquet(f"{root}/messages")
     path = f"{sf_dir}/orders.parquet"
     source = FileTables({"shop.orders_a": path}, {"shop.orders_a": "o_orderkey"})
     destination = Destination(base_path=f"{root}/out")
     sync(
         spark, source, f"{root}/messages", destination, [Stream("shop.orders_a")],
         ProgressStore(f"{root}/state"), clock=_clock, from_earliest=True,
-        files_per_trigger=None,
     )
     rows = destination.read(spark, "orders_a").select(
         *orders.columns, "_cdc_position", "_cdc_operation"

@@ -12,8 +12,7 @@ def change_log_stream(
 ) -> DataFrame:
     """Unbounded read of message files in order of arrival; resumed from the checkpoint.
 
-    A file must hold no message older than those of a file before it. Where a backlog was not
-    landed in order, `files_per_trigger=None` takes all that is there as one batch.
+    Files may land in any order; `files_per_trigger` only sets how much a batch takes.
     """
     reader = spark.readStream.schema(MESSAGE_SCHEMA)
     if files_per_trigger:

@@ -1,15 +1,16 @@
 """A change stream routed to its tables.
 
-Messages arrive in files, in order. A transaction may span micro-batches: what follows the last
-COMMIT of its stream is held back in a state folder and taken up once a later COMMIT arrives.
+Messages arrive in files, in any order. A transaction may span micro-batches and its parts may come in
+any order: what isn't part of a whole transaction yet waits in a state folder and is taken up once a
+message arrives that may complete it. What was applied is noted, so a message that is delivered again
+changes nothing, and one that comes late but was never applied is applied then.
 
-    <store>/g=<n>/cdc/held/batch=<b>        messages of batch b after the last commit
-    <store>/g=<n>/cdc/relations/batch=<b>   latest relation of each oid, as of the last commit
-    <store>/g=<n>/cdc/commits/batch=<b>     per stream: last commit, first batch still held
-    <store>/g=<n>/cdc/late/batch=<b>        messages at or before the last commit: delivered again,
-                                            or landed out of order; kept to be looked at
+    <store>/g=<n>/cdc/held/batch=<b>        messages that wait, as of batch b
+    <store>/g=<n>/cdc/relations/batch=<b>   relations that batch b announced
+    <store>/g=<n>/cdc/applied/batch=<b>     places of the messages that batch b applied
+    <store>/g=<n>/cdc/commits/batch=<b>     per stream: last commit, first batch that holds messages
 
-Batch b reads the state of batch b-1 and writes its own, so a batch that is repeated gives the
+Batch b reads the state of the batches before it and writes its own, so a batch that is repeated gives the
 same result.
 """
 
@@ -29,11 +30,11 @@ from pyspark.sql.streaming import StreamingQuery
 from changelake.functions.positions import format_lsn, parse_lsn
 from changelake.functions.types import OPERATION_COLUMN, Field
 from changelake.operators.catalog import CDC
-from changelake.operators.changes import MESSAGE_SCHEMA
+from changelake.operators.changes import DATA_TYPES, MESSAGE_SCHEMA, resolve_relation
+from changelake.operators.ordered import nearest_markers
 from changelake.operators.progress import sync_counts
-from changelake.operators.records import split_rejects
-from changelake.operators.transactions import last_commits
-from changelake.plans.change_log import committed_changes, table_changes
+from changelake.operators.records import add_cdc_metadata, change_operation, split_rejects
+from changelake.plans.change_log import table_changes
 from changelake.plans.config import CHECKPOINT_INTERVAL_MS, Destination
 from changelake.plans.progress_store import GLOBAL, ProgressStore
 from changelake.session import small_frame
@@ -41,6 +42,8 @@ from changelake.sinks import folders
 from changelake.streaming.topic_cdc import utc_now
 
 COMMITS = "stream_id string, commit_seq bigint, last_position bigint, held_from bigint"
+APPLIED = "stream_id string, seq bigint, msg_type string, xid bigint, lsn string"
+RELATION = ("rel_namespace", "rel_table", "rel_columns")
 KEPT_BATCHES = 10
 TABLES_AT_ONCE = 4
 
@@ -63,33 +66,54 @@ class _State:
             return small_frame(spark, [], schema)
         return spark.read.schema(schema).parquet(f"{self.root}/{name}/batch={found[-1]}")
 
-    def held(self, spark: SparkSession, first: int, before: int) -> DataFrame | None:
-        found = [b for b in self._batches(spark, "held") if first <= b < before]
+    def all(self, spark: SparkSession, name: str, before: int, schema) -> DataFrame | None:
+        """What all batches before `before` wrote."""
+        found = [b for b in self._batches(spark, name) if b < before]
+        if not found:
+            return None
+        return spark.read.schema(schema).parquet(*[f"{self.root}/{name}/batch={b}" for b in found])
+
+    def held(self, spark: SparkSession, first: dict[str, int], before: int) -> DataFrame | None:
+        """Messages that wait in the streams of `first`, each from its first batch on."""
+        found = [b for b in self._batches(spark, "held") if min(first.values()) <= b < before]
         if not found:
             return None
         with_batch = T.StructType([*MESSAGE_SCHEMA.fields, T.StructField("batch", T.LongType())])
         reader = spark.read.schema(with_batch).option("basePath", f"{self.root}/held")
-        return reader.parquet(*[f"{self.root}/held/batch={b}" for b in found])
+        rows = reader.parquet(*[f"{self.root}/held/batch={b}" for b in found])
+        begun = small_frame(spark, list(first.items()), "stream_id string, _first bigint")
+        return rows.join(begun, "stream_id").filter(F.col("batch") >= F.col("_first"))
 
     def write(self, df: DataFrame, name: str, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch}")
 
     def retire(self, spark: SparkSession, before: int) -> None:
         """Drop what no batch from `before` on can need."""
-        for name in ("held", "relations", "commits"):
+        for name in ("held", "commits"):
             old = [b for b in self._batches(spark, name) if b < before]
             for b in old if name == "held" else old[:-1]:
                 folders.remove(spark, f"{self.root}/{name}/batch={b}")
 
 
-def latest_relations(relations: DataFrame) -> DataFrame:
-    """The latest relation message of each oid."""
-    whole = F.struct(*MESSAGE_SCHEMA.fieldNames())
-    return (
-        relations.groupBy("stream_id", "rel_oid")
-        .agg(F.max_by(whole, "seq").alias("_last"))
-        .select("_last.*")
+def _sort_out(rows: DataFrame, markers: DataFrame) -> DataFrame:
+    """Add the nearest BEGIN or COMMIT on either side, and whether the message is part of a whole transaction."""
+    placed = nearest_markers(
+        rows, markers, ["stream_id"], "seq", value=F.struct("msg_type", "xid", "seq", "lsn"),
+        before="_begin", after="_commit",
     )
+    begun, ended = F.col("_begin.msg_type") == "B", F.col("_commit.msg_type") == "C"
+    whole = F.when(F.col("msg_type") == "B", ended).when(F.col("msg_type") == "C", begun).otherwise(begun & ended)
+    return placed.withColumn("_whole", F.coalesce(whole, F.lit(False)))
+
+
+def named_positions(positions: dict[str, int], tables: list[str]) -> dict[str, int | None]:
+    """Positions under the names they are saved by. Those of different streams can't be compared.
+
+    The position of the one stream there is holds for all tables and is the global one; of several streams each keeps its own.
+    """
+    if len(positions) == 1:
+        return dict.fromkeys([*tables, GLOBAL], next(iter(positions.values())))
+    return dict.fromkeys(tables) | {f"{GLOBAL}/{s}": p for s, p in positions.items()}
 
 
 def change_cdc(
@@ -113,97 +137,129 @@ def change_cdc(
     state = _State(f"{folder}/cdc")
     targets = list(tables)
 
-    def ready_messages(batch: DataFrame, number: int) -> tuple[DataFrame, DataFrame, int] | None:
-        """Messages up to the last commit of their stream; writes the state of this batch.
+    def sorted_out(batch: DataFrame, number: int, cached: list[DataFrame]) -> tuple[DataFrame, dict[str, int]] | None:
+        """Changes of the wanted tables in transactions that are whole now; writes the state of this batch.
 
-        Returns them with the relations known before and the last commit position, or nothing
-        where no commit arrived.
+        Returns them with the last commit position of each stream, or nothing where no transaction
+        became whole.
         """
-        # One row per stream, a handful: commits are planned with on the driver.
-        old = {
-            r.stream_id: r for r in state.latest(spark, "commits", number, COMMITS).collect()
+        kind = F.col("msg_type")
+        # One row per stream, a handful: they are planned with on the driver.
+        old = {r.stream_id: r for r in state.latest(spark, "commits", number, COMMITS).collect()}
+        heads = {
+            r.stream_id: r
+            for r in batch.groupBy("stream_id").agg(
+                F.min("seq").alias("first"),
+                F.count(F.when(kind == "C", 1)).alias("commits"),
+                F.count(F.when(kind == "B", 1)).alias("begins"),
+                F.count(F.when(kind == "R", 1)).alias("relations"),
+            ).collect()
         }
-        new = {r.stream_id: r for r in last_commits(batch).collect()}
-        open_batches = [r.held_from for r in old.values() if r.held_from is not None]
-        known = state.latest(spark, "relations", number, MESSAGE_SCHEMA)
-
-        everything = batch.withColumn("batch", F.lit(number).cast("bigint"))
-        # Held messages are read again only once their stream commits.
-        closing = [old[s].held_from for s in new if s in old and old[s].held_from is not None]
-        if closing:
-            earlier = state.held(spark, min(closing), number)
-            everything = everything if earlier is None else everything.unionByName(earlier)
-        cut = small_frame(
-            spark,
-            [
-                (s, old[s].commit_seq if s in old else None, new[s].commit_seq if s in new else None)
-                for s in {*old, *new}
-            ],
-            "stream_id string, _old bigint, _new bigint",
-        )
-        is_new = F.col("_old").isNull() | (F.col("seq") > F.col("_old"))
-        is_ready = is_new & F.coalesce(F.col("seq") <= F.col("_new"), F.lit(False))
-        is_now = F.col("batch") == number
-        placed = everything.join(cut, "stream_id", "left").withColumn(
-            "_place", F.when(is_ready, "ready").when(is_new, "held").otherwise("late")
-        )
-
-        def part(place: str, condition=None) -> DataFrame:
-            rows = placed.filter(F.col("_place") == place)
-            rows = rows if condition is None else rows.filter(condition)
-            return rows.select(MESSAGE_SCHEMA.fieldNames())
+        held_from = {s: r.held_from for s, r in old.items() if r.held_from is not None}
+        late = [
+            s for s, r in heads.items()
+            if s in old and old[s].commit_seq is not None and r.first <= old[s].commit_seq
+        ]
+        # Streams in which a transaction may have become whole, or a table known.
+        closing = [
+            s for s, r in heads.items()
+            if r.commits or r.relations or s in late or (r.begins and s in held_from)
+        ]
+        relations = batch.filter(kind == "R")
+        known = state.all(spark, "relations", number, MESSAGE_SCHEMA)
+        if any(r.relations for r in heads.values()):
+            state.write(relations, "relations", number)
+        known = relations if known is None else known.unionByName(relations)
+        known = known.dropDuplicates(["stream_id", "rel_oid", "seq"])
+
+        rows = batch.filter(kind.isin("B", "C", *DATA_TYPES))
+        waiting, rows = rows.filter(~F.col("stream_id").isin(closing)), rows.filter(F.col("stream_id").isin(closing))
+        taken_up = {s: held_from[s] for s in closing if s in held_from}
+        earlier = state.held(spark, taken_up, number) if taken_up else None
+        if earlier is not None:
+            rows = rows.unionByName(earlier.select(rows.columns))
+        if earlier is not None or late:
+            rows = rows.dropDuplicates(["stream_id", "seq"])
+        markers = rows.filter(kind.isin("B", "C"))
+        applied = state.all(spark, "applied", number, APPLIED) if late else None
+        if applied is not None:
+            # Something came at or before the last commit: what was applied before is left out, and what wasn't finds its
+            # transaction among those that were.
+            applied = applied.filter(F.col("stream_id").isin(late))
+            rows = rows.join(applied.select("stream_id", "seq"), ["stream_id", "seq"], "left_anti").select(rows.columns)
+            markers = rows.filter(kind.isin("B", "C")).select(applied.columns).unionByName(
+                applied.filter(kind.isin("B", "C"))
+            )
+        # A table that was not announced yet may be announced by a file that is still to come.
+        named = resolve_relation(rows, known).unionByName(rows.filter(kind.isin("B", "C")), allowMissingColumns=True)
+        placed = _sort_out(named, markers.select("stream_id", "seq", "lsn", "msg_type", "xid"))
+        unknown = F.col("table_name").startswith("unknown.") & ~F.col("table_name").isin(targets)
+        unknown = F.coalesce(unknown, F.lit(False))
+        placed = placed.withColumn("_whole", F.col("_whole") & ~unknown).persist()
+        cached.append(placed)
 
-        held, is_relation = F.col("_place") == "held", F.col("msg_type") == "R"
         found = {
             r.stream_id: r
             for r in placed.groupBy("stream_id").agg(
-                F.min(F.when(held, F.col("batch"))).alias("held_from"),
-                F.count(F.when(held & is_now, 1)).alias("held"),
-                F.count(F.when((F.col("_place") == "late") & is_now, 1)).alias("late"),
-                F.count(F.when((F.col("_place") == "ready") & is_relation, 1)).alias("relations"),
+                F.count(F.when(~F.col("_whole"), 1)).alias("held"),
+                F.count(F.when(F.col("_whole"), 1)).alias("ready"),
+                F.max(F.when(F.col("_whole") & (kind == "C"), F.col("seq"))).alias("commit_seq"),
+                F.max(F.when(F.col("_whole") & (kind == "C"), parse_lsn(F.col("lsn")))).alias("last_position"),
             ).collect()
         }
-        if any(r.held for r in found.values()):
-            state.write(part("held", is_now), "held", number)
-        if any(r.late for r in found.values()):
-            state.write(part("late", is_now), "late", number)
-        ready = part("ready")
-        if any(r.relations for r in found.values()):
-            relations = ready.filter(is_relation).unionByName(known)
-            state.write(latest_relations(relations), "relations", number)
+        for s in late:
+            log.info("%s: messages at or before its last commit arrived in batch %s", s, number)
+        held = placed.filter(~F.col("_whole")).select(
+            *[F.col(f.name) if f.name not in RELATION else F.lit(None).cast(f.dataType).alias(f.name) for f in MESSAGE_SCHEMA]
+        )
+        new_held = {s for s, r in found.items() if r.held} | (set(heads) - set(closing))
+        if new_held:
+            state.write(held.unionByName(waiting.select(held.columns)), "held", number)
+        ready = placed.filter("_whole")
+        if any(r.ready for r in found.values()):
+            marks = {c: F.when(kind.isin("B", "C"), F.col(c)).alias(c) for c in ("msg_type", "xid", "lsn")}
+            state.write(ready.select("stream_id", "seq", *marks.values()), "applied", number)
 
         commits = []
-        for s in sorted({*old, *new, *found}):
-            last = new.get(s) or old.get(s)
-            held_from = found[s].held_from if s in found else None
-            if s not in new and s in old and old[s].held_from is not None:
-                held_from = old[s].held_from
-            commits.append(
-                (s, last and last.commit_seq, last and last.last_position, held_from)
-            )
+        for s in sorted({*old, *heads}):
+            was, now_ = old.get(s), found.get(s)
+            seqs = [x for x in (was and was.commit_seq, now_ and now_.commit_seq) if x is not None]
+            ends = [x for x in (was and was.last_position, now_ and now_.last_position) if x is not None]
+            if s in closing:
+                since = number if s in new_held else None
+            else:
+                since = held_from.get(s, number if s in new_held else None)
+            commits.append((s, max(seqs, default=None), max(ends, default=None), since))
         state.write(small_frame(spark, commits, COMMITS), "commits", number)
-        needed = [c[3] for c in commits if c[3] is not None] + open_batches
+        needed = [c[3] for c in commits if c[3] is not None] + list(held_from.values())
         state.retire(spark, min([*needed, number - KEPT_BATCHES]))
-        if not new:
+        if not any(r.ready for r in found.values()):
             return None
-        return ready, known, max(r.last_position or 0 for r in new.values())
+        changes = ready.filter(kind.isin(DATA_TYPES) & F.col("table_name").isin(targets)).select(
+            *[c for c in placed.columns if c not in ("rel_namespace", "rel_table", "_begin", "_commit", "_whole")],
+            F.col("_begin.xid").alias("tx_xid"),
+            F.col("_commit.seq").alias("commit_seq"),
+            F.col("_commit.lsn").alias("commit_lsn"),
+        )
+        return changes, {c[0]: c[2] for c in commits if c[2] is not None}
 
     def write(batch: DataFrame, number: int) -> None:
         now = clock()
         batch_id = f"cdc-{generation}-{number:010d}"
         batch = batch.persist()
-        changes = None
+        cached = [batch]
         try:
-            found = ready_messages(batch, number)
+            found = sorted_out(batch, number, cached)
             if found is None:
                 return
-            ready, known, position = found
-            changes = committed_changes(ready, targets, F.lit(now), known)
+            changes, positions = found
+            changes = add_cdc_metadata(changes, change_operation(), F.lit(now))
             for stream_id, start in (start_positions or {}).items():
                 passed = parse_lsn(F.col("commit_lsn")) <= start
                 passed = (F.col("stream_id") == stream_id) & F.coalesce(passed, F.lit(False))
                 changes = changes.filter(~passed)
             changes = changes.persist()
+            cached.append(changes)
             counts = sync_counts(changes).collect()
             for r in counts:
                 log.info("%s: %s %s", r.table_name, r.records, r[OPERATION_COLUMN])
@@ -225,16 +281,15 @@ def change_cdc(
 
             update = small_frame(
                 spark,
-                [(name, CDC, position, now) for name in [*tables, GLOBAL]],
+                [(name, CDC, p, now) for name, p in named_positions(positions, list(tables)).items()],
                 "stream_id string, sync_mode string, last_position bigint, "
                 "last_sync_time timestamp",
             )
             update = update.withColumn("last_lsn", format_lsn(F.col("last_position")))
             store.update(spark, streams=update)
         finally:
-            if changes is not None:
-                changes.unpersist()
-            batch.unpersist()
+            for df in cached:
+                df.unpersist()
 
     writer = messages.writeStream.foreachBatch(write).option(
         "checkpointLocation", f"{folder}/checkpoint-cdc"

@@ -50,11 +50,8 @@ def latest_name(rows, row):
     return f"{best[6]}.{best[7]}" if best else f"unknown.{row[5]}"
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_resolve_relation(spark, monkeypatch, seed, broadcast):
-    if not broadcast:
-        monkeypatch.setattr(chg, "BROADCAST_VERSIONS", 0)
+def test_resolve_relation(spark, seed):
     rows = random_log(seed, 0.15)
     got = chg.resolve_relation(frame(spark, rows), width=16).collect()
     want = {(r[0], r[1]): latest_name(rows, r) for r in rows if r[3] == "I"}

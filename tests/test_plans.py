@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from changelake.operators import changes as chg
 from changelake.operators.ordered import row_numbers
-from changelake.operators.sizing import broadcast_if_small, is_small
 from changelake.queries.registry import QUERIES
 from changelake.sources import snapshot as snap
 from tests.test_changes import frame, message
@@ -76,16 +75,7 @@ def test_row_numbers_shuffle_rows_once(spark):
     assert "SinglePartition" not in text
 
 
-def test_size_is_checked_before_a_broadcast(spark):
-    small = spark.range(10)
-    assert is_small(small) and not is_small(small, rows=9) and not is_small(small, size=5)
-    assert is_small(small, ["id"], per_key=1) and not is_small(small, ["id"], per_key=0)
-    assert is_small(small.filter("id < 0")) and is_small(small.filter("id < 0"), ["id"], 0)
-    assert "ResolvedHint" in plan(broadcast_if_small(small))
-
-
-def test_many_relations_are_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(chg, "BROADCAST_VERSIONS", 1)
+def test_relations_are_not_broadcast(spark):
     rows = [message(n, "R", oid=1, table="n.t", columns=["a"]) for n in range(3)]
     rows.append(message(5, "I", oid=1))
     text = physical(chg.resolve_relation(frame(spark, rows)))

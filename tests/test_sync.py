@@ -182,3 +182,34 @@ def test_partitioned_files(spark, tmp_path):
 def test_catalog_names_each_table_once(spark):
     with pytest.raises(ValueError):
         catalog_frame(spark, [Stream("n.a"), Stream("n.a")])
+
+
+def test_positions_of_streams_stay_apart(spark, world):
+    """A commit of one stream passes over nothing of another whose positions are lower."""
+    root, source, destination, store = world
+    relation = dict(oid=1, table="n.a", columns=["id", "v"])
+    land(
+        frame(
+            spark,
+            [
+                message(100, "R", "z", **relation), message(101, "B", "z"),
+                message(102, "I", "z", oid=1, new=t("5", "z")), message(103, "C", "z"),
+            ],
+        ),
+        f"{root}/in",
+    )
+    run(spark, world, from_earliest=True)
+    saved = {r.stream_id: r.last_position for r in store.load(spark).streams.collect()}
+    assert saved[f"{GLOBAL}/s"] == 4 and saved[f"{GLOBAL}/z"] == 103 and saved["n.a"] is None
+    later_changes(spark, root)
+    run(spark, world)
+    assert operations(spark, destination, "a_log") == {"SNAPSHOT": 100, "INSERT": 2, "UPDATE": 1}
+
+
+def test_global_position_of_several_streams_is_refused(spark, world):
+    root, _, _, store = world
+    land(frame(spark, [message(100, "B", "z"), message(101, "C", "z")]), f"{root}/in")
+    row = [(GLOBAL, None, "0/4", 4, None, None, None, NOW)]
+    store.update(spark, streams=small_frame(spark, row, STREAM_SCHEMA))
+    with pytest.raises(ValueError):
+        run(spark, world)
