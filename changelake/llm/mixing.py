@@ -207,7 +207,7 @@ def plan(sized: DataFrame) -> DataFrame:
 
 
 def drawn(docs: DataFrame, size: Column | None = None) -> DataFrame:
-    """The rows of `docs` with size, source_size, target, times (how often the mix takes the row) and shards (one for each time).
+    """The rows of `docs`, each as `row`, with size, hash, source_size, target, times (how often the mix takes the row) and shards (one for each time).
 
     Every row of a source is drawn in each whole pass; the last, partial pass draws disjoint blocks in a random order until the target. Draws of blocks are
     dealt to shards by the quotas of the splitting tree. Rows with equal id, source and size share a hash and are drawn alike; else a source's words miss its target by less than half of the row in which it falls.
@@ -216,11 +216,8 @@ def drawn(docs: DataFrame, size: Column | None = None) -> DataFrame:
     A null source is a source, the last. Null texts have size 0; so have empty ones: their rows are drawn with their block and add nothing. A source
     without words has target 0 and none of its rows is taken. An empty table gives no rows.
     """
-    names = ("size", "hash", "source_size", "target", "times", "shards")
-    if clash := set(names) & set(docs.columns):
-        docs = docs.withColumnsRenamed({c: f"in_{c}" for c in clash})
-    sized = docs.withColumn("size", size_of(F.col("text")) if size is None else size)
-    sized = sized.withColumn("hash", F.xxhash64(F.lit(SEED), "doc_id", "source", "size"))
+    sized = docs.select(F.struct("*").alias("row"), (size_of(F.col("text")) if size is None else size).alias("size"))
+    sized = sized.select("row", "size", F.col("row.source").alias("source"), F.xxhash64(F.lit(SEED), "row.doc_id", "row.source", "size").alias("hash"))
     narrow = saved(sized.select("source", "size", "hash"), "mix-sizes")
     per = plan(narrow).withColumnRenamed("source", "_source")
     block = _parts(F.col("hash"), F.col("bits"))[0]
@@ -230,23 +227,23 @@ def drawn(docs: DataFrame, size: Column | None = None) -> DataFrame:
     shard = lambda e: F.size(F.filter("ends", lambda x: x <= e * F.col("blocks") + rank)).cast("int")
     rows = sized.join(per, F.col("source").eqNullSafe(F.col("_source"))).withColumn("times", times)
     shards = F.transform(F.filter(F.sequence(F.lit(0), F.lit(MOST)), lambda e: e < F.col("times")), shard)
-    return rows.withColumn("shards", shards).select(*docs.columns, *names)
+    return rows.withColumn("shards", shards).select("row", "size", "hash", "source_size", "target", "times", "shards")
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """A row for every draw, with its shard and order: `_shard`, and `_order` by which a shard is shuffled."""
-    rows = drawn(docs).select("*", F.posexplode("shards").alias("_turn", "_shard"))
-    return rows.withColumn("_order", F.xxhash64(F.lit(SEED + 2), "hash", "_turn")).select(*docs.columns, "_shard", "_order")
+    """For every draw the document as `row`, its shard, and the order by which the shard is shuffled."""
+    rows = drawn(docs).select("row", "hash", F.posexplode("shards").alias("turn", "shard"))
+    return rows.select("row", F.col("shard"), F.xxhash64(F.lit(SEED + 2), "hash", "turn").alias("order"))
 
 
 def shuffled(docs: DataFrame) -> DataFrame:
     """The mix in the order of its shards, each shuffled: sorted within partitions, a shard's rows in ranges of their order."""
-    return mix(docs).repartitionByRange("_shard", "_order").sortWithinPartitions("_shard", "_order")
+    return mix(docs).repartitionByRange("shard", "order").sortWithinPartitions("shard", "order")
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken, shards."""
     return drawn(docs.select("doc_id", "source", "text")).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"),
+        "row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"),
         F.concat_ws(",", F.transform("shards", lambda s: s.cast("string"))).alias("shards"),
     )

@@ -38,8 +38,8 @@ def base_spans(text: Column, kind: str) -> Column:
     return hits(text, HEX)
 
 
-def detect(docs: DataFrame, extra: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """One row per document: the columns `extra`, the base spans of each kind, and `linked`, spans reported for their company.
+def detect(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """One row per document: doc_id or, if `whole`, the document as `row`, the base spans of each kind, and `linked`, spans reported for their company.
 
     Parts are identifiers, weak secrets and endpoints; base spans take part as what they are (access: identifier, assign and hex: secret).
     A weak secret is reported where an identifier or endpoint stands within SCOPE code points of it in the same document, an identifier or endpoint that isn't a base span where
@@ -53,7 +53,7 @@ def detect(docs: DataFrame, extra: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     key = F.struct(F.xxhash64("doc_id", text).alias("a"), F.xxhash64(F.lit(7), text, "doc_id").alias("b"))
     held = saved(
         docs.select(
-            *extra, key.alias("_key"), *(base_spans(text, k).alias(f"_{k}") for k in KINDS),
+            F.struct("*").alias("row") if whole else F.col("doc_id"), key.alias("_key"), *(base_spans(text, k).alias(f"_{k}") for k in KINDS),
             *(hits(text, p).alias(f"_{k}") for k, p in PARTS.items()),
         ),
         "secret-spans",
@@ -131,25 +131,28 @@ def masked(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
 
     Texts without spans, null ones included, stay as they are.
     """
-    rows = detect(docs, tuple(docs.columns))
+    rows = detect(docs, whole=True)
 
     def cut(spans: Column) -> Column:
         step = lambda a, s: F.struct(
             F.greatest(a["at"], s["end"]).alias("at"),
             F.when(s["start"] < a["at"], a["out"])
-            .otherwise(F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, s["start"] - a["at"]), F.lit(mask)))
+            .otherwise(F.concat(a["out"], F.substring(F.col("row.text"), a["at"] + 1, s["start"] - a["at"]), F.lit(mask)))
             .alias("out"),
         )
         return F.aggregate(
             spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-            lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))),
+            lambda a: F.concat(a["out"], F.substring(F.col("row.text"), a["at"] + 1, F.length("row.text"))),
         )
 
-    clean = let(all_spans(), lambda s: F.when(F.size(s) > 0, cut(s)).otherwise(F.col("text")))
-    out = rows.withColumn("text", clean)
+    clean = let(all_spans(), lambda s: F.when(F.size(s) > 0, cut(s)).otherwise(F.col("row.text")))
+    out = rows.select(F.col("row"), clean.alias("clean"))
+    fields = {c: F.col("row")[c] for c in docs.columns} | {"text": F.col("clean")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+        same = F.col("clean").eqNullSafe(F.col("row.text"))
+        counted = F.length("clean").cast(docs.schema["n_chars"].dataType)
+        fields["n_chars"] = F.when(same, F.col("row.n_chars")).otherwise(counted)
+    return out.select(*(x.alias(c) for c, x in fields.items()))
 
 
 __all__ = ["base_spans", "detect", "digest", "masked", "named"]

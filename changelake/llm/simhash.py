@@ -228,12 +228,13 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One document of each group: that with the smallest doc_id (null only where there is no other) and, of several texts with that id, hash."""
-    text_hash = F.xxhash64("text")
-    rows = grouped_docs(docs.withColumn("_h", text_hash), ("doc_id", "_h"))
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"))
+    rows = grouped_docs(rows, ("doc_id", "_h"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_h")).alias("w")
     group = F.coalesce("component_id", "fp")
     winners = saved(rows.groupBy(F.col("component_id").isNull(), group).agg(first).select("w.doc_id", "w._h"), "winners")
-    stay = docs.withColumn("_h", text_hash).join(
+    whole = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("_h"))
+    stay = whole.join(
         winners.toDF("_id", "_wh"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_wh")), "left_semi"
     )
-    return stay.dropDuplicates(["doc_id", "_h"]).select(*docs.columns)
+    return stay.dropDuplicates(["doc_id", "_h"]).select("row.*")
