@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changelake.functions.types import SPARK_TYPES, Field
+from changelake.functions.types import SPARK_TYPES, Field, spark_type
 
 # One element of a flat array literal: quoted, or bare up to the next comma.
 ARRAY_ELEMENT = r'"(?:[^"\\]|\\.)*"|[^,"{}\s][^,"{}]*'
@@ -40,10 +40,17 @@ def _binary(text: Column) -> Column:
 
 
 def _micros_of_day(text: Column) -> Column:
-    clock = F.concat(F.lit("1970-01-01 "), text).try_cast("timestamp_ntz")
+    """A time with a zone is brought to UTC; 24:00:00 is the end of the day."""
+    zone = F.regexp_extract(text, r"\s*([+-][0-9]{1,2}(?::?[0-9]{2}){0,2}|[Zz])\s*$", 1)
+    bare = F.regexp_replace(text, r"\s*(?:[+-][0-9]{1,2}(?::?[0-9]{2}){0,2}|[Zz])\s*$", "")
+    clock = F.when(bare.contains(":"), F.concat(F.lit("1970-01-01 "), bare).try_cast("timestamp_ntz"))
     seconds = F.hour(clock) * 3600 + F.minute(clock) * 60
-    micros = (F.date_part(F.lit("SECOND"), clock) * 1000000).cast("bigint")
-    return seconds.cast("bigint") * 1000000 + micros
+    micros = seconds.cast("bigint") * 1000000 + (F.date_part(F.lit("SECOND"), clock) * 1000000).cast("bigint")
+    micros = F.when(bare.rlike(r"^\s*24:00(?::00(?:\.0*)?)?\s*$"), F.lit(86_400_000_000)).otherwise(micros)
+    digits = F.rpad(F.regexp_replace(F.regexp_replace(zone, "^([+-])([0-9])(?![0-9])", "$10$2"), "[^0-9]", ""), 6, "0")
+    part = lambda at: F.coalesce(F.substring(digits, at, 2).try_cast("bigint"), F.lit(0))
+    ahead = (part(1) * 3600 + part(3) * 60 + part(5)) * F.when(zone.startswith("-"), -1_000_000).otherwise(1_000_000)
+    return F.when(zone == "", micros).otherwise(F.pmod(micros - ahead, F.lit(86_400_000_000)))
 
 
 def _array(text: Column) -> Column:
@@ -72,7 +79,7 @@ def cast_text(text: Column, canonical: str) -> Column:
         return _micros_of_day(text)
     if canonical == "ARRAY":
         return _array(text)
-    return text.try_cast(SPARK_TYPES[canonical])
+    return text.try_cast(spark_type(canonical))
 
 
 def cast_columns(df: DataFrame, fields: Iterable[Field]) -> DataFrame:
@@ -95,7 +102,7 @@ def conform(df: DataFrame, fields: Iterable[Field]) -> DataFrame:
     have = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for f in fields:
-        column, want = F.col(f"`{f.name}`"), SPARK_TYPES[f.type]
+        column, want = F.col(f"`{f.name}`"), spark_type(f.type)
         if have[f.name].typeName() == "string" and want.typeName() != "string":
             column = cast_text(column, f.type)
         elif have[f.name] != want:

@@ -88,6 +88,14 @@ ENVELOPE_FIELDS = [
 ]
 
 
+def spark_type(canonical: str) -> T.DataType:
+    """Spark type of a canonical type; `DECIMAL(p,s)` keeps its own precision."""
+    if canonical.startswith("DECIMAL("):
+        precision, scale = canonical[8:-1].split(",")
+        return T.DecimalType(int(precision), int(scale))
+    return SPARK_TYPES[canonical]
+
+
 def resolve_type(name: Column) -> Column:
     """Canonical type of a database type name (null stays STRING)."""
     plain = F.regexp_replace(F.lower(name), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
@@ -120,7 +128,7 @@ def table_schema(fields: Iterable[Field]) -> T.StructType:
         [
             T.StructField(
                 f.name,
-                SPARK_TYPES[f.type],
+                spark_type(f.type),
                 f.nullable,
                 {"cdc_type": f.type, "primary_key": f.primary_key},
             )

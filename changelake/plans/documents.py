@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Any
 
 from changelake.functions.types import SPARK_TYPES, Field
@@ -18,7 +18,7 @@ from changelake.sinks import parquet
 from changelake.sources.tables import JdbcTables
 
 # Name under which the session knows the catalog of table destinations.
-CATALOG = "cdc_catalog"
+CATALOG = "changelake"
 
 # Source settings used where a document names none.
 HOST, PORT, SCHEMAS = "localhost", 5432, ["public"]
@@ -80,6 +80,14 @@ def catalog_settings(document: dict[str, Any]) -> dict[str, str]:
     return settings
 
 
+def _consumer(document: dict[str, Any]) -> dict[str, str]:
+    """Options of the topic's consumer."""
+    options = {f"kafka.{k}": str(v) for k, v in (document.get("consumer_properties") or {}).items()}
+    if document.get("group_id"):
+        options["kafka.group.id"] = document["group_id"]
+    return options
+
+
 @dataclass(frozen=True)
 class TopicSource:
     """How to reach a topic, and when to checkpoint."""
@@ -89,6 +97,8 @@ class TopicSource:
     topics: tuple[str, ...] = ()
     records: int = CHECKPOINT_RECORDS
     interval_ms: int = CHECKPOINT_INTERVAL_MS
+    partitions: int = 1
+    options: dict[str, str] = field(default_factory=dict)
 
 
 def source(document: dict[str, Any]) -> JdbcTables | TopicSource:
@@ -104,6 +114,8 @@ def source(document: dict[str, Any]) -> JdbcTables | TopicSource:
             tuple(document.get("topics") or ()),
             document.get("checkpoint_records", CHECKPOINT_RECORDS),
             document.get("checkpoint_interval_ms", CHECKPOINT_INTERVAL_MS),
+            document.get("partitions", 1),
+            _consumer(document),
         )
     if kind != "postgres":
         raise ValueError(f"source type {kind} is not supported")

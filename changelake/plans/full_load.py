@@ -39,7 +39,8 @@ def full_load(
     done = (saved.full_load_chunks_done or 0) if saved else 0
     total = (saved.full_load_chunks_total or 0) if saved else 0
     # A resumed load keeps the ranges it began with; later rows fall into the open last one.
-    ranges = source.ranges(spark, table, fields, total if done else None)
+    listing = f"{store.folder(spark)}/load/{table}"
+    ranges = source.ranges(spark, table, fields, total if done else None, listing)
     generation = store.generation(spark)
     read = 0
     for first in range(done, ranges.count, chunks_per_wave):

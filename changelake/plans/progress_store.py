@@ -8,6 +8,7 @@ half of one. No rename is needed, which object stores do not do atomically.
 
 from __future__ import annotations
 
+import threading
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,10 +42,11 @@ def empty_progress(spark: SparkSession) -> Progress:
 
 
 class ProgressStore:
-    """The progress of one sync; one job at a time writes to it."""
+    """The progress of one sync; one job at a time writes to it, from several threads if need be."""
 
     def __init__(self, path: str):
         self.path = path.rstrip("/")
+        self._updating = threading.Lock()
 
     def generation(self, spark: SparkSession) -> int:
         """Counts the full refreshes."""
@@ -92,14 +94,15 @@ class ProgressStore:
         offsets: DataFrame | None = None,
     ) -> None:
         """Merge what is new into the saved progress."""
-        saved = self.load(spark)
-        self.save(
-            spark,
-            Progress(
-                saved.streams if streams is None else merge_streams(saved.streams, streams),
-                saved.offsets if offsets is None else merge_offsets(saved.offsets, offsets),
-            ),
-        )
+        with self._updating:
+            saved = self.load(spark)
+            self.save(
+                spark,
+                Progress(
+                    saved.streams if streams is None else merge_streams(saved.streams, streams),
+                    saved.offsets if offsets is None else merge_offsets(saved.offsets, offsets),
+                ),
+            )
 
     def reset(self, spark: SparkSession) -> None:
         """Full refresh: start a new generation with empty progress."""

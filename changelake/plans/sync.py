@@ -3,22 +3,31 @@
 from __future__ import annotations
 
 import datetime
+import logging
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelake.operators.catalog import stream_select, sync_plan
 from changelake.operators.progress import STREAM_SCHEMA
 from changelake.operators.transactions import last_commits
-from changelake.plans.config import Destination, Stream, catalog_frame
+from changelake.plans import documents
+from changelake.plans.config import CHECKPOINT_INTERVAL_MS, Destination, Stream, catalog_frame
 from changelake.plans.full_load import CHUNKS_PER_WAVE, full_load
 from changelake.plans.progress_store import GLOBAL, ProgressStore
+from changelake.plans.topic_log import only_stream
 from changelake.session import small_frame
 from changelake.sources.changelog import change_log, change_log_stream
 from changelake.sources.tables import fields_by_table
 from changelake.streaming.change_cdc import change_cdc
-from changelake.streaming.topic_cdc import topic_cdc, utc_now
+from changelake.streaming.topic_cdc import subscribe, topic_cdc, utc_now
+
+TABLES_AT_ONCE = 4
+
+log = logging.getLogger(__name__)
 
 
 def start_positions(
@@ -69,33 +78,45 @@ def sync(
     from_earliest: bool = False,
     available_now: bool = True,
     files_per_trigger: int | None = 1000,
+    interval_ms: int = CHECKPOINT_INTERVAL_MS,
+    missing: str = "warn",
 ) -> dict[str, int]:
     """Run a sync over tables; returns the number of ranges loaded per table.
 
     `source` lists and reads tables, `messages` is the folder where change messages land.
-    With no saved progress changes count from now on; `from_earliest` takes all that landed.
+    With no saved progress changes count from now on; `from_earliest` takes all that landed. Streams that the
+    source doesn't have are named in a warning, or refused with `missing="fail"`.
     """
     if full_refresh:
         store.reset(spark)
     catalog = catalog_frame(spark, streams)
     selected = stream_select(source.discover(spark), catalog)
     fields = fields_by_table(selected)
+    absent = sorted({s.table for s in streams} - set(fields))
+    if absent and missing == "fail":
+        raise ValueError(f"not in the source: {', '.join(absent)}")
+    if absent:
+        log.warning("not in the source, passed over: %s", ", ".join(absent))
     chosen = catalog.filter(F.col("table").isin(list(fields)))
     steps = sync_plan(chosen, store.load(spark).streams).orderBy("table").collect()
 
     following = [s for s in steps if s.needs_cdc]
     positions = None
     if following and messages is not None:
-        log = change_log(spark, messages)
-        positions = start_positions(spark, log, store, clock(), from_earliest)
-
-    loaded = {}
-    for step in steps:
-        if step.needs_full_load:
-            loaded[step.table] = full_load(
-                spark, source, step.table, fields[step.table], destination, step.destination,
-                store, clock(), chunks_per_wave,
-            )
+        landed = change_log(spark, messages)
+        positions = start_positions(spark, landed, store, clock(), from_earliest)
+
+    def load(step) -> int:
+        return full_load(
+            spark, source, step.table, fields[step.table], destination, step.destination,
+            store, clock(), chunks_per_wave,
+        )
+
+    # Several tables at once, so that a cluster is not kept waiting by the end of each.
+    to_load = [s for s in steps if s.needs_full_load]
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        counts = list(pool.map(inheritable_thread_target(spark)(load), to_load))
+    loaded = {s.table: n for s, n in zip(to_load, counts)}
     if following and messages is not None:
         query = change_cdc(
             change_log_stream(spark, messages, files_per_trigger),
@@ -105,6 +126,7 @@ def sync(
             positions,
             clock,
             available_now,
+            interval_ms,
         )
         query.awaitTermination()
     return loaded
@@ -119,10 +141,42 @@ def sync_topic(
     full_refresh: bool = False,
     clock: Callable[[], datetime.datetime] = utc_now,
     available_now: bool = True,
+    interval_ms: int = CHECKPOINT_INTERVAL_MS,
 ) -> None:
     """Run a sync over the one topic of the catalog."""
     if full_refresh:
         store.reset(spark)
     topic_cdc(
-        messages, streams, destination, store, clock, available_now
+        messages, streams, destination, store, clock, available_now, interval_ms
     ).awaitTermination()
+
+
+def sync_documents(
+    spark: SparkSession,
+    source: dict,
+    catalog: dict,
+    destination: dict,
+    store: ProgressStore,
+    full_refresh: bool = False,
+    available_now: bool = True,
+    **options,
+) -> dict[str, int] | None:
+    """Run the sync that three documents describe: of tables, whose document names the folder of `messages`, or of a topic."""
+    streams, target = documents.streams(catalog), documents.destination(destination)
+    found = documents.source(source)
+    if not isinstance(found, documents.TopicSource):
+        interval = source.get("checkpoint_interval_ms", CHECKPOINT_INTERVAL_MS)
+        return sync(
+            spark, found, source.get("messages"), target, streams, store, full_refresh,
+            available_now=available_now, interval_ms=interval, **options,
+        )
+    if full_refresh:
+        store.reset(spark)
+    messages = subscribe(
+        spark, found.servers, only_stream(streams), store, found.partitions, found.start, found.records,
+        found.options, found.interval_ms,
+    )
+    sync_topic(
+        spark, messages, target, streams, store, available_now=available_now, interval_ms=found.interval_ms, **options
+    )
+    return None

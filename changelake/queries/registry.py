@@ -501,7 +501,7 @@ def append(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "append")
     rows = snapshot(spark, sf_dir)
     append_parquet(rows, root, "orders", inputs.INGEST_TS.date(), max_records=5000)
-    back = spark.read.parquet(f"{root}/orders")
+    back = spark.read.parquet(f"{root}/orders").drop("batch_id")
     return back.withColumn("ingest_date", F.date_format("ingest_date", "yyyy-MM-dd"))
 
 

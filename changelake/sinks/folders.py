@@ -38,3 +38,15 @@ def touch(spark: SparkSession, path: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _path(spark, path)
     fs.delete(p, True)
+
+
+def size(spark: SparkSession, path: str) -> int | None:
+    """Bytes of a file, null where it is gone."""
+    fs, p = _path(spark, path)
+    return fs.getFileStatus(p).getLen() if fs.exists(p) else None
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the parents of what a pattern finds."""
+    fs, p = _path(spark, pattern)
+    return [status.getPath().getParent().getName() for status in fs.globStatus(p) or []]

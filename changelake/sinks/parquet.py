@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from changelake.sinks import folders
+
 # File settings used where a destination names none.
 FILE_SIZE_MB = 256
 ROW_GROUP_SIZE_MB = 128
@@ -24,16 +26,6 @@ def records_per_file(schema: T.StructType, file_size_mb: int = FILE_SIZE_MB) ->
     return max(file_size_mb * 1024 * 1024 // max(width, 1), 1)
 
 
-def _writer(df: DataFrame, compression, row_group_size_mb, file_size_mb, max_records):
-    rows = max_records or records_per_file(df.schema, file_size_mb)
-    return (
-        df.write.partitionBy("ingest_date")
-        .option("compression", compression.lower())
-        .option("parquet.block.size", row_group_size_mb * 1024 * 1024)
-        .option("maxRecordsPerFile", rows)
-    )
-
-
 def append_parquet(
     df: DataFrame,
     base_path: str,
@@ -44,10 +36,11 @@ def append_parquet(
     file_size_mb: int = FILE_SIZE_MB,
     max_records: int | None = None,
 ) -> None:
-    """Append files of bounded size under `base_path/table/ingest_date=...`."""
-    dated = df.withColumn("ingest_date", F.lit(ingest_date))
-    writer = _writer(dated, compression, row_group_size_mb, file_size_mb, max_records)
-    writer.mode("append").parquet(f"{base_path}/{table}")
+    """Append files of bounded size as a batch that is never repeated."""
+    write_batch(
+        df, base_path, table, f"append-{uuid.uuid4().hex}", ingest_date, compression,
+        row_group_size_mb, file_size_mb, max_records,
+    )
 
 
 def write_batch(
@@ -61,13 +54,17 @@ def write_batch(
     file_size_mb: int = FILE_SIZE_MB,
     max_records: int | None = None,
 ) -> None:
-    """Write one batch to a folder of its own; the same batch again replaces it.
+    """Write one batch to a folder of its own, `table/ingest_date=.../batch_id=...`; the same batch again replaces it.
 
-    The folder is replaced as a whole, so a batch that is repeated on the next day leaves
-    nothing of the day before.
+    A batch that is repeated on a later day keeps the day of its first attempt, so it replaces
+    itself and a read of one day lists the batches of that day only.
     """
-    dated = df.withColumn("ingest_date", F.lit(ingest_date))
-    writer = _writer(dated, compression, row_group_size_mb, file_size_mb, max_records)
-    # Also where the session overwrites partitions one by one.
-    writer = writer.option("partitionOverwriteMode", "static")
-    writer.mode("overwrite").parquet(f"{base_path}/{table}/batch_id={batch_id}")
+    spark, day = df.sparkSession, f"ingest_date={ingest_date.isoformat()}"
+    before = folders.matching(spark, f"{base_path}/{table}/ingest_date=*/batch_id={batch_id}")
+    (
+        df.write.option("compression", compression.lower())
+        .option("parquet.block.size", row_group_size_mb * 1024 * 1024)
+        .option("maxRecordsPerFile", max_records or records_per_file(df.schema, file_size_mb))
+        .mode("overwrite")
+        .parquet(f"{base_path}/{table}/{min(before, default=day)}/batch_id={batch_id}")
+    )

@@ -14,6 +14,9 @@ from changelake.operators.records import add_cdc_metadata
 PAGES_PER_CHUNK = 500
 FETCH_SIZE = 5000
 
+# Pages of 8 KB that make a file of 256 MB: what a load over JDBC takes as one range, task and file.
+PAGES_PER_FILE = 32_768
+
 # Ranges are listed in two steps so that no single array grows with the table.
 _LISTED_AT_ONCE = 1000
 

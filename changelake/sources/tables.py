@@ -6,8 +6,9 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changelake.functions.types import SPARK_TYPES, Field
 from changelake.operators.catalog import discover
@@ -15,7 +16,7 @@ from changelake.session import small_frame
 from changelake.sinks import folders
 from changelake.sources.snapshot import (
     FETCH_SIZE,
-    PAGES_PER_CHUNK,
+    PAGES_PER_FILE,
     ctid_predicates,
     page_chunks,
 )
@@ -42,43 +43,67 @@ def fields_by_table(discovered: DataFrame) -> dict[str, list[Field]]:
     return out
 
 
+def canonical_type(kind: T.DataType) -> str:
+    """Canonical type that holds every value of a Spark type; nested types have none and are refused."""
+    if isinstance(kind, (T.ByteType, T.ShortType)):
+        return "INT32"
+    if isinstance(kind, T.DecimalType):
+        return "DECIMAL" if kind == SPARK_TYPES["DECIMAL"] else f"DECIMAL({kind.precision},{kind.scale})"
+    if isinstance(kind, (T.StructType, T.MapType)):
+        raise ValueError(f"columns of type {kind.simpleString()} can't be captured")
+    return next((c for c, t in SPARK_TYPES.items() if t == kind), "STRING")
+
+
+LISTED = "n bigint, path string, size bigint"
+
+
 @dataclass(frozen=True)
 class FileTables:
     """Tables landed as Parquet. A range is a file, so each file is read once however it is sorted.
 
-    `keys` names the primary key column of each table.
+    `keys` names the primary key columns of each table that has some: one name or several.
     """
 
     paths: dict[str, str]
-    keys: dict[str, str]
+    keys: dict[str, str | tuple[str, ...]]
 
     def discover(self, spark: SparkSession) -> DataFrame:
         rows = []
         for table, path in self.paths.items():
+            keys = self.keys.get(table, ())
+            keys = (keys,) if isinstance(keys, str) else tuple(keys)
             for n, f in enumerate(spark.read.parquet(path).schema.fields, 1):
-                canonical = next(
-                    (c for c, t in SPARK_TYPES.items() if t == f.dataType), "STRING"
-                )
-                is_key = f.name == self.keys[table]
-                rows.append((table, f.name, canonical, not is_key, is_key, n))
+                is_key = f.name in keys
+                rows.append((table, f.name, canonical_type(f.dataType), not is_key, is_key, n))
         return small_frame(spark, rows, DISCOVERED)
 
-    def files(self, spark: SparkSession, table: str) -> list[str]:
-        """Paths of a table's files, oldest first, so that later ones come last."""
+    def files(self, spark: SparkSession, table: str) -> DataFrame:
+        """The files of a table, numbered from the oldest on."""
         listed = (
             spark.read.format("binaryFile")
             .option("pathGlobFilter", "*.parquet")
             .option("recursiveFileLookup", True)
             .load(self.paths[table])
-            .select("modificationTime", "path")
+            .select("modificationTime", "path", F.col("length").alias("size"))
         )
-        return [r.path for r in listed.orderBy("modificationTime", "path").collect()]
+        order = Window.orderBy("modificationTime", "path")
+        return listed.select((F.row_number().over(order) - 1).cast("bigint").alias("n"), "path", "size")
 
     def ranges(
-        self, spark: SparkSession, table: str, fields: list[Field], count: int | None = None
+        self, spark: SparkSession, table: str, fields: list[Field], count: int | None = None, listing: str | None = None
     ) -> Ranges:
-        files = self.files(spark, table)
-        count = count or max(len(files), 1)
+        """A range for each file. The files are listed once, in the folder `listing`, and ranges refer to that list.
+
+        So a load that is resumed reads the files it began with, each once, whatever came or went meanwhile: a file that is gone or has another
+        size raises, files that came later belong to the last range.
+        """
+        if listing is None or not folders.exists(spark, f"{listing}/_SUCCESS"):
+            files = self.files(spark, table)
+            if listing is not None:
+                files.write.mode("overwrite").parquet(listing)
+        if listing is not None:
+            files = spark.read.schema(LISTED).parquet(listing)
+        count = max(files.count(), 1)
         names = [f.name for f in fields]
         path = self.paths[table]
         reader = spark.read.schema(spark.read.parquet(path).schema)
@@ -86,8 +111,15 @@ class FileTables:
             reader = reader.option("basePath", path)
 
         def read(first: int, last: int) -> DataFrame:
-            # The last range is open: files that came after the load began belong to it.
-            part = files[first:] if last == count - 1 else files[first : last + 1]
+            # The paths of one wave of ranges, which is what is read at once.
+            wave = files.filter(F.col("n").between(first, last)).orderBy("n").collect()
+            for r in wave:
+                if folders.size(spark, r.path) != r.size:
+                    raise FileNotFoundError(f"{r.path} is gone or has changed since the load of {table} began")
+            part = [r.path for r in wave]
+            if last == count - 1 and listing is not None:
+                later = self.files(spark, table).join(files.select("path"), "path", "left_anti")
+                part += [r.path for r in later.orderBy("n").collect()]
             rows = reader.parquet(*part) if part else reader.parquet(path).limit(0)
             return rows.select(names)
 
@@ -104,7 +136,7 @@ class JdbcTables:
     url: str
     properties: dict[str, str] = field(default_factory=dict)
     schemas: tuple[str, ...] = ("public",)
-    pages_per_chunk: int = PAGES_PER_CHUNK
+    pages_per_chunk: int = PAGES_PER_FILE
 
     def _query(self, spark: SparkSession, sql: str) -> DataFrame:
         return spark.read.jdbc(self.url, f"({sql}) q", properties=self.properties)
@@ -122,15 +154,17 @@ class JdbcTables:
         return discover(*views, schemas=self.schemas)
 
     def ranges(
-        self, spark: SparkSession, table: str, fields: list[Field], count: int | None = None
+        self, spark: SparkSession, table: str, fields: list[Field], count: int | None = None, listing: str | None = None
     ) -> Ranges:
         schema, _, name = table.partition(".")
-        pages = self._query(
+        # What the files of each table hold now, whatever the statistics say; a partitioned parent has its parts' sizes.
+        sizes = self._query(
             spark,
-            "SELECT n.nspname, c.relname, c.relpages FROM pg_class c "
-            "JOIN pg_namespace n ON n.oid = c.relnamespace",
-        ).filter((F.col("nspname") == schema) & (F.col("relname") == name))
-        row = pages.select("relpages").first()
+            "SELECT schemaname, tablename, pg_size_bytes(current_setting('block_size')) AS page, "
+            "(SELECT coalesce(sum(pg_relation_size(t.relid)), 0) FROM "
+            "pg_partition_tree(format('%I.%I', schemaname, tablename)::regclass) t) AS bytes FROM pg_tables",
+        ).filter((F.col("schemaname") == schema) & (F.col("tablename") == name))
+        row = sizes.select(F.ceil(F.col("bytes") / F.col("page")).cast("bigint")).first()
         chunks = page_chunks("ctid", row[0] if row else 0, self.pages_per_chunk)
         chunks = chunks._replace(count=count or chunks.count)
 

@@ -19,10 +19,14 @@ def topic_stream(
     servers: str,
     topic: str,
     starting_offsets: str = "latest",
-    max_offsets_per_trigger: int | None = None,
+    min_offsets_per_trigger: int | None = None,
     options: dict[str, str] | None = None,
+    max_delay_ms: int | None = None,
 ) -> DataFrame:
-    """Subscribe to one topic, key and value as text. Needs Spark's Kafka package."""
+    """Subscribe to one topic, key and value as text. Needs Spark's Kafka package.
+
+    A batch begins once so many messages wait, or after the delay, and takes all that wait.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -30,8 +34,10 @@ def topic_stream(
         .option("startingOffsets", starting_offsets)
         .options(**(options or {}))
     )
-    if max_offsets_per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    if min_offsets_per_trigger:
+        reader = reader.option("minOffsetsPerTrigger", min_offsets_per_trigger)
+    if max_delay_ms:
+        reader = reader.option("maxTriggerDelay", f"{max_delay_ms}ms")
     return text_messages(reader.load())
 
 

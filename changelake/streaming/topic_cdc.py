@@ -43,14 +43,15 @@ def subscribe(
     start: str = "latest",
     records: int = CHECKPOINT_RECORDS,
     options: dict[str, str] | None = None,
+    interval_ms: int = CHECKPOINT_INTERVAL_MS,
 ) -> DataFrame:
-    """The stream's topic from its saved offsets on, at most `records` per micro-batch."""
+    """The stream's topic from its saved offsets on, a batch for `records` messages at least or each interval."""
     stream_id = f"{stream.source_topic}.{stream.destination}"
     begun = store.start_offsets(spark).filter(F.col("stream_id") == stream_id)
     default = -2 if start == "earliest" else -1
     saved = starting_offsets(begun, stream.source_topic, partitions, default).first()
     return topic_stream(
-        spark, servers, stream.source_topic, saved[0] if saved else start, records, options
+        spark, servers, stream.source_topic, saved[0] if saved else start, records, options, interval_ms
     )
 
 

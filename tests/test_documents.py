@@ -34,11 +34,11 @@ def test_destination():
     assert docs.destination({"type": "PARQUET", "base_path": "/x", "file_size_mb": 64}) == Destination(
         base_path="/x", file_size_mb=64
     )
-    assert docs.destination({"type": "iceberg"}).table_namespace == "cdc_catalog.cdc_db"
+    assert docs.destination({"type": "iceberg"}).table_namespace == "changelake.cdc_db"
 
 
 def test_catalog_settings():
-    p = "spark.sql.catalog.cdc_catalog"
+    p = "spark.sql.catalog.changelake"
     got = docs.catalog_settings({"base_path": "/b", "catalog_properties": {"io-impl": "z"}})
     assert got[f"{p}.warehouse"] == "/b" and got[f"{p}.type"] == "hadoop" and got[f"{p}.io-impl"] == "z"
     got = docs.catalog_settings({"warehouse": "/w", "catalog_properties": {"warehouse": "/v"}})

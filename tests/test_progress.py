@@ -102,7 +102,7 @@ def test_state_json(spark, tmp_path):
             "topic.events": {
                 "sync_mode": "cdc", "last_lsn": None, "full_load_completed": False,
                 "full_load_chunks_done": 0, "full_load_chunks_total": 0,
-                "last_sync_time": "2026-02-26T18:07:52.606404535Z",
+                "last_sync_time": "2025-03-04T05:06:07.891234567Z",
                 "kafka_offsets": {"topic": {"0": 41, "3": 7}},
             },
             "public.t": {"sync_mode": "cdc", "last_lsn": "1/2", "full_load_completed": True},

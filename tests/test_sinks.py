@@ -25,14 +25,14 @@ def test_append_parquet(spark, tmp_path):
     rows = spark.read.parquet(f"{base}/t")
     assert sorted(r.x for r in rows.collect()) == list(range(20))
     assert rows.filter("ingest_date = '2024-06-01'").count() == 15
-    assert glob.glob(f"{base}/t/ingest_date=2024-06-01/*.snappy.parquet")
+    assert glob.glob(f"{base}/t/ingest_date=2024-06-01/batch_id=*/*.snappy.parquet")
 
 
 def test_bounded_files(spark, tmp_path):
     base = str(tmp_path)
     df = numbers(spark, 100).coalesce(1)
     append_parquet(df, base, "t", DAY, compression="GZIP", max_records=30)
-    files = glob.glob(f"{base}/t/ingest_date=2024-06-01/*.parquet")
+    files = glob.glob(f"{base}/t/ingest_date=2024-06-01/batch_id=*/*.parquet")
     assert sorted(spark.read.parquet(f).count() for f in files) == [10, 30, 30, 30]
     assert all(".gz." in f for f in files)
     assert records_per_file(df.schema, 256) == 256 * 1024 * 1024 // 8
@@ -45,7 +45,7 @@ def test_batch_is_replaced(spark, tmp_path):
     write_batch(numbers(spark, 7), base, "t", "b1", NEXT_DAY)
     rows = spark.read.parquet(f"{base}/t")
     assert sorted(r.x for r in rows.collect()) == list(range(7)) + list(range(10, 20))
-    assert rows.filter("batch_id = 'b1' and ingest_date = '2024-06-01'").count() == 0
+    assert rows.filter("batch_id = 'b1' and ingest_date = '2024-06-01'").count() == 7
 
 
 def test_batch_is_replaced_whatever_the_session_says(spark, tmp_path):
@@ -88,3 +88,17 @@ def test_destination(spark, tmp_path, kind):
 def test_publish_frame(spark):
     df = spark.createDataFrame([("1", "{}", 5)], "key string, value string, extra int")
     assert publish_frame(df, "t").collect() == [("t", "1", "{}")]
+
+
+@pytest.mark.parametrize("way", ["append", "batch"])
+def test_new_columns_of_tables_are_kept(spark, way):
+    name = f"n{uuid.uuid4().hex}.t"
+
+    def write(df, batch):
+        append_table(df, name) if way == "append" else replace_batch(df, name, batch)
+
+    write(numbers(spark, 2), "b1")
+    write(numbers(spark, 1, 2).selectExpr("concat('v', x) as v", "x"), "b2")
+    write(numbers(spark, 1, 3), "b3")
+    rows = sorted((r.x, r.v) for r in spark.table(name).collect())
+    assert rows == [(0, None), (1, None), (2, "v2"), (3, None)]

@@ -1,6 +1,8 @@
 """Whole syncs: load, then changes; resumed, refreshed, routed."""
 
 import datetime as dt
+import glob
+import os
 
 import pytest
 
@@ -155,17 +157,45 @@ def test_file_tables(spark, world):
     assert {r.id for r in ranges.read(3, 4).collect()} == parts[3] | parts[4]
 
 
-def test_files_that_come_during_a_load(spark, world):
+def test_files_that_come_and_go_during_a_load(spark, world, tmp_path):
     root, source, _, _ = world
     fields = [Field("id", "INT64", False, True), Field("v")]
+    listing = f"{tmp_path}/listing"
+    begun = source.ranges(spark, "n.a", fields, listing=listing)
+    early = {r.id for r in begun.read(0, 4).collect()}
     more = spark.range(100, 105).selectExpr("id", "cast(id as string) as v")
     more.coalesce(1).write.mode("append").parquet(f"{root}/a")
-    ranges = source.ranges(spark, "n.a", fields, 10)
-    assert ranges.count == 10
+    new = max(glob.glob(f"{root}/a/*.parquet"), key=os.path.getmtime)
+    os.utime(new, (1, 1))  # a name and time before all others
+    ranges = source.ranges(spark, "n.a", fields, 10, listing)
+    assert ranges.count == 10 and {r.id for r in ranges.read(0, 4).collect()} == early
     last = {r.id for r in ranges.read(9, 9).collect()}
     assert set(range(100, 105)) < last
     first = {r.id for r in ranges.read(0, 8).collect()}
     assert first | last == set(range(105)) and not first & last
+    old = ranges.read(3, 3).inputFiles()[0].removeprefix("file://")
+    os.truncate(old, 10)
+    with pytest.raises(FileNotFoundError):
+        ranges.read(2, 4)
+
+
+def test_types_of_file_tables(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.sql("select 1S as s, 2Y as b, 1.50BD as d, cast(3 as decimal(38,18)) as w, 'x' as t, array('a') as l")
+    df.write.parquet(path)
+    got = fields_by_table(FileTables({"n.t": path}, {"n.t": ("s", "b")}).discover(spark))["n.t"]
+    assert [(f.name, f.type) for f in got] == [
+        ("s", "INT32"), ("b", "INT32"), ("d", "DECIMAL(3,2)"), ("w", "DECIMAL"), ("t", "STRING"), ("l", "ARRAY")
+    ]
+    assert [f.primary_key for f in got[:3]] == [True, True, False]
+    spark.sql("select named_struct('a', 1) as s").write.parquet(f"{path}2")
+    with pytest.raises(ValueError):
+        FileTables({"n.t": f"{path}2"}, {}).discover(spark)
+
+
+def test_missing_streams_are_refused_on_demand(spark, world):
+    with pytest.raises(ValueError):
+        run(spark, world, missing="fail")
 
 
 def test_partitioned_files(spark, tmp_path):

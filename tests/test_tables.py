@@ -41,10 +41,10 @@ def answers(spark, asked):
                 [("k", "public", "id")],
                 "constraint_name string, table_schema string, column_name string",
             )
-        if "pg_class" in table:
+        if "pg_tables" in table:
             return spark.createDataFrame(
-                [("public", "t", 1200), ("other", "t", 9)],
-                "nspname string, relname string, relpages int",
+                [("public", "t", 8192, 1200 * 8192 - 5), ("other", "t", 8192, 9)],
+                "schemaname string, tablename string, page bigint, bytes bigint",
             )
         n = len(predicates)
         return spark.createDataFrame(
@@ -57,7 +57,7 @@ def answers(spark, asked):
 def test_load_over_jdbc(spark, tmp_path, monkeypatch):
     asked = []
     monkeypatch.setattr(DataFrameReader, "jdbc", answers(spark, asked))
-    source = JdbcTables("jdbc:postgresql://h:5432/d", {"user": "u"})
+    source = JdbcTables("jdbc:postgresql://h:5432/d", {"user": "u"}, pages_per_chunk=500)
     fields = fields_by_table(source.discover(spark))
     assert fields == {
         "public.t": [
