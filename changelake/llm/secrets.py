@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changelake.llm.common import let, saved
-from changelake.llm.spans import HIT, hits, named
+from changelake.llm.spans import HIT, hits
 
 # The base patterns, in the order of kinds.
 ASSIGN = (
@@ -153,6 +153,3 @@ def masked(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
         counted = F.length("clean").cast(docs.schema["n_chars"].dataType)
         fields["n_chars"] = F.when(same, F.col("row.n_chars")).otherwise(counted)
     return out.select(*(x.alias(c) for c, x in fields.items()))
-
-
-__all__ = ["base_spans", "detect", "digest", "masked", "named"]

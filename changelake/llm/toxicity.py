@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +17,8 @@ from changelake.llm.tokens import batches
 PLACES = 1 << 20
 #: Bounds of the training set: rows drawn of each class, and places that get weights.
 PER_CLASS, ACTIVE = 3000, 2048
-FACTORS, EPOCHS, BATCH = 8, 40, 256
-RATE, PENALTY, SEED = 0.02, 1e-3, 8
+FACTORS, EPOCHS, BATCH = 8, 60, 256
+RATE, PENALTY, SEED = 0.02, 1e-2, 8
 EDGES = b".,;:!?\"'()[]{}#*$%&|<>-_=+/\\~`^@"
 
 
@@ -59,7 +60,7 @@ def _selected(docs: list[list[int]], labels: np.ndarray, weights: np.ndarray) ->
 
 
 def train(docs: list[list[int]], labels: list[int], weights: list[float]) -> Model:
-    """Adam on the weighted logistic loss. The weights make the drawn rows stand for all labelled rows of their class."""
+    """Adam on the weighted logistic loss. `fit` gives both classes the same weight, so that few bad terms among many are enough."""
     y, w = np.array(labels, float), np.array(weights, float)
     w = w / w.mean()
     places = _selected(docs, y, w)
@@ -102,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     At most about PER_CLASS rows of each class are drawn, by hash, from all labelled rows; the places of their terms come to the driver
     as 32-bit numbers. Rows with a null label or null id are left out; if an id has several labels, toxic wins.
     """
-    told = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    told = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     rows = docs.select("doc_id", "text").where((remainder(F.col("doc_id"), 5) != 0) & F.col("text").isNotNull()).join(told, "doc_id")
     chosen = sampled(rows, "toxic", PER_CLASS, F.struct("doc_id", "text"))
 
@@ -111,15 +112,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
             yield pa.RecordBatch.from_pydict(
                 {
                     "terms": pa.array([np.array(terms(raw), "<u4").tobytes() for raw in raws], pa.binary()),
-                    "toxic": batch.column("toxic").cast(pa.int32()), "class_rows": batch.column("class_rows").cast(pa.int64()),
+                    "toxic": batch.column("toxic").cast(pa.int32()),
                 }
             )
 
-    got = sorted((bytes(r[0]), r[1], r[2]) for r in chosen.select("text", "toxic", "class_rows").mapInArrow(run, "terms binary, toxic int, class_rows long").collect())
+    got = sorted((bytes(r[0]), r[1]) for r in chosen.select("text", "toxic").mapInArrow(run, "terms binary, toxic int").collect())
     if len({r[1] for r in got}) < 2:
         return None
-    drawn = {c: sum(r[1] == c for r in got) for c in (0, 1)}
-    return train([np.frombuffer(r[0], "<u4").tolist() for r in got], [r[1] for r in got], [r[2] / max(drawn.get(r[1], 1), 1) for r in got])
+    drawn = Counter(r[1] for r in got)
+    return train([np.frombuffer(r[0], "<u4").tolist() for r in got], [r[1] for r in got], [1 / drawn[r[1]] for r in got])
 
 
 SCORED = "doc_id long, held_out boolean, score double, predicted int"
