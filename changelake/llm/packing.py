@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from changelake.llm.common import saved
-from changelake.llm.tokens import WordIds, batches, bpe_words
+from changelake.llm.tokens import WordCache, batches, bpe_words
 
 CAPACITY, END = 4096, 1
 #: Rounds of the multiplicative weights, and how fast they move.
@@ -22,11 +22,11 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 @cache
-def _words(path: str) -> WordIds:
-    return WordIds(bpe_words(path))
+def _words(path: str) -> WordCache:
+    return WordCache(bpe_words(path))
 
 
-def token_bytes(raw: bytes | None, words: WordIds) -> bytes:
+def token_bytes(raw: bytes | None, words: WordCache) -> bytes:
     """Little-endian 32-bit ids of a text and of the end mark."""
     return b"".join(words.of((raw or b"").lower().split())) + np.array([END], "<u4").tobytes()
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import re
 import unicodedata
 from functools import cache
 
@@ -13,10 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changelake.llm.common import saved
-from changelake.llm.tokens import WordIds, batches, repeated_windows
+from changelake.llm.tokens import WordCache, batches, packed_ids, repeated_windows
 
 SYMBOLS = b"#*$%&|<>"
-KEEP_SYMBOLS = bytes(set(range(256)) - set(SYMBOLS))
+SPACE = b" \t\n\x0b\x0c\r"
 MEASURES = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, " \
     "script string, lang string, n_tokens long, chars_per_token double, byte_share double, entropy double, wide_chars_per_token double"
 
@@ -29,26 +28,29 @@ LEAST_TOKENS = 64
 
 
 @cache
-def _piece(path: str):
+def _vocabularies(piece_path: str, wide_path: str, wide_pattern: str):
+    """Packed piece ids and number of wide tokens of words, and which pieces are single bytes."""
     import sentencepiece
+    import tiktoken
 
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    model = sentencepiece.SentencePieceProcessor(model_file=piece_path)
     is_byte = np.array([model.is_byte(i) for i in range(model.get_piece_size())])
-    return WordIds(lambda words: model.encode([w.decode("utf-8", "replace") for w in words], num_threads=1)), is_byte
-
+    with open(wide_path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    wide = tiktoken.Encoding("public", pat_str=wide_pattern, mergeable_ranks=ranks, special_tokens={})
 
-@cache
-def _wide(path: str, pattern: str):
-    import tiktoken
+    def make(words: list[bytes]) -> list[tuple[bytes, int]]:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        ids = model.encode(texts, num_threads=1)
+        return [(packed_ids(i), len(wide.encode_ordinary(" " + t))) for i, t in zip(ids, texts)]
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    coder = tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return WordIds(lambda words: [coder.encode_ordinary(" " + w.decode("utf-8", "replace")) for w in words])
+    return WordCache(make), is_byte
 
 
 def _script(text: str) -> str:
     """The script of most letters among at most the distinct ones, by the first word of their Unicode names."""
+    if text.isascii():
+        return "LATIN" if any(c.isalpha() for c in set(text)) else "NONE"
     counts: dict[str, int] = {}
     for c in set(text):
         if c.isalpha():
@@ -57,15 +59,15 @@ def _script(text: str) -> str:
     return max(sorted(counts), key=counts.get) if counts else "NONE"
 
 
-def _measured(doc_id, raw: bytes, lang, piece, is_byte, wide) -> dict:
+def _measured(doc_id, raw: bytes, lang, vocabularies, is_byte) -> dict:
     words = raw.split()
     n = len(words)
     text = raw.decode("utf-8", "replace")
     lines = [x for x in raw.split(b"\n") if x.split()]
     repeats = repeated_windows(words, 5)
-    ids = np.frombuffer(b"".join(piece.of(words)), dtype="<u4")
-    wide_tokens = sum(map(len, wide.of(words))) // 4
-    chars = len(text) - len(re.findall(r"[\x20\x09-\x0d]", text))
+    packed, wide_counts = zip(*vocabularies.of(words)) if words else ((), ())
+    ids, wide_tokens = np.frombuffer(b"".join(packed), dtype="<u4"), sum(wide_counts)
+    chars = len(text) - (len(raw) - len(raw.translate(None, SPACE)))
     counts = np.bincount(ids)
     counts = counts[counts > 0]
     tokens = len(ids)
@@ -88,11 +90,10 @@ def measures(docs: DataFrame, piece_path: str, wide_path: str, wide_pattern: str
     schema = to_arrow_schema(StructType.fromDDL(MEASURES))
 
     def run(of):
-        piece, is_byte = _piece(piece_path)
-        wide = _wide(wide_path, wide_pattern)
+        vocabularies, is_byte = _vocabularies(piece_path, wide_path, wide_pattern)
         for batch, raws in batches(of):
             rows = [
-                _measured(d, raw or b"", lang, piece, is_byte, wide)
+                _measured(d, raw or b"", lang, vocabularies, is_byte)
                 for d, raw, lang in zip(batch.column("doc_id").to_pylist(), raws, batch.column("lang").to_pylist())
             ]
             yield pa.RecordBatch.from_pylist(rows, schema)

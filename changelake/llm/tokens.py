@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 import unicodedata
 from collections.abc import Callable, Iterator
 
@@ -16,36 +17,38 @@ def texts(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
-class WordIds:
-    """Ids of words as little-endian 32-bit numbers, from `encode(words) -> list of id lists`.
+class WordCache:
+    """What `make(words)` gives for words, kept from text to text.
 
     Words met lately are kept: at most `limit` of them and those of one text in either of two generations, so memory stays bounded however
     many different words there are.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], limit: int = 250_000):
-        self.encode, self.limit = encode, limit
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+    def __init__(self, make: Callable[[list[bytes]], list], limit: int = 300_000):
+        self.make, self.limit = make, limit
+        self.new: dict = {}
+        self.old: dict = {}
 
-    def of(self, words: list[bytes]) -> list[bytes]:
+    def of(self, words: list[bytes]) -> list:
         if len(self.new) > self.limit:
             self.old, self.new = self.new, {}
         new, old = self.new, self.old
-        missing = []
-        for w in set(words).difference(new):
-            if (ids := old.get(w)) is None:
-                missing.append(w)
-            else:
-                new[w] = ids
-        if missing:
-            for w, ids in zip(missing, self.encode(missing)):
-                new[w] = np.array(ids, dtype="<u4").tobytes()
+        if missing := set(words).difference(new):
+            known = [w for w in missing if w in old]
+            new.update(zip(known, map(old.__getitem__, known)))
+            missing.difference_update(known)
+            missing = list(missing)
+            new.update(zip(missing, self.make(missing) if missing else ()))
         return list(map(new.__getitem__, words))
 
 
-def bpe_words(path: str) -> Callable[[list[bytes]], list[list[int]]]:
-    """Ids of words by a byte-level BPE tokenizer file that lower-cases, drops white space and splits letters from the rest.
+def packed_ids(ids: list[int]) -> bytes:
+    """Little-endian 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def bpe_words(path: str) -> Callable[[list[bytes]], list[bytes]]:
+    """Packed ids of words by a byte-level BPE tokenizer file that lower-cases, drops white space and splits letters from the rest.
 
     White space ends a piece in such a tokenizer, so a text's ids are those of its words in a row. A word of letters alone passes the normaliser and splitter as
     one piece; its model is then asked directly, which is several times faster. Ends of `.,;:!?` after a letter are pieces of their own.
@@ -81,7 +84,7 @@ def bpe_words(path: str) -> Callable[[list[bytes]], list[list[int]]]:
             ids = ids + punctuation[end]
         return ids
 
-    return lambda words: [one(w) for w in words]
+    return lambda words: [packed_ids(one(w)) for w in words]
 
 
 def _byte_letters(byte_level) -> dict[int, str]:
