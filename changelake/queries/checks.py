@@ -448,3 +448,28 @@ UNION ALL
 SELECT key, CAST(v1 AS BIGINT), CASE WHEN n2 = 'o_orderstatus' THEN v2 END, NULL, NULL, NULL,
        seq, {op_name("op")}
 FROM res, top WHERE key < k AND tab = 'shop.orders_a'"""
+
+CHECKS["q_text_messages"] = """
+SELECT CAST(user_id AS VARCHAR) AS key, props AS value, 'events' AS topic, CAST(user_id % 4 AS INTEGER) AS "partition",
+       event_id AS "offset", epoch_us(ts) AS "timestamp"
+FROM events"""
+
+CHECKS["q_destination_schema"] = f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, 'SNAPSHOT' AS _cdc_operation,
+       CAST({INGEST_MICROS} AS BIGINT) AS _cdc_timestamp
+FROM orders"""
+
+CHECKS["q_append_table"] = """
+SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END AS o_orderstatus FROM orders"""
+
+CHECKS["q_load_resumed"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, 'SNAPSHOT' AS _cdc_operation FROM orders"""
+
+CHECKS["q_full_refresh"] = f"""
+SELECT t.* FROM ({CHECKS["q_topic_sync"]}) t, range(2)"""
+
+CHECKS["q_route_late_changes"] = with_(CHANGES) + f"""
+SELECT CASE WHEN tab = 'shop.orders_a' THEN 'a' WHEN tab <> 'shop.orders_b' THEN 'c'
+            WHEN v1 IS NULL AND op <> 'D' THEN 'b__rejects' ELSE 'b' END AS name,
+       CAST(v0 AS BIGINT) AS key, seq AS _cdc_position, {op_name("op")} AS _cdc_operation
+FROM res, top WHERE key < k"""

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.functions.casts import cast_columns
+from changelake.functions.casts import cast_columns, conform
 from changelake.functions.positions import format_lsn, parse_lsn
-from changelake.functions.types import Field, resolve_type, topic_fields
+from changelake.functions.types import Field, destination_schema, resolve_type, topic_fields
 from changelake.operators import catalog as cat
 from changelake.operators import changes as chg
 from changelake.operators import progress as prg
@@ -15,16 +17,20 @@ from changelake.operators import records as rec
 from changelake.operators.transactions import assemble_transactions, commit_positions
 from changelake.plans.change_log import committed_changes, table_changes
 from changelake.plans.config import Destination, Stream
+from changelake.plans.full_load import full_load
 from changelake.plans.progress_store import ProgressStore
 from changelake.plans.sync import sync, sync_topic
 from changelake.plans.topic_log import topic_log
 from changelake.queries import inputs
 from changelake.session import shared_folder, small_frame
 from changelake.sinks.parquet import append_parquet, write_batch
+from changelake.sinks.tables import append_table
 from changelake.sinks.topics import publish_frame
 from changelake.sources import snapshot as snap
-from changelake.sources.tables import FileTables
-from changelake.sources.topics import sample_events, topic_envelope
+from changelake.sources.changelog import change_log_stream
+from changelake.sources.tables import FileTables, Ranges
+from changelake.sources.topics import sample_events, text_messages, topic_envelope
+from changelake.streaming.change_cdc import change_cdc
 
 QUERIES = {}
 
@@ -520,6 +526,10 @@ def replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def topic_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The topic job as a stream over the events file, read back from its sink."""
+    return _topic_synced(spark, sf_dir, 1)
+
+
+def _topic_synced(spark: SparkSession, sf_dir: str, runs: int) -> DataFrame:
     events = inputs.table(spark, sf_dir, "events")
     stream = (
         spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
@@ -536,7 +546,9 @@ def topic_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "topic-sync")
     entry = Stream("events", "events", "cdc", True, tuple(inputs.PAYLOAD))
     destination = Destination(base_path=f"{root}/out")
-    sync_topic(spark, messages, destination, [entry], ProgressStore(f"{root}/state"), clock=_clock)
+    store = ProgressStore(f"{root}/state")
+    for n in range(runs):
+        sync_topic(spark, messages, destination, [entry], store, full_refresh=n > 0, clock=_clock)
     rows = destination.read(spark, "events").drop("batch_id")
     return as_micros(rows, "_cdc_timestamp").withColumn(
         "ingest_date", F.date_format("ingest_date", "yyyy-MM-dd")
@@ -564,3 +576,98 @@ def table_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn(
         "o_orderdate", F.unix_micros(F.col("o_orderdate").cast("timestamp"))
     )
+
+
+@query
+def text_messages_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages as the topic source gives them, key and value in bytes."""
+    raw = inputs.topic(spark, sf_dir).withColumns({c: F.col(c).cast("binary") for c in ("key", "value")})
+    return as_micros(text_messages(raw), "timestamp")
+
+
+@query
+def destination_schema_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table in the schema of its destination."""
+    fields = [*ORDERS_A, Field("o_totalprice", "DOUBLE")]
+    rows = conform(inputs.table(spark, sf_dir, "orders"), fields)
+    rows = rec.add_cdc_metadata(rows, F.lit("SNAPSHOT"), inputs.ingest_ts())
+    return as_micros(rows.to(destination_schema(fields)), "_cdc_timestamp")
+
+
+@query
+def append_table_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches appended to a catalog table, the second with a column more."""
+    namespace = f"append_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE NAMESPACE {namespace} LOCATION '{shared_folder(spark, namespace)}'")
+    orders = inputs.table(spark, sf_dir, "orders")
+    odd = F.col("o_orderkey") % 2 == 1
+    append_table(orders.filter(~odd).select("o_orderkey", "o_totalprice"), f"{namespace}.orders")
+    append_table(orders.filter(odd).select("o_orderstatus", "o_orderkey", "o_totalprice"), f"{namespace}.orders")
+    return spark.table(f"{namespace}.orders")
+
+
+class _Stopping:
+    """A source that fails from its fifth range on."""
+
+    def __init__(self, source: FileTables):
+        self.source = source
+
+    def ranges(self, *args) -> Ranges:
+        found = self.source.ranges(*args)
+
+        def read(first: int, last: int) -> DataFrame:
+            if first >= 4:
+                raise InterruptedError("stopped")
+            return found.read(first, last)
+
+        return Ranges(found.count, read)
+
+
+@query
+def load_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load in ranges that stops half way and is taken up again."""
+    root = shared_folder(spark, "load-resumed")
+    orders = inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    orders.repartition(8, "o_orderkey").write.parquet(f"{root}/orders")
+    source = FileTables({"shop.orders": f"{root}/orders"}, {"shop.orders": "o_orderkey"})
+    destination, store = Destination(base_path=f"{root}/out"), ProgressStore(f"{root}/state")
+    load = ("shop.orders", ORDERS_A, destination, "orders", store, inputs.INGEST_TS, 2)
+    try:
+        full_load(spark, _Stopping(source), *load)
+    except InterruptedError:
+        full_load(spark, source, *load)
+    return destination.read(spark, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "_cdc_operation")
+
+
+@query
+def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic job, and once more from the start after a full refresh: every message twice."""
+    return _topic_synced(spark, sf_dir, 2)
+
+
+@query
+def route_late_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of three tables, one with rejects, whose files land last part first, a batch for each."""
+    root = shared_folder(spark, "route")
+    log = inputs.changes(spark, sf_dir)
+    # Parts that cut transactions: the second has the row changes alone.
+    part = F.when(~F.col("msg_type").isin("B", "C", "R"), 2).when(F.col("seq") % 8 < 4, 1).otherwise(3)
+    part = F.when(F.col("msg_type") == "R", 1).otherwise(part)
+    for n in (3, 2, 1):
+        log.filter(part == n).coalesce(1).write.mode("append").parquet(f"{root}/messages")
+    destination = Destination(base_path=f"{root}/out")
+    tables = {
+        "shop.orders_a": ("a", ORDERS_A[:1]),
+        "shop.orders_b": ("b", [ORDERS_A[0], Field("o_custkey", "INT64", nullable=False)]),
+        "unknown.16386": ("c", [Field("col_0", "INT64")]),
+    }
+    change_cdc(
+        change_log_stream(spark, f"{root}/messages", 1), tables, destination, ProgressStore(f"{root}/state"), clock=_clock
+    ).awaitTermination()
+
+    def read(name: str, key: str) -> DataFrame:
+        rows = destination.read(spark, name)
+        return rows.select(F.lit(name).alias("name"), F.col(key).alias("key"), "_cdc_position", "_cdc_operation")
+
+    found = read("a", "o_orderkey").unionByName(read("b", "o_orderkey")).unionByName(read("c", "col_0"))
+    return found.unionByName(read("b__rejects", "o_orderkey"))
