@@ -37,55 +37,42 @@ def nearest_markers(
     where there is no such marker.
     """
     place = keys + ["_block"]
-    rows = rows.withColumns(
-        {"_block": _block(order, width), "_edge": F.lit(0), "_is_row": F.lit(True)}
-    )
-    markers = markers.select(
-        *keys, order, value.alias("_mark"), _block(order, width).alias("_block"),
-        F.lit(0).alias("_edge"),
-    )
+    rows = rows.withColumns({"_block": _block(order, width), "_is_row": F.lit(True)})
+    markers = markers.select(*keys, order, value.alias("_mark"), _block(order, width).alias("_block"))
+    # Blocks are counted and rows placed from the same shuffle, which Spark makes once.
+    together = rows.unionByName(markers, allowMissingColumns=True).repartition(*place)
 
-    # One row per block, with the first and last marker in it.
-    marked = markers.groupBy(place).agg(
-        F.min_by("_mark", order).alias("_first"), F.max_by("_mark", order).alias("_last")
+    # One row per block, with the first and last marker in it, carried over the block borders.
+    place_of_mark = F.when(F.col("_mark").isNotNull(), F.col(order))
+    blocks = together.groupBy(place).agg(
+        F.min_by("_mark", place_of_mark).alias("_first"), F.max_by("_mark", place_of_mark).alias("_last")
     )
-    blocks = rows.select(place).distinct().join(marked, place, "full_outer")
-
-    # Carry the markers over the block borders, and put them back as border rows.
     by_block = Window.partitionBy(keys)
     forward = by_block.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     backward = by_block.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
-    borders = []
-    if before:
-        borders.append(
-            F.struct(F.lit(-1).alias("_edge"), F.last("_last", True).over(forward).alias("_mark"))
-        )
-    if after:
-        borders.append(
-            F.struct(F.lit(1).alias("_edge"), F.last("_first", True).over(backward).alias("_mark"))
-        )
-    seeds = (
-        blocks.select(*place, F.array(*borders).alias("_borders"))
-        .select(*place, F.inline("_borders"))
-        .filter(F.col("_mark").isNotNull())
+    carried = blocks.select(
+        *[F.col(c).alias(f"_of_{c}") for c in place],
+        F.last("_last", True).over(forward).alias("_before"),
+        F.last("_first", True).over(backward).alias("_after"),
     )
 
-    together = rows.unionByName(markers, allowMissingColumns=True).unionByName(
-        seeds, allowMissingColumns=True
-    )
     # At one place the row comes first in either direction.
     inside, is_marker = Window.partitionBy(place), F.col("_is_row").isNull()
     added = {}
     if before:
-        up = inside.orderBy("_edge", order, is_marker)
-        added[before] = F.last("_mark", True).over(up.rowsBetween(Window.unboundedPreceding, -1))
+        up = inside.orderBy(order, is_marker).rowsBetween(Window.unboundedPreceding, -1)
+        added[before] = F.coalesce(F.last("_mark", True).over(up), "_before")
     if after:
-        down = inside.orderBy(F.desc("_edge"), F.desc(order), is_marker)
-        added[after] = F.last("_mark", True).over(down.rowsBetween(Window.unboundedPreceding, -1))
+        down = inside.orderBy(F.desc(order), is_marker).rowsBetween(Window.unboundedPreceding, -1)
+        added[after] = F.coalesce(F.last("_mark", True).over(down), "_after")
+    same = F.lit(True)
+    for c in place:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
     return (
-        together.withColumns(added)
+        together.join(carried, same)
+        .withColumns(added)
         .filter(F.col("_is_row"))
-        .drop("_block", "_edge", "_is_row", "_mark")
+        .drop("_block", "_is_row", "_mark", "_before", "_after", *[f"_of_{c}" for c in place])
     )
 
 
