@@ -49,9 +49,10 @@ def sampled(rows: DataFrame, label: str, per_class: int, key: Column) -> DataFra
     The counts cover all rows; equal rows share a hash and stay once. Null labels are left out.
     """
     rows = rows.where(F.col(label).isNotNull())
-    counts = rows.groupBy(F.col(label).alias("_class")).agg(F.count("*").alias("_n"))
+    # One row per class; written, so that Spark knows how small it is and needn't deal rows out by class.
+    counts = saved(rows.groupBy(F.col(label).alias("_class")).agg(F.count("*").alias("_n")), "classes")
     share = F.least(F.lit(1.0), F.lit(float(per_class)) / F.col("_n"))
     hashed = rows.withColumn("_h", F.xxhash64(F.lit(17), key))
     unit = F.shiftrightunsigned("_h", 11).cast("double") / float(1 << 53)
     kept = hashed.join(counts, F.col(label) == F.col("_class")).where(unit < share)
-    return kept.drop("_class").dropDuplicates(["_h", label]).withColumnRenamed("_n", "class_rows").drop("_h")
+    return kept.drop("_class", "_n").dropDuplicates(["_h", label]).drop("_h")

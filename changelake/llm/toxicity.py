@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changelake.llm.common import remainder, sampled
+from changelake.llm.common import remainder, sampled, saved
 from changelake.llm.tokens import batches
 
 #: Places that terms are hashed to.
@@ -100,23 +100,28 @@ def train(docs: list[list[int]], labels: list[int], weights: list[float]) -> Mod
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """A model from labelled rows whose id's crc32 doesn't divide by 5; None without both classes.
 
-    At most about PER_CLASS rows of each class are drawn, by hash, from all labelled rows; the places of their terms come to the driver
+    At most about PER_CLASS ids of each class are drawn, by hash, from all labelled ones; the places of their terms come to the driver
     as 32-bit numbers. Rows with a null label or null id are left out; if an id has several labels, toxic wins.
     """
-    told = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    rows = docs.select("doc_id", "text").where((remainder(F.col("doc_id"), 5) != 0) & F.col("text").isNotNull()).join(told, "doc_id")
-    chosen = sampled(rows, "toxic", PER_CLASS, F.struct("doc_id", "text"))
+    told = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), 5) != 0))
+    told = told.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    # The ids are drawn before any text is touched. There are two classes, so the ids are about 2 * PER_CLASS at most: a broadcast spares the shuffle of texts.
+    drawn_ids = saved(sampled(told, "toxic", PER_CLASS, F.col("doc_id")), "toxic-ids")
+    chosen = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(drawn_ids), "doc_id")
 
     def run(of):
         for batch, raws in batches(of):
             yield pa.RecordBatch.from_pydict(
                 {
+                    "doc_id": batch.column("doc_id").cast(pa.int64()),
                     "terms": pa.array([np.array(terms(raw), "<u4").tobytes() for raw in raws], pa.binary()),
                     "toxic": batch.column("toxic").cast(pa.int32()),
                 }
             )
 
-    got = sorted((bytes(r[0]), r[1]) for r in chosen.select("text", "toxic").mapInArrow(run, "terms binary, toxic int").collect())
+    # Rows that share an id count once.
+    found = chosen.mapInArrow(run, "doc_id long, terms binary, toxic int").groupBy("doc_id", "toxic").agg(F.max("terms").alias("terms"))
+    got = sorted((bytes(r.terms), r.toxic) for r in found.collect())
     if len({r[1] for r in got}) < 2:
         return None
     drawn = Counter(r[1] for r in got)
