@@ -17,6 +17,10 @@ from changelake.llm.tokens import batches
 PLACES = 1 << 20
 #: Bounds of the training set: rows drawn of each class, and places that get weights.
 PER_CLASS, ACTIVE = 3000, 2048
+#: How much the toxic rows weigh together, against 1 for the others: one or two bad terms among many are enough then.
+TOXIC_WEIGHT = 2.0
+#: Least chi-square of a place that gets a weight, and rows that hold it.
+CHI, LEAST_ROWS = 12.0, 4
 FACTORS, EPOCHS, BATCH = 8, 60, 256
 RATE, PENALTY, SEED = 0.02, 1e-2, 8
 EDGES = b".,;:!?\"'()[]{}#*$%&|<>-_=+/\\~`^@"
@@ -45,25 +49,24 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.bias + float(self.linear[rows].sum()) + pairs, -30, 30))))
 
 
-def _selected(docs: list[list[int]], labels: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The places that tell the classes apart best by the chi-square of their presence, among those in three rows or more."""
+def _selected(docs: list[list[int]], labels: np.ndarray) -> np.ndarray:
+    """The places that tell the classes apart best: by the chi-square of their presence, where it is CHI at least and they are in LEAST_ROWS rows."""
     flat = np.concatenate([np.array(d, np.int64) for d in docs]) if docs else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
     seen = np.bincount(flat, minlength=PLACES)
-    pos = np.bincount(flat, weights=(weights * labels)[owner], minlength=PLACES)
-    all_ = np.bincount(flat, weights=weights[owner], minlength=PLACES)
-    n, share = weights.sum(), (weights * labels).sum() / weights.sum()
-    chi = (pos - all_ * share) ** 2 / np.maximum(all_ * share * (1 - share) * (1 - all_ / n), 1e-9)
-    chi[seen < 3] = -1
+    pos = np.bincount(flat, weights=labels[owner], minlength=PLACES)
+    n, share = len(docs), labels.mean()
+    chi = (pos - seen * share) ** 2 / np.maximum(seen * share * (1 - share) * (1 - seen / n), 1e-9)
+    chi[seen < LEAST_ROWS] = 0
     order = np.lexsort((np.arange(PLACES), -chi))[:ACTIVE]
-    return np.sort(order[chi[order] > 0])
+    return np.sort(order[chi[order] >= CHI])
 
 
 def train(docs: list[list[int]], labels: list[int], weights: list[float]) -> Model:
-    """Adam on the weighted logistic loss. `fit` gives both classes the same weight, so that few bad terms among many are enough."""
+    """Adam on the weighted logistic loss. The weights say what a row counts, whatever its class's share."""
     y, w = np.array(labels, float), np.array(weights, float)
     w = w / w.mean()
-    places = _selected(docs, y, w)
+    places = _selected(docs, y)
     row_of = np.full(PLACES, -1, np.int64)
     row_of[places] = np.arange(len(places))
     data = [row_of[np.array(d, np.int64)] if d else np.zeros(0, np.int64) for d in docs]
@@ -125,7 +128,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     if len({r[1] for r in got}) < 2:
         return None
     drawn = Counter(r[1] for r in got)
-    return train([np.frombuffer(r[0], "<u4").tolist() for r in got], [r[1] for r in got], [1 / drawn[r[1]] for r in got])
+    weights = [(TOXIC_WEIGHT if r[1] else 1.0) / drawn[r[1]] for r in got]
+    return train([np.frombuffer(r[0], "<u4").tolist() for r in got], [r[1] for r in got], weights)
 
 
 SCORED = "doc_id long, held_out boolean, score double, predicted int"
