@@ -26,14 +26,12 @@ def rotations(vectors: DataFrame) -> dict[int, np.ndarray]:
     def run(of):
         sums: dict[int, np.ndarray] = {}
         for batch in of:
-            for vector in batch.column("vector").to_pylist():
-                x = np.array(vector, float)
-                x /= np.abs(x).max()
-                x /= np.linalg.norm(x)
-                d = len(x)
-                if d not in sums:
-                    sums[d] = np.zeros((d, d))
-                sums[d] += np.outer(x, x)
+            vectors = batch.column("vector").to_pylist()
+            for d in {len(v) for v in vectors}:
+                x = np.array([v for v in vectors if len(v) == d], float)
+                x /= np.abs(x).max(1, keepdims=True)
+                x /= np.linalg.norm(x, axis=1, keepdims=True)
+                sums[d] = sums.get(d, 0) + x.T @ x
         for d, s in sums.items():
             n = d * d
             yield pa.RecordBatch.from_pydict({"d": np.full(n, d, np.int32), "place": np.arange(n, dtype=np.int64), "x": s.ravel()})
