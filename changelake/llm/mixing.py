@@ -223,10 +223,10 @@ def drawn(docs: DataFrame, size: Column | None = None) -> DataFrame:
     block = _parts(F.col("hash"), F.col("bits"))[0]
     last = F.coalesce(_taken_last(F.col("hash"), F.col("bits")), F.lit(False)) | F.col("hash").eqNullSafe(F.col("spare_hash"))
     times = F.col("passes") + last.cast("int")
-    rank = F.element_at(F.col("ranks"), block)
-    shard = lambda e: F.size(F.filter("ends", lambda x: x <= e * F.col("blocks") + rank)).cast("int")
+    shard = lambda e, rank: F.size(F.filter("ends", lambda x: x <= e * F.col("blocks") + rank)).cast("int")
     rows = sized.join(per, F.col("source").eqNullSafe(F.col("_source"))).withColumn("times", times)
-    shards = F.transform(F.filter(F.sequence(F.lit(0), F.lit(MOST)), lambda e: e < F.col("times")), shard)
+    turns = F.filter(F.sequence(F.lit(0), F.lit(MOST)), lambda e: e < F.col("times"))
+    shards = let(F.element_at(F.col("ranks"), block), lambda rank: F.transform(turns, lambda e: shard(e, rank)))
     return rows.withColumn("shards", shards).select("row", "size", "hash", "source_size", "target", "times", "shards")
 
 
