@@ -19,6 +19,8 @@ PLACES = 1 << 20
 PER_CLASS, ACTIVE = 3000, 2048
 #: How much the toxic rows weigh together, against 1 for the others: one or two bad terms among many are enough then.
 TOXIC_WEIGHT = 2.0
+#: The most that a text without any weighted term scores.
+NO_TERMS = 0.4
 #: Least chi-square of a place that gets a weight, and rows that hold it.
 CHI, LEAST_ROWS = 12.0, 4
 FACTORS, EPOCHS, BATCH = 8, 60, 256
@@ -97,7 +99,8 @@ def train(docs: list[list[int]], labels: list[int], weights: list[float]) -> Mod
                 m += 0.1 * (g - m)
                 s += 0.001 * (g * g - s)
                 p -= RATE * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.999**t)) + 1e-8)
-    return Model(places, float(params[0][0]), params[1], params[2])
+    # A text without any of these terms gives no evidence, so it is never predicted toxic.
+    return Model(places, min(float(params[0][0]), float(np.log(NO_TERMS / (1 - NO_TERMS)))), params[1], params[2])
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
