@@ -8,7 +8,11 @@ changes nothing, and one that comes late but was never applied is applied then.
     <store>/g=<n>/cdc/held/batch=<b>        messages that wait, as of batch b
     <store>/g=<n>/cdc/relations/batch=<b>   relations that batch b announced
     <store>/g=<n>/cdc/applied/batch=<b>     places of the messages that batch b applied
-    <store>/g=<n>/cdc/commits/batch=<b>     per stream: last commit, first batch that holds messages
+    <store>/g=<n>/cdc/commits/batch=<b>     per stream: last commit, first batch that holds messages, whether BEGINs carry the final LSN
+
+The nearest BEGIN before a message and the nearest COMMIT after it may be those of two transactions, where the
+COMMIT and the BEGIN between them are still to come. They are one transaction's only if nothing says otherwise: their
+transaction ids don't differ, and where the stream's BEGINs carry the final LSN it is that of the COMMIT.
 
 Batch b reads the state of the batches before it and writes its own, so a batch that is repeated gives the
 same result.
@@ -22,7 +26,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -41,7 +45,7 @@ from changelake.session import small_frame
 from changelake.sinks import folders
 from changelake.streaming.topic_cdc import utc_now
 
-COMMITS = "stream_id string, commit_seq bigint, last_position bigint, held_from bigint"
+COMMITS = "stream_id string, commit_seq bigint, last_position bigint, held_from bigint, final_lsn boolean"
 APPLIED = "stream_id string, seq bigint, msg_type string, xid bigint, lsn string"
 RELATION = ("rel_namespace", "rel_table", "rel_columns")
 KEPT_BATCHES = 10
@@ -95,15 +99,32 @@ class _State:
                 folders.remove(spark, f"{self.root}/{name}/batch={b}")
 
 
-def _sort_out(rows: DataFrame, markers: DataFrame) -> DataFrame:
-    """Add the nearest BEGIN or COMMIT on either side, and whether the message is part of a whole transaction."""
-    placed = nearest_markers(
+def _placed(rows: DataFrame, markers: DataFrame) -> DataFrame:
+    """Add the nearest BEGIN or COMMIT on either side."""
+    return nearest_markers(
         rows, markers, ["stream_id"], "seq", value=F.struct("msg_type", "xid", "seq", "lsn"),
         before="_begin", after="_commit",
     )
-    begun, ended = F.col("_begin.msg_type") == "B", F.col("_commit.msg_type") == "C"
-    whole = F.when(F.col("msg_type") == "B", ended).when(F.col("msg_type") == "C", begun).otherwise(begun & ended)
-    return placed.withColumn("_whole", F.coalesce(whole, F.lit(False)))
+
+
+def _final_lsn() -> Column:
+    """Whether a placed message shows that its stream's BEGINs carry the final LSN, not the place where they stand.
+
+    A row change has then a lower LSN than the BEGIN before it, or a COMMIT the same.
+    """
+    at, begin = parse_lsn(F.col("lsn")), parse_lsn(F.col("_begin.lsn"))
+    shown = F.when(F.col("msg_type") == "C", at == begin).when(F.col("msg_type") != "B", (at > 0) & (at < begin))
+    return F.coalesce((F.col("_begin.msg_type") == "B") & shown, F.lit(False))
+
+
+def _whole(final_lsn: list[str]) -> Column:
+    """Whether a placed message is part of a whole transaction; `final_lsn` are the streams whose BEGINs carry that."""
+    own, is_begin, is_commit = F.struct("msg_type", "xid", "seq", "lsn"), F.col("msg_type") == "B", F.col("msg_type") == "C"
+    begin = F.when(is_begin, own).otherwise(F.col("_begin"))
+    commit = F.when(is_commit, own).otherwise(F.col("_commit"))
+    same = F.coalesce(begin["xid"] == commit["xid"], F.lit(True))
+    same &= ~F.col("stream_id").isin(final_lsn) | (parse_lsn(begin["lsn"]) == parse_lsn(commit["lsn"]))
+    return F.coalesce((begin["msg_type"] == "B") & (commit["msg_type"] == "C") & same, F.lit(False))
 
 
 def named_positions(positions: dict[str, int], tables: list[str]) -> dict[str, int | None]:
@@ -192,10 +213,13 @@ def change_cdc(
             )
         # A table that was not announced yet may be announced by a file that is still to come.
         named = resolve_relation(rows, known).unionByName(rows.filter(kind.isin("B", "C")), allowMissingColumns=True)
-        placed = _sort_out(named, markers.select("stream_id", "seq", "lsn", "msg_type", "xid"))
+        placed = _placed(named, markers.select("stream_id", "seq", "lsn", "msg_type", "xid")).persist()
+        cached.append(placed)
+        shown = placed.groupBy("stream_id").agg(F.max(_final_lsn()).alias("final_lsn")).where("final_lsn").collect()
+        final_lsn = sorted({r.stream_id for r in shown} | {s for s, r in old.items() if r.final_lsn})
         unknown = F.col("table_name").startswith("unknown.") & ~F.col("table_name").isin(targets)
         unknown = F.coalesce(unknown, F.lit(False))
-        placed = placed.withColumn("_whole", F.col("_whole") & ~unknown).persist()
+        placed = placed.withColumn("_whole", _whole(final_lsn) & ~unknown).persist()
         cached.append(placed)
 
         found = {
@@ -229,7 +253,7 @@ def change_cdc(
                 since = number if s in new_held else None
             else:
                 since = held_from.get(s, number if s in new_held else None)
-            commits.append((s, max(seqs, default=None), max(ends, default=None), since))
+            commits.append((s, max(seqs, default=None), max(ends, default=None), since, s in final_lsn))
         state.write(small_frame(spark, commits, COMMITS), "commits", number)
         needed = [c[3] for c in commits if c[3] is not None] + list(held_from.values())
         state.retire(spark, min([*needed, number - KEPT_BATCHES]))

@@ -287,6 +287,28 @@ def test_files_in_any_order(spark, tmp_path, order):
     assert change_rows(spark, destination, "b_log", "id", "extra") == B_ROWS
 
 
+@pytest.mark.parametrize("first,xids,late_last", [("0/50", False, True), ("0/50", False, False), (None, True, True)])
+def test_late_commit_and_next_begin(spark, tmp_path, first, xids, late_last):
+    """Rows of two transactions aren't taken as one while the COMMIT and the BEGIN between them are to come."""
+    root = str(tmp_path)
+    store, destination = ProgressStore(f"{root}/state"), Destination(base_path=f"{root}/out")
+    second = "0/60" if first else None
+    around = [
+        message(1, "B", xid=1, lsn=first), message(2, "R", oid=1, table="n.a", columns=["id", "v"]),
+        message(3, "I", oid=1, new=t("1", "one")),
+        message(6, "I", oid=1, new=t("2", "two")), message(7, "C", xid=2 if xids else None, lsn=second),
+    ]
+    between = [message(4, "C", xid=1 if xids else None, lsn=first), message(5, "B", xid=2, lsn=second)]
+    for n, rows in enumerate([around, between] if late_last else [between, around]):
+        land(frame(spark, rows), f"{root}/in")
+        run_changes(spark, root, store, destination, start_positions={"s": 0x50 if first else 4})
+        if late_last and n == 0:
+            with pytest.raises(Exception):
+                destination.read(spark, "a_log")
+    # The load has the first transaction.
+    assert change_rows(spark, destination, "a_log", "id", "v") == [(6, "INSERT", 2, "two")]
+
+
 def test_sample_stream(spark, tmp_path):
     from changelake.sources.topics import sample_stream
 
