@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from changelake.llm import embeddings, graph, mixing, packing, pii, secrets, simhash, toxicity
+from changelake.llm import embeddings, graph, mixing, packing, pii, quality, secrets, simhash, toxicity
 from tests.llm import brute
 
 
@@ -141,3 +141,30 @@ def test_machine_learns_pairs():
     table = model.rows()
     score = lambda text: model.score(np.array([r for r in table[toxicity.terms(text)] if r >= 0], int))
     assert score(b"slur group w1") > 0.5 > max(score(b"slur w1"), score(b"group w1"), score(b""))
+
+
+def test_bands(spark):
+    """Junk goes though a heavy source is full of it, its group is small or has nothing else, or the text is short."""
+    rng = random.Random(6)
+    rows = []
+
+    def add(kind, lang, script, source, n, chars, tokens=400, byte_share=0.0):
+        for _ in range(n):
+            x = chars + rng.uniform(-0.1, 0.1)
+            rows.append((kind, False, script, lang, tokens, x, byte_share, 0.7, x, source))
+
+    for k in range(6):
+        add("clean", "en", "LATIN", f"s{k}", 100, 3.0)
+        add("clean", "ru", "CYRILLIC", f"s{k}", 50, 1.5)
+    add("short clean", "en", "LATIN", "s1", 20, 2.8, 30)
+    add("hot junk", "en", "LATIN", "hot", 400, 1.2)
+    add("small junk", "xx", "LATIN", "s2", 10, 1.2)
+    add("junk only", "en", "NONE", "hot", 300, 1.1)
+    add("unexpected script", "en", "CYRILLIC", "hot", 20, 0.4, byte_share=0.9)
+    add("short junk", "en", "LATIN", "s3", 20, 0.8, 50, 0.7)
+    schema = "kind string, base_failed boolean, script string, lang string, n_tokens long, chars_per_token double, byte_share double, " \
+        "entropy double, wide_chars_per_token double, source string"
+    got = quality.judge(spark.createDataFrame(rows, schema)).groupBy("kind").agg(F.min("kept").alias("all"), F.max("kept").alias("any")).collect()
+    assert {r.kind: (r["all"], r["any"]) for r in got} == {
+        k: (c, c) for c, ks in ((True, ("clean", "short clean")), (False, ("hot junk", "small junk", "junk only", "unexpected script", "short junk"))) for k in ks
+    }
