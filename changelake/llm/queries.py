@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changelake.llm import embeddings, langid, mixing, packing, pii, quality, secrets, simhash, toxicity, urls
+from changelake.llm import checks, embeddings, langid, lm, merkle, mixing, packing, pii, quality, secrets, simhash, toxicity, trie, urls
 from changelake.llm.common import table
 
 
@@ -65,13 +65,25 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(table(spark, sf_dir, "documents"))
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.digest(table(spark, sf_dir, "conversations"))
+
+
+def op13_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pii, op2_fertility, op3_language, op4_url_rules, op5_simhash, op6_secrets, op7_embeddings, op8_toxicity,
-        op9_packing, op10_mixing,
+        op9_packing, op10_mixing, op11_merkle, op12_trie, op13_lm,
     )
 }
 
-#: None of these can be put in SQL whole: the trained models, hash draws, tokenizers and iterated searches aren't SQL. They are tested against brute force.
-CHECKS: dict[str, str] = {}
+#: The others can't be put in SQL whole: trained models, hash draws, tokenizers and iterated searches aren't SQL. They are tested against brute force.
+CHECKS: dict[str, str] = {"op11_merkle": checks.MERKLE, "op12_trie": checks.TRIE}
