@@ -166,3 +166,90 @@ def targets(sizes):
             left -= target[s]
         open_ = [s for s in open_ if s not in over]
     return target
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def _tree(nodes):
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        n = levels[-1]
+        levels.append([sha("".join(n[i : i + 16])) for i in range(0, len(n), 16)])
+    return levels
+
+
+def _path(levels, i):
+    out = []
+    for level in levels[:-1]:
+        a = i // 16 * 16
+        out.append(("".join(level[a:i]), "".join(level[i + 1 : a + 16])))
+        i //= 16
+    return out
+
+
+def merkle(docs):
+    """What each row of (doc_id, source, lang, n_chars, text) gets, sorted."""
+
+    def leaf(d, text):
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in (d.doc_id, d.source, d.lang, d.n_chars, text)))
+
+    by_source = defaultdict(list)
+    for d in docs:
+        by_source[d.source].append(d)
+    for rows in by_source.values():
+        rows.sort(key=lambda d: (d.doc_id is not None, d.doc_id or 0, leaf(d, d.text)))
+    trees = {s: _tree([leaf(d, d.text) for d in rows]) for s, rows in by_source.items()}
+    names = sorted(trees, key=lambda s: (s is not None, (s or "").encode()))
+    top = _tree([trees[s][-1][0] for s in names])
+    out = []
+    for k, s in enumerate(names):
+        for i, d in enumerate(by_source[s]):
+            path = _path(trees[s], i) + _path(top, k)
+            text = d.text
+            if text and d.doc_id is not None and crc(d.doc_id) % 5 == 0:
+                text = text.translate({c: c + 32 for c in range(65, 91)})
+            at = leaf(d, text)
+            for before, after in path:
+                at = sha(before + at + after)
+            root = top[-1][0]
+            out.append((d.doc_id, trees[s][0][i], trees[s][-1][0], root, sha("".join(b + a for b, a in path)), at, at == root))
+    return sorted(out, key=str)
+
+
+def trie(turns):
+    """Nodes of (conv_id, turn, role, text), sorted."""
+    convs = defaultdict(list)
+    for c, turn, role, text in turns:
+        if c is not None:
+            convs[c].append((turn is not None, turn or 0, role or "", text or ""))
+    built = {}
+    for c, own in convs.items():
+        h = crc(c) % 9
+        base = sorted(convs.get(c - int(math.fmod(c, 5)), []))
+        built[c] = tuple(t[2:] for t in base[:h] + sorted(own)[h:])
+    members, kids = defaultdict(list), defaultdict(list)
+    for c, path in built.items():
+        for d in range(len(path) + 1):
+            members[path[:d]].append(c)
+    for path in members:
+        if path:
+            kids[path[:-1]].append(path)
+    leaves, saves, out = {}, {}, []
+    for path in sorted(members, key=len, reverse=True):
+        m = members[path]
+        leaves[path] = sum(leaves[k] for k in kids[path]) or 1
+        saves[path] = sum(saves[k] for k in kids[path]) + ((len(m) - 1) * len(path[-1][1].encode()) if path else 0)
+        ends = sha(",".join(str(c) for c in sorted(m) if len(built[c]) == len(path)))
+        out.append((min(m), len(path), min(members[path[:-1]]) if path else None, len(m), len(kids[path]), leaves[path], saves[path], ends))
+    return sorted(out, key=str)
+
+
+def unigram(docs):
+    """Per row: held_out, n_tokens, n_known, train_tokens, base_score."""
+    texts = [(crc("" if d.doc_id is None else d.doc_id) % 7 == 2, (d.text or "").translate({c: c + 32 for c in range(65, 91)})) for d in docs]
+    texts = [(h, [*words(t), None]) for h, t in texts]
+    counts = Counter(w for h, t in texts if not h for w in t)
+    n, v = sum(counts.values()), len(counts)
+    return [(h, len(t), sum(counts[w] > 0 for w in t), n, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in t)) for h, t in texts]
