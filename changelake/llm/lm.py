@@ -25,9 +25,9 @@ OUTPUTS = WORDS + CLASSES + 1
 END, BEGIN = OUTPUTS - 1, OUTPUTS
 #: Frequent words that tasks hold with their counts: at most so many; the others are looked up by a join.
 HEAD = 1 << 18
-DIM, NOISE, BATCH, RATE, ROUNDS, SEED = 16, 48, 1024, 0.3, 2, 13
+DIM, NOISE, BATCH, RATE, ROUNDS, SEED = 16, 48, 1536, 0.4, 2, 13
 #: Parameter sets that one task adds up.
-FAN_IN = 32
+FAN_IN = 8
 
 
 def tokens(raw: bytes | None) -> list[bytes]:
@@ -210,10 +210,11 @@ def start(unigrams: np.ndarray) -> Model:
 
 def _added(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The different rows and the sums of their values."""
-    order = np.argsort(rows, kind="stable")
+    rows = rows.astype(np.uint16)
+    order = np.argsort(rows, kind="stable")  # by digits, as the numbers are short
     rows = rows[order]
     first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    return rows[first], np.add.reduceat(values[order], first, axis=0)
+    return rows[first], np.add.reduceat(values.take(order, axis=0), first, axis=0)
 
 
 class Trainer:
@@ -235,7 +236,7 @@ class Trainer:
     def step(self, a: np.ndarray, b: np.ndarray, w: np.ndarray) -> None:
         m, n = self.model, np.float32(len(w))
         drawn = np.minimum(np.searchsorted(self.ends, self.random.random(NOISE)), OUTPUTS - 1)
-        context, own, others = m.left[a] + m.right[b], m.targets[w], m.targets[drawn]
+        context, own, others = m.left.take(a, axis=0) + m.right.take(b, axis=0), m.targets.take(w, axis=0), m.targets[drawn]
         up = np.einsum("ij,ij->i", context, own) + m.bias[w] - self.noise_logs[w]
         down = context @ others.T + (m.bias[drawn] - self.noise_logs[drawn])
         wrong = 1 / (1 + np.exp(np.clip(up, -30, 30)))  # how far tokens are from being told
