@@ -6,7 +6,8 @@ The message table holds one row per message of a change stream:
     rel_namespace string, rel_table string, rel_columns array<string>,
     old_tuple array<struct<kind string, text string>>, new_tuple (same), ts timestamp
 
-`seq` is unique and ascending within a stream.
+`seq` is unique and ascending within a stream. A TRUNCATE of several tables is one message for each,
+with its `rel_oid`.
 """
 
 from __future__ import annotations
@@ -55,6 +56,10 @@ def is_change() -> Column:
     return F.col("msg_type").isin(DATA_TYPES)
 
 
+def is_truncate() -> Column:
+    return F.col("msg_type") == "T"
+
+
 def classify_messages(log: DataFrame) -> DataFrame:
     """Name the message type and say whether the message carries a row."""
     kind = F.lit("UNKNOWN")
@@ -64,9 +69,9 @@ def classify_messages(log: DataFrame) -> DataFrame:
 
 
 def resolve_relation(
-    log: DataFrame, earlier: DataFrame | None = None, width: int = BLOCK_WIDTH
+    log: DataFrame, earlier: DataFrame | None = None, width: int = BLOCK_WIDTH, truncates: bool = False
 ) -> DataFrame:
-    """Give each row change the latest relation of its oid seen before it.
+    """Give each row change the latest relation of its oid seen before it; with `truncates`, each TRUNCATE too.
 
     Adds `table_name` and replaces `rel_columns`. `earlier` holds relation messages of earlier
     batches, in the layout of the log. Relations are carried along the log in blocks, however many
@@ -76,7 +81,7 @@ def resolve_relation(
     relations = log.filter(is_relation)
     if earlier is not None:
         relations = relations.unionByName(earlier, allowMissingColumns=True)
-    changes = log.filter(is_change())
+    changes = log.filter(is_change() | is_truncate() if truncates else is_change())
 
     resolved = nearest_markers(
         changes,
@@ -173,12 +178,8 @@ def target_filter(changes: DataFrame, targets: DataFrame | list[str]) -> DataFra
     return changes.join(targets.select("table_name").distinct(), "table_name", "left_semi")
 
 
-def image_columns(fields: Iterable[Field]) -> list[Column]:
-    """Typed columns straight from the tuples of resolved changes, with no map in between.
-
-    Gives what `before_after`, `row_image` and a projection by name give, in generated code.
-    """
-    image = F.when(F.col("msg_type") == "D", F.col("old_tuple")).otherwise(F.col("new_tuple"))
+def tuple_items(values: Column, fields: Iterable[Field]) -> list[Column]:
+    """For each field its item (kind, text) of a tuple of a resolved change; null where there is none."""
     width = F.coalesce(F.array_size("rel_columns"), F.lit(0))
     out = []
     for f in fields:
@@ -186,7 +187,22 @@ def image_columns(fields: Iterable[Field]) -> list[Column]:
         if f.name.startswith("col_") and f.name[4:].isdigit():
             bare = int(f.name[4:])
             place = F.when(width <= bare, F.lit(bare + 1).cast("bigint")).otherwise(place)
-        value = F.get(image, F.coalesce(place, F.lit(0)).cast("int") - 1)
-        text = F.when(value["kind"] == "t", value["text"])
-        out.append(cast_text(text, f.type).alias(f.name))
+        out.append(F.get(values, F.coalesce(place, F.lit(0)).cast("int") - 1))
     return out
+
+
+def image_texts(fields: Iterable[Field]) -> dict[str, Column]:
+    """The text of each field in the image that is written: the new tuple, or a DELETE's old one."""
+    fields = list(fields)
+    image = F.when(F.col("msg_type") == "D", F.col("old_tuple")).otherwise(F.col("new_tuple"))
+    return {f.name: F.when(v["kind"] == "t", v["text"]) for f, v in zip(fields, tuple_items(image, fields))}
+
+
+def image_columns(fields: Iterable[Field]) -> list[Column]:
+    """Typed columns straight from the tuples of resolved changes, with no map in between.
+
+    Gives what `before_after`, `row_image` and a projection by name give, in generated code.
+    """
+    fields = list(fields)
+    texts = image_texts(fields)
+    return [cast_text(texts[f.name], f.type).alias(f.name) for f in fields]

@@ -3,7 +3,8 @@
 A window over a whole stream runs in one task. The functions here use that the order column of a
 stream is a unique integer (a sequence number or an offset): rows are cut into blocks of `width`
 consecutive order values, so a block holds a bounded number of rows whatever the skew. Windows
-run inside blocks; what crosses a block border is computed on one row per block.
+run inside blocks; what crosses a block border is computed on one row per block, and over many blocks
+in the same way once more: inside blocks of blocks, and on one row for each of these.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_WIDTH = 65_536
+# Blocks in a block of blocks.
+UPPER_WIDTH = 65_536
 
 
 def _block(order: str, width: int) -> Column:
@@ -19,6 +22,66 @@ def _block(order: str, width: int) -> Column:
     return F.expr(f"(`{order}` - pmod(`{order}`, {width}L)) div {width}L")
 
 
+def _same(keys: list[str], other: str) -> Column:
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"{other}{c}"))
+    return same
+
+
+def _borders(
+    blocks: DataFrame, keys: list[str], forward: list[str], backward: list[str] = (), upper_width: int = UPPER_WIDTH
+) -> DataFrame:
+    """For each block (keys, `_block`) what crosses its borders, its keys renamed to `_of_<key>`.
+
+    Of a `forward` column the last value (not null) of the blocks before it, of a `backward` column
+    the first of those after it.
+    """
+    upper = keys + ["_upper"]
+    blocks = blocks.withColumn("_upper", _block("_block", upper_width))
+    filled = lambda c: F.when(F.col(c).isNotNull(), F.col("_block"))
+    uppers = blocks.groupBy(upper).agg(
+        *[F.max_by(c, filled(c)).alias(c) for c in forward], *[F.min_by(c, filled(c)).alias(c) for c in backward]
+    )
+
+    def windows(place: list[str], order: str):
+        over = Window.partitionBy(place)
+        up = over.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        down = over.orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
+        return {c: F.last(c, True).over(up) for c in forward} | {c: F.last(c, True).over(down) for c in backward}
+
+    above = uppers.select(
+        *[F.col(c).alias(f"_up_{c}") for c in upper], *[c.alias(f"_above_{n}") for n, c in windows(keys, "_upper").items()]
+    )
+    return blocks.join(above, _same(upper, "_up_")).select(
+        *[F.col(c).alias(f"_of_{c}") for c in keys + ["_block"]],
+        *[F.coalesce(c, F.col(f"_above_{n}")).alias(n) for n, c in windows(upper, "_block").items()],
+    )
+
+
+def carried_forward(
+    rows: DataFrame, keys: list[str], order: str, values: dict[str, Column], width: int = BLOCK_WIDTH
+) -> DataFrame:
+    """Add to every row the last value (not null) at or before it among the rows of its keys.
+
+    `values` maps names of added columns to what a row gives. `order` is unique for a key.
+    """
+    place = keys + ["_block"]
+    given = {n: f"_given_{i}" for i, n in enumerate(values)}
+    rows = rows.withColumns({given[n]: v for n, v in values.items()} | {"_block": _block(order, width)}).repartition(*place)
+    blocks = rows.groupBy(place).agg(
+        *[F.max_by(g, F.when(F.col(g).isNotNull(), F.col(order))).alias(f"_last{g}") for g in given.values()]
+    )
+    borders = _borders(blocks, keys, [f"_last{g}" for g in given.values()])
+    inside = Window.partitionBy(place).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    added = {n: F.coalesce(F.last(g, True).over(inside), F.col(f"_last{g}")) for n, g in given.items()}
+    return (
+        rows.join(borders, _same(place, "_of_"))
+        .withColumns(added)
+        .drop("_block", *given.values(), *[f"_last{g}" for g in given.values()], *[f"_of_{c}" for c in place])
+    )
+
+
 def nearest_markers(
     rows: DataFrame,
     markers: DataFrame,
@@ -47,14 +110,7 @@ def nearest_markers(
     blocks = together.groupBy(place).agg(
         F.min_by("_mark", place_of_mark).alias("_first"), F.max_by("_mark", place_of_mark).alias("_last")
     )
-    by_block = Window.partitionBy(keys)
-    forward = by_block.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    backward = by_block.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
-    carried = blocks.select(
-        *[F.col(c).alias(f"_of_{c}") for c in place],
-        F.last("_last", True).over(forward).alias("_before"),
-        F.last("_first", True).over(backward).alias("_after"),
-    )
+    carried = _borders(blocks, keys, ["_last"], ["_first"]).withColumnsRenamed({"_last": "_before", "_first": "_after"})
 
     # At one place the row comes first in either direction.
     inside, is_marker = Window.partitionBy(place), F.col("_is_row").isNull()
@@ -65,11 +121,8 @@ def nearest_markers(
     if after:
         down = inside.orderBy(F.desc(order), is_marker).rowsBetween(Window.unboundedPreceding, -1)
         added[after] = F.coalesce(F.last("_mark", True).over(down), "_after")
-    same = F.lit(True)
-    for c in place:
-        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
     return (
-        together.join(carried, same)
+        together.join(carried, _same(place, "_of_"))
         .withColumns(added)
         .filter(F.col("_is_row"))
         .drop("_block", "_is_row", "_mark", "_before", "_after", *[f"_of_{c}" for c in place])
@@ -82,12 +135,17 @@ def row_numbers(
     """Number the rows of each key from 1 in the order of a unique integer column."""
     rows = df.withColumn("_block", _block(order, width))
     place = keys + ["_block"]
-    earlier = Window.partitionBy(keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        rows.groupBy(place)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*place, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
-    )
+    upper = keys + ["_upper"]
+    blocks = rows.groupBy(place).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_upper", _block("_block", UPPER_WIDTH))
+
+    def before(n: str, over: list[str], by: str) -> Column:
+        earlier = Window.partitionBy(over).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(n).over(earlier), F.lit(0))
+
+    uppers = blocks.groupBy(upper).agg(F.sum("_rows").alias("_rows"))
+    uppers = uppers.select(*upper, before("_rows", keys, "_upper").alias("_above"))
+    starts = blocks.withColumn("_start", before("_rows", upper, "_block")).join(uppers, upper)
+    starts = starts.select(*place, (F.col("_start") + F.col("_above")).alias("_start"))
     inside = Window.partitionBy(place).orderBy(order)
     # The join needs the same partitioning and sort prefix as the window before it.
     return (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from changelake.functions.casts import cast_text
@@ -38,14 +38,24 @@ def project_image(image: Column, fields: Iterable[Field]) -> list[Column]:
     ]
 
 
-def normalize_payload(df: DataFrame, fields: Iterable[Field]) -> DataFrame:
-    """Add the declared payload columns; `_payload` stays as raw text."""
+def count_malformed(df: DataFrame, texts: dict[str, Column], fields: Iterable[Field], seen: Observation) -> DataFrame:
+    """The same rows; the job that reads them first counts by the way, for each field, the values that are null though there is a text."""
+    typed = [f.name for f in fields if f.type not in ("STRING", "JSON", "UUID")]
+    wrong = [F.count(F.when(texts[n].isNotNull() & F.col(f"`{n}`").isNull(), 1)).alias(n) for n in typed]
+    return df.observe(seen, F.count(F.lit(1)).alias("_rows"), *wrong)
+
+
+def normalize_payload(df: DataFrame, fields: Iterable[Field], seen: Observation | None = None) -> DataFrame:
+    """Add the declared payload columns; `_payload` stays as raw text. `seen` gets the counts of malformed values."""
     declared = payload_fields(fields)
     if not declared:
         return df
     parsed = df.withColumn("_parsed", parse_payload(F.col("_payload"), declared))
     kept = [F.col(f"`{c}`") for c in df.columns if c not in {f.name for f in declared}]
-    return parsed.select(*kept, *typed_fields(F.col("_parsed"), declared))
+    typed = parsed.select(*kept, *typed_fields(F.col("_parsed"), declared), *(["_parsed"] if seen is not None else []))
+    if seen is None:
+        return typed
+    return count_malformed(typed, {f.name: F.col("_parsed").getField(f.name) for f in declared}, declared, seen).drop("_parsed")
 
 
 def event_time(timestamp_ms: Column, ingest_ts: Column) -> Column:
@@ -64,6 +74,7 @@ def change_operation() -> Column:
         F.when(F.col("msg_type") == "I", "INSERT")
         .when(F.col("msg_type") == "U", "UPDATE")
         .when(F.col("msg_type") == "D", "DELETE")
+        .when(F.col("msg_type") == "T", "TRUNCATE")
     )
 
 

@@ -63,3 +63,14 @@ def commit_positions(log: DataFrame, targets: DataFrame) -> DataFrame:
     return targets.select(
         "table_name", last.scalar().alias("last_position"), F.lit("cdc").alias("sync_mode")
     ).withColumn("last_lsn", format_lsn(F.col("last_position")))
+
+
+def stream_positions(log: DataFrame, targets: DataFrame) -> DataFrame:
+    """For every target table (stream_id, table_name) the last commit of its own stream.
+
+    Positions of different streams can't be compared, so there is one for each stream and none over all. A table of two streams has
+    a row for each; a stream without a commit has no position yet.
+    """
+    last = last_commits(log).select("stream_id", "commit_seq", "last_position")
+    known = targets.select("stream_id", "table_name").distinct().join(last, "stream_id", "left")
+    return known.withColumns({"sync_mode": F.lit("cdc"), "last_lsn": F.when(F.col("last_position").isNotNull(), format_lsn(F.col("last_position")))})

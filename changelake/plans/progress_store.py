@@ -121,6 +121,27 @@ class ProgressStore:
         return spark.read.schema(OFFSET_SCHEMA).parquet(at)
 
 
+MALFORMED = "table_name string, batch_id string, column_name string, records bigint"
+
+
+def note_malformed(spark: SparkSession, store: ProgressStore, table: str, batch_id: str, counts: dict[str, int]) -> None:
+    """Keep the counts of malformed values of a batch; the same batch again replaces them."""
+    rows = [(table, batch_id, c, n) for c, n in sorted(counts.items()) if n and c != "_rows"]
+    at = f"{store.folder(spark)}/malformed/{table}/batch={batch_id}"
+    if rows:
+        small_frame(spark, rows, MALFORMED).coalesce(1).write.mode("overwrite").parquet(at)
+    elif folders.exists(spark, at):
+        folders.remove(spark, at)
+
+
+def malformed(spark: SparkSession, store: ProgressStore, table: str) -> DataFrame:
+    """Malformed values by batch and column of a destination table, those that became null."""
+    at = f"{store.folder(spark)}/malformed/{table}"
+    if not folders.names(spark, at):
+        return small_frame(spark, [], MALFORMED)
+    return spark.read.schema(MALFORMED).parquet(f"{at}/*")
+
+
 STATE_JSON = (
     "streams map<string, struct<sync_mode: string, last_lsn: string, "
     "full_load_completed: boolean, full_load_chunks_done: int, full_load_chunks_total: int, "

@@ -11,11 +11,14 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.operators.catalog import stream_select, sync_plan
+from changelake.operators.catalog import CDC, stream_select, sync_plan
+from changelake.functions.types import OPERATION_COLUMN, Field
 from changelake.operators.progress import STREAM_SCHEMA
+from changelake.operators.state import snapshot_events
 from changelake.operators.transactions import last_commits
 from changelake.plans import documents
 from changelake.plans.config import CHECKPOINT_INTERVAL_MS, Destination, Stream, catalog_frame
+from changelake.plans.current_table import CurrentTable
 from changelake.plans.full_load import CHUNKS_PER_WAVE, full_load
 from changelake.plans.progress_store import GLOBAL, ProgressStore
 from changelake.plans.topic_log import only_stream
@@ -80,9 +83,12 @@ def sync(
     files_per_trigger: int | None = 1000,
     interval_ms: int = CHECKPOINT_INTERVAL_MS,
     missing: str = "warn",
+    states: str | None = None,
 ) -> dict[str, int]:
     """Run a sync over tables; returns the number of ranges loaded per table.
 
+    Below the folder `states` the current state of each stream with a primary key is kept up (see `current_tables`).
+
     `source` lists and reads tables, `messages` is the folder where change messages land.
     With no saved progress changes count from now on; `from_earliest` takes all that landed. Streams that the
     source doesn't have are named in a warning, or refused with `missing="fail"`.
@@ -118,6 +124,7 @@ def sync(
         counts = list(pool.map(inheritable_thread_target(spark)(load), to_load))
     loaded = {s.table: n for s, n in zip(to_load, counts)}
     if following and messages is not None:
+        kept = current_tables(spark, states, streams, following, fields, destination, store, positions) if states else {}
         query = change_cdc(
             change_log_stream(spark, messages, files_per_trigger),
             {s.table: (s.destination, fields[s.table]) for s in following},
@@ -127,11 +134,38 @@ def sync(
             clock,
             available_now,
             interval_ms,
+            kept,
         )
         query.awaitTermination()
     return loaded
 
 
+def current_tables(
+    spark: SparkSession, path: str, streams: list[Stream], steps: list, fields: dict[str, list[Field]], destination: Destination,
+    store: ProgressStore, positions: dict[str, int],
+) -> dict[str, tuple[CurrentTable, list[str]]]:
+    """The states of the tables that have a primary key, in folders of the current generation.
+
+    A new state begins with the rows that were loaded. They were read after the position where the stream starts, so they stand there: what
+    changed meanwhile comes later in the log. Positions of different streams can't be compared; with several this is refused.
+    """
+    if len(positions) > 1:
+        raise ValueError("states are kept for one change stream only")
+    keys, out = {s.table: list(s.primary_key) for s in streams}, {}
+    for step in steps:
+        if not keys[step.table]:
+            continue
+        columns = fields[step.table]
+        state = CurrentTable(f"{path}/g={store.generation(spark)}/{step.destination}", columns)
+        if step.mode != CDC and state.version(spark) < 0:
+            loaded = destination.read(spark, step.destination).filter(F.col(OPERATION_COLUMN) == "SNAPSHOT")
+            loaded = loaded.filter(F.col("batch_id").startswith(f"load-{store.generation(spark)}-"))
+            at = F.lit(next(iter(positions.values()), -1))
+            state.apply(snapshot_events(loaded, columns, keys[step.table], F.lit(None), at))
+        out[step.table] = (state, keys[step.table])
+    return out
+
+
 def sync_topic(
     spark: SparkSession,
     messages: DataFrame,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from changelake.functions.types import Field
@@ -29,12 +29,12 @@ def only_stream(streams: list[Stream]) -> Stream:
     return stream
 
 
-def topic_log(messages: DataFrame, fields: list[Field], ingest_ts: Column) -> DataFrame:
+def topic_log(messages: DataFrame, fields: list[Field], ingest_ts: Column, seen: Observation | None = None) -> DataFrame:
     """Envelope, payload columns, operation and time, and the reject reason.
 
     One projection over the messages, for batches and streams alike: every message is an INSERT
-    at its own time.
+    at its own time. `seen` gets the counts of malformed values.
     """
-    rows = normalize_payload(topic_envelope(messages), fields)
+    rows = normalize_payload(topic_envelope(messages), fields, seen)
     time = event_time(F.col("_kafka_timestamp_ms"), ingest_ts)
     return enforce_required(add_cdc_metadata(rows, F.lit("INSERT"), time), fields)

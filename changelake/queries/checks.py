@@ -473,3 +473,104 @@ SELECT CASE WHEN tab = 'shop.orders_a' THEN 'a' WHEN tab <> 'shop.orders_b' THEN
             WHEN v1 IS NULL AND op <> 'D' THEN 'b__rejects' ELSE 'b' END AS name,
        CAST(v0 AS BIGINT) AS key, seq AS _cdc_position, {op_name("op")} AS _cdc_operation
 FROM res, top WHERE key < k"""
+
+# --- state of tables -------------------------------------------------------------------------
+
+# Customers' rows by construction: a row is a customer's from an insert on, whatever its key is.
+ACCOUNTS = f"""
+cut AS (SELECT max(o_orderkey) // 3 AS k, max(o_orderkey) AS last FROM orders),
+raw AS (
+  SELECT o_orderkey AS n, o_custkey AS customer, o_orderstatus AS status,
+         CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS price, o_orderpriority || '/' || o_orderkey AS note,
+         (o_orderkey > (SELECT k FROM cut))::INTEGER AS epoch, o_orderkey % 10 = 0 AS gone
+  FROM orders
+),
+marked AS (
+  SELECT *, lag(gone) OVER w AS was_gone, lag(epoch) OVER w AS was_epoch FROM raw WINDOW w AS (PARTITION BY customer ORDER BY n)
+),
+ops AS (
+  SELECT *, CASE WHEN was_gone IS NULL OR was_gone OR was_epoch <> epoch THEN 'I' WHEN gone THEN 'D' ELSE 'U' END AS op FROM marked
+),
+lives AS (
+  SELECT *, sum((op = 'I')::INTEGER) OVER (PARTITION BY customer ORDER BY n) AS life, (op = 'U' AND n % 13 = 0)::INTEGER AS flip FROM ops
+),
+history AS (
+  SELECT *, customer * (CASE WHEN flipped % 2 = 1 THEN -1 ELSE 1 END) AS id,
+         customer * (CASE WHEN (flipped - flip) % 2 = 1 THEN -1 ELSE 1 END) AS old_id
+  FROM (SELECT *, sum(flip) OVER (PARTITION BY customer, life ORDER BY n) AS flipped FROM lives)
+  WHERE n < (SELECT last FROM cut)
+),
+told AS (
+  SELECT *, max(CASE WHEN op = 'I' OR (op = 'U' AND n % 3 = 0) THEN n END) OVER (PARTITION BY customer, life ORDER BY n) AS told_by FROM history
+),
+filled AS (
+  SELECT t.* EXCLUDE (note), CASE WHEN t.told_by % 7 <> 0 THEN o.o_orderpriority || '/' || o.o_orderkey END AS note
+  FROM told t LEFT JOIN orders o ON o.o_orderkey = t.told_by
+)"""
+
+_STATE = with_(ACCOUNTS) + """
+SELECT id::BIGINT AS id, status, price, note, 4 * n + 1 AS position FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer ORDER BY n DESC) AS back FROM filled
+) WHERE back = 1 AND op <> 'D' AND n > (SELECT k FROM cut)
+"""
+CHECKS["q_current_state"] = _STATE
+CHECKS["q_incremental_state"] = _STATE
+CHECKS["q_truncate"] = with_(ACCOUNTS) + """
+SELECT 4 * n + 1 AS _seq, op AS _op, id::BIGINT::VARCHAR AS key, CASE WHEN id <> old_id THEN old_id::BIGINT::VARCHAR END AS old_key
+FROM history WHERE n > (SELECT k FROM cut)
+"""
+CHECKS["q_unchanged_values"] = with_(ACCOUNTS) + """
+SELECT 4 * n + 1 AS _seq, id::BIGINT AS id, note, 0::INTEGER AS unknown FROM filled WHERE op <> 'D'
+"""
+
+CHECKS["q_reconciled_load"] = with_(ACCOUNTS) + """,
+marks AS (
+  SELECT i AS chunk, floor(last * (10 + 2 * i - 1) / 20)::BIGINT AS low, floor(last * (10 + 2 * i) / 20)::BIGINT AS read,
+         floor(last * (10 + 2 * i + 1) / 20)::BIGINT AS high
+  FROM cut, range(4) t(i)
+),
+seen AS (
+  SELECT f.customer, f.id, f.op, m.low, m.high FROM filled f JOIN marks m ON f.customer % 4 = m.chunk
+  WHERE f.n <= m.read AND f.n > (SELECT k FROM cut)
+  QUALIFY row_number() OVER (PARTITION BY f.customer ORDER BY f.n DESC) = 1
+),
+kept AS (
+  SELECT id FROM seen s WHERE op <> 'D' AND NOT EXISTS (
+    SELECT 1 FROM filled f WHERE f.customer = s.customer AND f.n > s.low AND f.n <= s.high AND (f.id = s.id OR f.old_id = s.id)
+  )
+),
+ends AS (
+  SELECT *, row_number() OVER (PARTITION BY customer ORDER BY n DESC) AS back FROM filled
+)
+SELECT e.id::BIGINT AS id, e.status, e.price, e.note, CASE WHEN e.n > m.low THEN 4 * e.n + 1 END AS position,
+       e.id IN (SELECT id FROM kept) AS kept
+FROM ends e JOIN marks m ON e.customer % 4 = m.chunk
+WHERE back = 1 AND op <> 'D' AND n > (SELECT k FROM cut)
+"""
+CHECKS["q_stream_positions"] = with_(CHANGES) + f""",
+commits AS (SELECT key, key % 2 AS odd FROM data WHERE key < (SELECT k FROM top)),
+lasts AS (SELECT odd, max(key) AS key FROM commits GROUP BY odd),
+texts AS (
+  SELECT odd, 4 * key + 2 AS commit_seq,
+         ('0x' || CASE odd WHEN 1 THEN '7F' ELSE '' END || upper(to_hex(key // 256)))::BIGINT * 4294967296 + key * 65537 % 4294967296 AS position
+  FROM lasts
+),
+tabs AS (SELECT DISTINCT key % 2 AS odd, 't_' || oid AS table_name FROM data)
+SELECT CASE t.odd WHEN 1 THEN 's2' ELSE 's1' END AS stream_id, t.table_name, x.commit_seq, x.position AS last_position, 'cdc' AS sync_mode, {lsn_text("x.position")} AS last_lsn
+FROM tabs t JOIN texts x ON t.odd = x.odd
+"""
+CHECKS["q_quantile_ranges"] = """
+SELECT CASE WHEN l_linenumber <= 2 THEN 1000::BIGINT END AS value, count(*) AS rows, true AS fair FROM lineitem GROUP BY 1
+"""
+CHECKS["q_cursor_increment"] = """
+WITH mid AS (SELECT quantile_cont(o_orderkey, 0.5) AS k FROM orders),
+d AS (SELECT arg_min(o_orderdate::DATE, o_orderkey) AS day FROM orders WHERE o_orderkey >= (SELECT k FROM mid)),
+o AS (SELECT *, o_orderdate::DATE AS day, (SELECT day FROM d) AS border FROM orders)
+SELECT o_orderkey, 'increment-0-' || CASE WHEN day < border OR (day = border AND o_orderkey % 2 = 1) THEN '0000000000' ELSE '0000000001' END AS batch_id,
+       (SELECT count(*) FROM o WHERE day < border AND o_orderkey % 17 = 0) AS late
+FROM o WHERE day >= border OR o_orderkey % 17 <> 0
+"""
+CHECKS["q_malformed_values"] = with_(DIRTY) + """
+SELECT 'events' AS table_name, 'cdc-0-0000000000' AS batch_id, 'k' AS column_name, count(*) AS records
+FROM dirty WHERE CASE WHEN json_valid(value) THEN json_extract_string(value, '$.k') END IS NOT NULL
+"""

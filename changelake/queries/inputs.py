@@ -10,6 +10,7 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from changelake.functions.types import Field
 from changelake.operators.changes import MESSAGE_SCHEMA
@@ -165,6 +166,80 @@ def many_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.unionByName(announced, allowMissingColumns=True)
 
 
+ACCOUNTS = [Field("id", "INT64"), Field("status", "STRING"), Field("price", "DECIMAL"), Field("note", "STRING")]
+
+
+def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as the history of their customers' rows in one table, `shop.accounts`: (n, customer, op, id, old_id, note_kind, others).
+
+    Each order is one change. Every tenth deletes the row, the next one of the customer inserts it again; after a third of the orders the
+    table is truncated. Every 13th update moves the row between the customer's number and its negative. Updates mostly leave the note unchanged.
+    """
+    orders = table(spark, sf_dir, "orders")
+    n = F.col("o_orderkey")
+    cut = orders.agg(F.expr("max(o_orderkey) div 3L")).scalar()
+    of_row = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    rows = orders.withColumns({"epoch": (n > cut).cast("int"), "gone": n % 10 == 0})
+    before = F.lag(F.struct("epoch", "gone")).over(of_row)
+    fresh = before.isNull() | before["gone"] | (before["epoch"] != F.col("epoch"))
+    rows = rows.withColumn("op", F.when(fresh, "I").when(F.col("gone"), "D").otherwise("U"))
+    # A row that is to be deleted but isn't there is inserted, and then counts as not deleted.
+    rows = rows.withColumn("op", F.when(fresh & F.col("gone"), "I").otherwise(F.col("op")))
+    rows = rows.withColumn("flips", ((F.col("op") == "U") & (n % 13 == 0)).cast("int"))
+    upto = of_row.rowsBetween(Window.unboundedPreceding, 0)
+    life = F.sum((F.col("op") == "I").cast("int")).over(upto)
+    rows = rows.withColumn("life", life)
+    of_life = Window.partitionBy("o_custkey", "life").orderBy("o_orderkey").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("flipped", F.sum("flips").over(of_life))
+    sign = lambda k: F.when(k % 2 == 1, -1).otherwise(1)
+    return rows.select(
+        n.alias("n"), F.col("o_custkey").alias("customer"), "op",
+        (F.col("o_custkey") * sign(F.col("flipped"))).alias("id"),
+        (F.col("o_custkey") * sign(F.col("flipped") - F.col("flips"))).alias("old_id"),
+        F.when((F.col("op") == "U") & (n % 3 != 0), "u").when(n % 7 == 0, "n").otherwise("t").alias("note_kind"),
+        F.col("o_orderstatus").alias("status"), F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
+        F.concat(F.col("o_orderpriority"), F.lit("/"), n.cast("string")).alias("note"), (n == cut).alias("truncates"),
+    )
+
+
+def account_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`accounts` as change messages: BEGIN, change, COMMIT (and the TRUNCATE) of order n have seq 4n, 4n+1, 4n+3 (and 4n+2); the last one stays open."""
+    rows = accounts(spark, sf_dir).withColumn("o_orderkey", F.col("n"))
+    last = table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).scalar()
+    n = F.col("n")
+
+    def item(kind: Column | str, text: Column) -> Column:
+        kind = F.lit(kind) if isinstance(kind, str) else kind
+        return F.struct(kind.alias("kind"), F.when(kind == "t", text).alias("text"))
+
+    new = F.array(
+        item("t", F.col("id").cast("string")), item("t", F.col("status")), item("t", F.col("price").cast("string")), item(F.col("note_kind"), F.col("note"))
+    )
+    null = item("n", F.lit(None).cast("string"))
+    old = F.array(item("t", F.col("old_id").cast("string")), null, null, null)
+    has_old = (F.col("op") == "D") | ((F.col("op") == "U") & ((F.col("id") != F.col("old_id")) | (n % 2 == 0)))
+
+    def message(seq: Column, letter: Column | str, **values: Column) -> list[Column]:
+        values |= {
+            "stream_id": F.lit("s1"), "seq": seq, "lsn": lsn_text(n), "msg_type": F.lit(letter) if isinstance(letter, str) else letter, "xid": n,
+        }
+        return [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in MESSAGE_SCHEMA.fields]
+
+    oid = F.lit(16400)
+    announced = small_frame(
+        spark, [("s1", -1, "R", 16400, "shop", "accounts", [f.name for f in ACCOUNTS])],
+        "stream_id string, seq bigint, msg_type string, rel_oid bigint, rel_namespace string, rel_table string, rel_columns array<string>",
+    )
+    change = message(n * 4 + 1, F.col("op"), rel_oid=oid, new_tuple=F.when(F.col("op") != "D", new), old_tuple=F.when(has_old, old))
+    return (
+        rows.select(change)
+        .unionByName(rows.select(message(n * 4, "B")))
+        .unionByName(rows.filter(n < last).select(message(n * 4 + 3, "C")))
+        .unionByName(rows.filter("truncates").select(message(n * 4 + 2, "T", rel_oid=oid)))
+        .unionByName(announced, allowMissingColumns=True)
+    )
+
+
 def lsn_text(key: Column) -> Column:
     low = (key * 65537) % 4294967296
     return F.concat_ws("/", F.hex(F.expr("o_orderkey div 256")), F.hex(low))

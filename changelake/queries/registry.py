@@ -14,11 +14,14 @@ from changelake.operators import catalog as cat
 from changelake.operators import changes as chg
 from changelake.operators import progress as prg
 from changelake.operators import records as rec
-from changelake.operators.transactions import assemble_transactions, commit_positions
+from changelake.operators import state as sta
+from changelake.operators.transactions import assemble_transactions, commit_positions, stream_positions
 from changelake.plans.change_log import committed_changes, table_changes
 from changelake.plans.config import Destination, Stream
+from changelake.plans.current_table import CurrentTable
 from changelake.plans.full_load import full_load
-from changelake.plans.progress_store import ProgressStore
+from changelake.plans.increment import read_increment
+from changelake.plans.progress_store import ProgressStore, malformed
 from changelake.plans.sync import sync, sync_topic
 from changelake.plans.topic_log import topic_log
 from changelake.queries import inputs
@@ -649,12 +652,13 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 def route_late_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of three tables, one with rejects, whose files land last part first, a batch for each."""
     root = shared_folder(spark, "route")
-    log = inputs.changes(spark, sf_dir)
+    log = _landed(inputs.changes(spark, sf_dir), "route-log")
     # Parts that cut transactions: the second has the row changes alone.
     part = F.when(~F.col("msg_type").isin("B", "C", "R"), 2).when(F.col("seq") % 8 < 4, 1).otherwise(3)
     part = F.when(F.col("msg_type") == "R", 1).otherwise(part)
+    files = 4
     for n in (3, 2, 1):
-        log.filter(part == n).coalesce(1).write.mode("append").parquet(f"{root}/messages")
+        log.filter(part == n).repartition(files, F.expr("seq div 1024")).write.mode("append").parquet(f"{root}/messages")
     destination = Destination(base_path=f"{root}/out")
     tables = {
         "shop.orders_a": ("a", ORDERS_A[:1]),
@@ -662,7 +666,7 @@ def route_late_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "unknown.16386": ("c", [Field("col_0", "INT64")]),
     }
     change_cdc(
-        change_log_stream(spark, f"{root}/messages", 1), tables, destination, ProgressStore(f"{root}/state"), clock=_clock
+        change_log_stream(spark, f"{root}/messages", files), tables, destination, ProgressStore(f"{root}/state"), clock=_clock
     ).awaitTermination()
 
     def read(name: str, key: str) -> DataFrame:
@@ -671,3 +675,146 @@ def route_late_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = read("a", "o_orderkey").unionByName(read("b", "o_orderkey")).unionByName(read("c", "col_0"))
     return found.unionByName(read("b__rejects", "o_orderkey"))
+
+
+# --- state of tables -------------------------------------------------------------------------
+
+
+def _landed(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, landed in the shared folder."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _account_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _landed(inputs.account_changes(spark, sf_dir), "state-messages")
+    changes = committed_changes(log, ["shop.accounts"], inputs.ingest_ts(), truncates=True)
+    return _landed(sta.table_events(changes, inputs.ACCOUNTS, ["id"]), "state-events")
+
+
+def _account_rows(rows: DataFrame, position: str) -> DataFrame:
+    return rows.select("id", "status", F.col("price").cast("double").alias("price"), "note", F.col(position).alias("position"))
+
+
+@query
+def current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last row of each key of a table with deletions, changes of key, unchanged values and a TRUNCATE."""
+    return _account_rows(sta.current_state(_account_events(spark, sf_dir), inputs.ACCOUNTS), "_seq")
+
+
+@query
+def truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes that no TRUNCATE of their table hides."""
+    kept = sta.after_truncate(_account_events(spark, sf_dir))
+    return kept.select("_seq", "_op", F.element_at("_key", 1).alias("key"), F.element_at("_from", 1).alias("old_key"))
+
+
+@query
+def unchanged_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every change with the values that it left unchanged."""
+    filled = sta.fill_unchanged(_account_events(spark, sf_dir), inputs.ACCOUNTS).filter(F.col("_op").isin("I", "U"))
+    return filled.select("_seq", "id", "note", F.size("_unchanged").alias("unknown"))
+
+
+@query
+def incremental_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same state kept up in four batches, one of them applied twice."""
+    kept = CurrentTable(shared_folder(spark, "state"), inputs.ACCOUNTS, 16)
+    last = inputs.table(spark, sf_dir, "orders").agg(F.max("o_orderkey") + 1).scalar()
+    quarter = F.expr("_seq div 4") * 4 / last
+    events = _account_events(spark, sf_dir)
+    for n in (0, 1, 2, 1, 3):
+        kept.apply(events.filter(F.floor(quarter) == n))
+    return _account_rows(kept.read(spark), "_cdc_position")
+
+
+@query
+def reconciled_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table loaded in four ranges while it changed, and its log: one state, and which loaded rows no change overtook.
+
+    Each range of customers was read as the table was at an order of its own, between marks a twentieth of the orders before and after.
+    """
+    orders = inputs.table(spark, sf_dir, "orders")
+    last = orders.agg(F.max("o_orderkey")).scalar()
+    chunk = F.col("customer") % 4
+    share = lambda twentieths: F.floor(last * (10 + 2 * chunk + twentieths) / 20)
+    history = _landed(inputs.accounts(spark, sf_dir), "state-history").filter(~F.col("truncates"))
+    cut = inputs.table(spark, sf_dir, "orders").agg(F.expr("max(o_orderkey) div 3L")).scalar()
+    history = history.filter((F.col("n") > cut) & (F.col("n") <= share(0)))
+    # The note a row had then is the last one told; rows start with an insert, which tells it.
+    note = F.max_by(F.when(F.col("note_kind") == "t", F.col("note")), F.when(F.col("note_kind") != "u", F.col("n")))
+    latest = F.max_by(F.struct("op", "id", "status", "price"), "n")
+    rows = history.groupBy("customer").agg(latest.alias("r"), note.alias("note")).filter("r.op <> 'D'").select("customer", "r.*", "note")
+    position = lambda n: F.floor(n / 256) * 4294967296 + n * 65537 % 4294967296
+    rows = rows.withColumns({"_low": position(share(-1)), "_high": position(share(1))})
+    rows = _landed(rows, "state-rows")
+    marks = rows.select(F.array(F.col("id").cast("string")).alias("_key"), "_low", "_high")
+    loaded = sta.snapshot_events(rows, inputs.ACCOUNTS, ["id"], F.lit("s1"), F.col("_low")).join(marks, "_key")
+    loaded = _landed(loaded, "state-snapshot")
+    events = _account_events(spark, sf_dir)
+    kept = sta.reconcile(loaded, events).select("id", F.lit(True).alias("kept"))
+    # The log is applied from the lowest mark on.
+    later = events.filter(F.col("_position") > loaded.agg(F.min("_low")).scalar())
+    state = sta.current_state(loaded.select(later.columns).unionByName(later), inputs.ACCOUNTS)
+    of_log = F.when(F.col("_seq") < sta.LAST_SEQ, F.col("_seq"))
+    state = _account_rows(state.withColumn("position", of_log), "position")
+    return state.join(kept, "id", "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+
+
+@query
+def stream_positions_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last commits of two streams whose positions cross, for the tables of each."""
+    log = inputs.changes(spark, sf_dir)
+    odd = F.expr("seq div 4") % 2 == 1
+    second = log.filter(odd).withColumn("lsn", F.concat(F.lit("7F"), "lsn"))
+    both = log.filter(~odd).unionByName(second.withColumn("stream_id", F.lit("s2")))
+    tables = both.filter(F.col("rel_oid").isNotNull() & chg.is_change())
+    tables = tables.select("stream_id", F.concat(F.lit("t_"), F.col("rel_oid").cast("string")).alias("table_name"))
+    return stream_positions(both, tables)
+
+
+@query
+def quantile_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges over a skewed key: two fifths of the line items have one value, the others crowd at the low end.
+
+    For each range with a value of its own that value and its rows; for the others how many rows they hold, and whether none holds more than twice the mean.
+    """
+    line = inputs.table(spark, sf_dir, "lineitem")
+    key = F.when(F.col("l_linenumber") <= 2, 1000).otherwise(F.col("l_partkey") * F.col("l_partkey") + 1001)
+    rows = line.select(key.cast("bigint").alias("k"))
+    chunks = snap.quantile_chunks(rows, "k", 20)
+    found = snap.chunked_snapshot(rows, chunks).groupBy("chunk").agg(F.min("k").alias("low"), F.max("k").alias("high"), F.count(F.lit(1)).alias("rows"))
+    found = found.withColumn("value", F.when(F.col("low") == F.col("high"), F.col("low")))
+    fair = F.max("rows") <= 2 * F.avg("rows")
+    return found.groupBy("value").agg(F.sum("rows").alias("rows"), fair.alias("fair"))
+
+
+@query
+def cursor_increment_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders read twice by their date, the second time with more of the last day seen, later days, and some that came late."""
+    root = shared_folder(spark, "cursor")
+    orders = inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
+    middle = orders.agg(F.percentile("o_orderkey", 0.5)).scalar()
+    day = orders.filter(F.col("o_orderkey") >= middle).agg(F.min_by("day", "o_orderkey")).scalar()
+    odd = F.col("o_orderkey") % 2 == 1
+    first = orders.filter(((F.col("day") < day) & (F.col("o_orderkey") % 17 != 0)) | ((F.col("day") == day) & odd))
+    destination, store = Destination(base_path=f"{root}/out"), ProgressStore(f"{root}/state")
+    late = []
+    for rows in (first, orders, orders):
+        late.append(read_increment(spark, rows, "orders", "day", ["o_orderkey"], destination, "orders", store, inputs.INGEST_TS)[1])
+    return destination.read(spark, "orders").select("o_orderkey", "batch_id", F.lit(late[1]).cast("bigint").alias("late"))
+
+
+@query
+def malformed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the topic job counted by the way: values that didn't fit their columns, by batch and column."""
+    root = shared_folder(spark, "malformed")
+    messages = inputs.dirty_topic(spark, sf_dir)
+    messages.repartition(4, "partition").write.parquet(f"{root}/messages")
+    stream = spark.readStream.schema(messages.schema).parquet(f"{root}/messages")
+    fields = (Field("k", "TIME"), Field("other", "INT64"))
+    entry = Stream("events", "events", "cdc", True, fields)
+    store = ProgressStore(f"{root}/state")
+    sync_topic(spark, stream, Destination(base_path=f"{root}/out"), [entry], store, clock=_clock)
+    return malformed(spark, store, "events")

@@ -50,3 +50,17 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Names of the parents of what a pattern finds."""
     fs, p = _path(spark, pattern)
     return [status.getPath().getParent().getName() for status in fs.globStatus(p) or []]
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds, the oldest first; none where it doesn't exist."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in sorted(fs.listStatus(p), key=lambda s: (s.getModificationTime(), s.getPath().getName()))]
+
+
+def bytes_below(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    fs, p = _path(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0

@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changelake.sinks import folders
@@ -15,7 +16,7 @@ FILE_SIZE_MB = 256
 ROW_GROUP_SIZE_MB = 128
 COMPRESSION = "SNAPPY"
 
-# Bytes one value is taken to need in a file; a guess that only sizes files.
+# Bytes one value is taken to need in a file: a guess for a table's first batch.
 _WIDTHS = {"integer": 4, "long": 8, "float": 4, "double": 8, "boolean": 1, "date": 4}
 _TEXT_WIDTH = 24
 
@@ -26,6 +27,30 @@ def records_per_file(schema: T.StructType, file_size_mb: int = FILE_SIZE_MB) ->
     return max(file_size_mb * 1024 * 1024 // max(width, 1), 1)
 
 
+# A table's sizes are noted in names of empty files, `<batch>~<rows>~<bytes>`; readers pass over the folder.
+SIZES = "_sizes"
+# Batches that say how wide a row is, and the fewest rows they need together.
+MEASURED_BATCHES, LEAST_ROWS = 8, 1000
+
+
+def measured_width(spark: SparkSession, at: str) -> float | None:
+    """Bytes a row took in the files of a table's last batches; None before enough rows were written."""
+    rows = size = 0
+    for name in reversed(folders.names(spark, f"{at}/{SIZES}")[-MEASURED_BATCHES:]):
+        _, n, b = name.rsplit("~", 2)
+        rows, size = rows + int(n), size + int(b)
+    return size / rows if rows >= LEAST_ROWS else None
+
+
+def _note_size(spark: SparkSession, at: str, batch_id: str, rows: int, size: int) -> None:
+    if not rows:
+        return
+    known = folders.names(spark, f"{at}/{SIZES}")
+    for name in [n for n in known if n.startswith(f"{batch_id}~")] + known[: -4 * MEASURED_BATCHES]:
+        folders.remove(spark, f"{at}/{SIZES}/{name}")
+    folders.touch(spark, f"{at}/{SIZES}/{batch_id}~{rows}~{size}")
+
+
 def append_parquet(
     df: DataFrame,
     base_path: str,
@@ -58,13 +83,21 @@ def write_batch(
 
     A batch that is repeated on a later day keeps the day of its first attempt, so it replaces
     itself and a read of one day lists the batches of that day only.
+
+    Files are cut by rows. How many make the wanted size is taken from the bytes a row took in the table's last batches.
     """
     spark, day = df.sparkSession, f"ingest_date={ingest_date.isoformat()}"
-    before = folders.matching(spark, f"{base_path}/{table}/ingest_date=*/batch_id={batch_id}")
+    at = f"{base_path}/{table}"
+    before = folders.matching(spark, f"{at}/ingest_date=*/batch_id={batch_id}")
+    width = None if max_records else measured_width(spark, at)
+    of_width = max(int(file_size_mb * 1024 * 1024 / width), 1) if width else records_per_file(df.schema, file_size_mb)
+    folder = f"{at}/{min(before, default=day)}/batch_id={batch_id}"
+    written = Observation()
     (
-        df.write.option("compression", compression.lower())
+        df.observe(written, F.count(F.lit(1)).alias("rows")).write.option("compression", compression.lower())
         .option("parquet.block.size", row_group_size_mb * 1024 * 1024)
-        .option("maxRecordsPerFile", max_records or records_per_file(df.schema, file_size_mb))
+        .option("maxRecordsPerFile", max_records or of_width)
         .mode("overwrite")
-        .parquet(f"{base_path}/{table}/{min(before, default=day)}/batch_id={batch_id}")
+        .parquet(folder)
     )
+    _note_size(spark, at, batch_id, written.get.get("rows") or 0, folders.bytes_below(spark, folder))

@@ -85,18 +85,103 @@ def key_chunks(df: DataFrame, key: str, width: int) -> Chunks:
     return Chunks(key, low, width, (high - low) // width + 1)
 
 
+class Cuts(NamedTuple):
+    """Ranges between cut values of a key, numbered from 0.
+
+    Range n starts above cut n - 1, or at it where that is marked as `at`, and goes on to the next cut. Null keys are in the first range.
+    """
+
+    key: str
+    values: tuple
+    at: tuple[bool, ...]
+
+    @property
+    def count(self) -> int:
+        return len(self.values) + 1
+
+    def _beyond(self, value: Column, at: Column | bool) -> Column:
+        key = F.col(self.key)
+        return (key > value) | ((key == value) & (at if isinstance(at, Column) else F.lit(at)))
+
+    def of(self) -> Column:
+        """The range a row belongs to: looked up among every so many cuts first, then between two of these."""
+        step = max(int(self.count**0.5), 1)
+        cuts = [F.struct(F.lit(v).alias("v"), F.lit(a).alias("a")) for v, a in zip(self.values, self.at)]
+        if not cuts:
+            return F.lit(0)
+        parts = [F.array(*cuts[i : i + step]) for i in range(0, len(cuts), step)]
+        below = lambda array: F.size(F.filter(array, lambda c: F.coalesce(self._beyond(c["v"], c["a"]), F.lit(False))))
+        part = below(F.array(*cuts[::step])) - 1
+        return F.when(part < 0, 0).otherwise(part * step + below(F.get(F.array(*parts), part))).cast("int")
+
+    def between(self, first: int, last: int) -> Column:
+        """Condition of the ranges first..last on the bare key, so that scans can use it."""
+        condition, key = F.lit(first <= last), F.col(self.key)
+        if first >= self.count:
+            return F.lit(False)
+        if first > 0:
+            low = F.lit(self.values[first - 1])
+            condition &= key >= low if self.at[first - 1] else key > low
+        if last < self.count - 1:
+            high = F.lit(self.values[last])
+            below = key < high if self.at[last] else key <= high
+            condition &= below if first > 0 else below | key.isNull()
+        return condition
+
+
+# Quantiles looked at for each range wanted, and how much finer than these the sketch is.
+QUANTILES, FINER = 4, 8
+
+
+def quantile_chunks(df: DataFrame, key: str, ranges: int) -> Cuts:
+    """About so many ranges of equal row counts over a number or time column, however its values are spread.
+
+    One aggregation builds quantile sketches that merge; the driver gets a few values for each range. A value that fills a range
+    by itself gets one of its own, which may be as large as that value is frequent; the others hold at most twice their share, and little or nothing
+    where they lie between such values. An empty table has one range.
+    """
+    points = ranges * QUANTILES
+    wanted = [i / points for i in range(1, points)]
+    found = df.agg(F.percentile_approx(key, wanted, points * FINER)).first()[0] if points > 1 else None
+    values, at = [], []
+
+    def cut(value, starts: bool) -> None:
+        if not values or (values[-1], at[-1]) != (value, starts):
+            values.append(value)
+            at.append(starts)
+
+    runs: list[list] = []
+    for v in found or []:
+        if runs and runs[-1][0] == v:
+            runs[-1][1] += 1
+        else:
+            runs.append([v, 1])
+    filled = 0
+    for v, n in runs:
+        if n >= QUANTILES:
+            cut(v, True)
+            cut(v, False)
+            filled = 0
+        else:
+            filled += n
+            if filled >= QUANTILES:
+                cut(v, False)
+                filled = 0
+    return Cuts(key, tuple(values), tuple(at))
+
+
 def snapshot_scan(df: DataFrame, columns: Iterable[str], ingest_ts: Column) -> DataFrame:
     """The declared columns of a table, each row tagged as part of a snapshot at position 0."""
     rows = df.select(*columns).withColumn("_cdc_position", F.lit(0).cast("bigint"))
     return add_cdc_metadata(rows, F.lit("SNAPSHOT"), ingest_ts)
 
 
-def chunked_snapshot(df: DataFrame, chunks: Chunks) -> DataFrame:
+def chunked_snapshot(df: DataFrame, chunks: Chunks | Cuts) -> DataFrame:
     """Tag each row of a file table with its range; the files' own splits run in parallel."""
     return df.withColumn("chunk", chunks.of())
 
 
-def snapshot_resume(df: DataFrame, chunks: Chunks, done: int) -> DataFrame:
+def snapshot_resume(df: DataFrame, chunks: Chunks | Cuts, done: int) -> DataFrame:
     """The rows of the ranges that are not done yet, as a condition the scan can prune with."""
     return df.filter(chunks.between(done, chunks.count - 1))
 

@@ -7,7 +7,8 @@ changes nothing, and one that comes late but was never applied is applied then.
 
     <store>/g=<n>/cdc/held/batch=<b>        messages that wait, as of batch b
     <store>/g=<n>/cdc/relations/batch=<b>   relations that batch b announced
-    <store>/g=<n>/cdc/applied/batch=<b>     places of the messages that batch b applied
+    <store>/g=<n>/cdc/applied/batch=<b>     places of the messages that batch b applied, as intervals
+    <store>/g=<n>/cdc/<name>-all/batch=<b>  what all batches before b wrote, merged: the applied places, and the relations
     <store>/g=<n>/cdc/commits/batch=<b>     per stream: last commit, first batch that holds messages, whether BEGINs carry the final LSN
 
 The nearest BEGIN before a message and the nearest COMMIT after it may be those of two transactions, where the
@@ -26,7 +27,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -35,20 +36,26 @@ from changelake.functions.positions import format_lsn, parse_lsn
 from changelake.functions.types import OPERATION_COLUMN, Field
 from changelake.operators.catalog import CDC
 from changelake.operators.changes import DATA_TYPES, MESSAGE_SCHEMA, resolve_relation
+from changelake.operators.intervals import border_marks, islands, merged, outside
 from changelake.operators.ordered import nearest_markers
 from changelake.operators.progress import sync_counts
 from changelake.operators.records import add_cdc_metadata, change_operation, split_rejects
+from changelake.operators.state import table_events
 from changelake.plans.change_log import table_changes
 from changelake.plans.config import CHECKPOINT_INTERVAL_MS, Destination
-from changelake.plans.progress_store import GLOBAL, ProgressStore
+from changelake.plans.current_table import CurrentTable
+from changelake.plans.progress_store import GLOBAL, ProgressStore, note_malformed
 from changelake.session import small_frame
 from changelake.sinks import folders
 from changelake.streaming.topic_cdc import utc_now
 
 COMMITS = "stream_id string, commit_seq bigint, last_position bigint, held_from bigint, final_lsn boolean"
-APPLIED = "stream_id string, seq bigint, msg_type string, xid bigint, lsn string"
+MARK = "struct<msg_type:string,xid:bigint,seq:bigint,lsn:string>"
+APPLIED = f"stream_id string, seq_from bigint, seq_to bigint, first_mark {MARK}, last_mark {MARK}"
 RELATION = ("rel_namespace", "rel_table", "rel_columns")
 KEPT_BATCHES = 10
+# Batches whose state is merged into one folder.
+MERGED_BATCHES = 32
 TABLES_AT_ONCE = 4
 
 log = logging.getLogger(__name__)
@@ -72,10 +79,19 @@ class _State:
 
     def all(self, spark: SparkSession, name: str, before: int, schema) -> DataFrame | None:
         """What all batches before `before` wrote."""
-        found = [b for b in self._batches(spark, name) if b < before]
-        if not found:
-            return None
-        return spark.read.schema(schema).parquet(*[f"{self.root}/{name}/batch={b}" for b in found])
+        whole, later = self._parts(spark, name, before)
+        paths = [f"{self.root}/{name}-all/batch={b}" for b in whole] + [f"{self.root}/{name}/batch={b}" for b in later]
+        return spark.read.schema(schema).parquet(*paths) if paths else None
+
+    def _parts(self, spark: SparkSession, name: str, before: int) -> tuple[list[int], list[int]]:
+        """The last merged folder up to `before`, if any, and the batches since then."""
+        whole = [b for b in self._batches(spark, f"{name}-all") if b <= before and folders.exists(spark, f"{self.root}/{name}-all/batch={b}/_SUCCESS")][-1:]
+        return whole, [b for b in self._batches(spark, name) if (whole[0] if whole else 0) <= b < before]
+
+    def merge(self, spark: SparkSession, name: str, before: int, schema, how: Callable[[DataFrame], DataFrame]) -> None:
+        """Put what many batches before `before` wrote into one folder."""
+        if len(self._parts(spark, name, before)[1]) >= MERGED_BATCHES:
+            self.write(how(self.all(spark, name, before, schema)), f"{name}-all", before)
 
     def held(self, spark: SparkSession, first: dict[str, int], before: int) -> DataFrame | None:
         """Messages that wait in the streams of `first`, each from its first batch on."""
@@ -97,6 +113,11 @@ class _State:
             old = [b for b in self._batches(spark, name) if b < before]
             for b in old if name == "held" else old[:-1]:
                 folders.remove(spark, f"{self.root}/{name}/batch={b}")
+        for name in ("applied", "relations"):
+            whole, _ = self._parts(spark, name, before)
+            for b in whole:
+                for old, at in ((o, n) for n in (name, f"{name}-all") for o in self._batches(spark, n) if o < b):
+                    folders.remove(spark, f"{self.root}/{at}/batch={old}")
 
 
 def _placed(rows: DataFrame, markers: DataFrame) -> DataFrame:
@@ -146,8 +167,11 @@ def change_cdc(
     clock: Callable[[], datetime.datetime] = utc_now,
     available_now: bool = True,
     interval_ms: int = CHECKPOINT_INTERVAL_MS,
+    states: dict[str, tuple[CurrentTable, list[str]]] | None = None,
 ) -> StreamingQuery:
-    """Start the stream. `tables` maps a source table to its destination table and fields.
+    """Start the stream. `tables` maps a source table to its destination table and fields, `states` to its current state to keep up and its key.
+
+    The change logs hold row changes; TRUNCATEs only change states.
 
     Transactions committed at or before the start position of their stream are passed over: the
     snapshot has them.
@@ -193,7 +217,7 @@ def change_cdc(
         known = relations if known is None else known.unionByName(relations)
         known = known.dropDuplicates(["stream_id", "rel_oid", "seq"])
 
-        rows = batch.filter(kind.isin("B", "C", *DATA_TYPES))
+        rows = batch.filter(kind.isin("B", "C", "T", *DATA_TYPES))
         waiting, rows = rows.filter(~F.col("stream_id").isin(closing)), rows.filter(F.col("stream_id").isin(closing))
         taken_up = {s: held_from[s] for s in closing if s in held_from}
         earlier = state.held(spark, taken_up, number) if taken_up else None
@@ -207,20 +231,18 @@ def change_cdc(
             # Something came at or before the last commit: what was applied before is left out, and what wasn't finds its
             # transaction among those that were.
             applied = applied.filter(F.col("stream_id").isin(late))
-            rows = rows.join(applied.select("stream_id", "seq"), ["stream_id", "seq"], "left_anti").select(rows.columns)
-            markers = rows.filter(kind.isin("B", "C")).select(applied.columns).unionByName(
-                applied.filter(kind.isin("B", "C"))
-            )
+            rows = outside(rows, applied, ["stream_id"], "seq")
+            borders = border_marks(applied, ["stream_id"])
+            markers = rows.filter(kind.isin("B", "C")).select(borders.columns).unionByName(borders)
         # A table that was not announced yet may be announced by a file that is still to come.
-        named = resolve_relation(rows, known).unionByName(rows.filter(kind.isin("B", "C")), allowMissingColumns=True)
+        named = resolve_relation(rows, known, truncates=True).unionByName(rows.filter(kind.isin("B", "C")), allowMissingColumns=True)
         placed = _placed(named, markers.select("stream_id", "seq", "lsn", "msg_type", "xid")).persist()
         cached.append(placed)
         shown = placed.groupBy("stream_id").agg(F.max(_final_lsn()).alias("final_lsn")).where("final_lsn").collect()
         final_lsn = sorted({r.stream_id for r in shown} | {s for s, r in old.items() if r.final_lsn})
         unknown = F.col("table_name").startswith("unknown.") & ~F.col("table_name").isin(targets)
         unknown = F.coalesce(unknown, F.lit(False))
-        placed = placed.withColumn("_whole", _whole(final_lsn) & ~unknown).persist()
-        cached.append(placed)
+        placed = placed.withColumn("_whole", _whole(final_lsn) & ~unknown)
 
         found = {
             r.stream_id: r
@@ -241,8 +263,8 @@ def change_cdc(
             state.write(held.unionByName(waiting.select(held.columns)), "held", number)
         ready = placed.filter("_whole")
         if any(r.ready for r in found.values()):
-            marks = {c: F.when(kind.isin("B", "C"), F.col(c)).alias(c) for c in ("msg_type", "xid", "lsn")}
-            state.write(ready.select("stream_id", "seq", *marks.values()), "applied", number)
+            mark = F.when(kind.isin("B", "C"), F.struct("msg_type", "xid", "seq", "lsn"))
+            state.write(islands(ready, ["stream_id"], "seq", mark), "applied", number)
 
         commits = []
         for s in sorted({*old, *heads}):
@@ -256,10 +278,12 @@ def change_cdc(
             commits.append((s, max(seqs, default=None), max(ends, default=None), since, s in final_lsn))
         state.write(small_frame(spark, commits, COMMITS), "commits", number)
         needed = [c[3] for c in commits if c[3] is not None] + list(held_from.values())
+        state.merge(spark, "applied", number, APPLIED, lambda df: merged(df, ["stream_id"]))
+        state.merge(spark, "relations", number, MESSAGE_SCHEMA, lambda df: df.dropDuplicates(["stream_id", "rel_oid", "seq"]))
         state.retire(spark, min([*needed, number - KEPT_BATCHES]))
         if not any(r.ready for r in found.values()):
             return None
-        changes = ready.filter(kind.isin(DATA_TYPES) & F.col("table_name").isin(targets)).select(
+        changes = ready.filter(kind.isin("T", *DATA_TYPES) & F.col("table_name").isin(targets)).select(
             *[c for c in placed.columns if c not in ("rel_namespace", "rel_table", "_begin", "_commit", "_whole")],
             F.col("_begin.xid").alias("tx_xid"),
             F.col("_commit.seq").alias("commit_seq"),
@@ -290,15 +314,24 @@ def change_cdc(
 
             def write_table(table: str) -> None:
                 name, fields = tables[table]
-                good, rejected = split_rejects(table_changes(changes, table, fields))
+                if table in (states or {}):
+                    current, key = states[table]
+                    current.apply(table_events(changes.filter(F.col("table_name") == table), fields, key))
+                if table not in changed:
+                    return
+                seen = Observation()
+                good, _ = split_rejects(table_changes(changes, table, fields, seen))
+                _, rejected = split_rejects(table_changes(changes, table, fields))
                 # Each partition of the batch may hold a few rows of each table: gather them into
                 # files of a fair size.
                 destination.write_batch(good.hint("rebalance"), name, batch_id, now.date())
+                note_malformed(spark, store, name, batch_id, seen.get)
                 if any(not f.nullable for f in fields) and not rejected.isEmpty():
                     destination.write_batch(rejected, f"{name}__rejects", batch_id, now.date())
 
             # The threads take over the stream's job group, so stopping it stops them as well.
             touched = sorted({r.table_name for r in counts})
+            changed = {r.table_name for r in counts if r[OPERATION_COLUMN] != "TRUNCATE"}
             inherit = inheritable_thread_target(batch.sparkSession)
             with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
                 list(pool.map(inherit(write_table), touched))

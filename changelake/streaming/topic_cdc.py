@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,7 +24,7 @@ from changelake.plans.config import (
     Destination,
     Stream,
 )
-from changelake.plans.progress_store import ProgressStore
+from changelake.plans.progress_store import ProgressStore, note_malformed
 from changelake.plans.topic_log import only_stream, topic_log
 from changelake.session import small_frame
 from changelake.sources.topics import topic_stream
@@ -83,8 +83,12 @@ def topic_cdc(
         batch_id = f"cdc-{generation}-{number:010d}"
         batch = batch.persist()
         try:
-            good, rejected = split_rejects(topic_log(batch, fields, F.lit(now)))
+            seen = Observation() if stream.normalize_payload and stream.payload_columns else None
+            good, _ = split_rejects(topic_log(batch, fields, F.lit(now), seen))
             destination.write_batch(good, stream.destination, batch_id, now.date())
+            if seen is not None:
+                note_malformed(spark, store, stream.destination, batch_id, seen.get)
+            _, rejected = split_rejects(topic_log(batch, fields, F.lit(now)))
             if has_required and not rejected.isEmpty():
                 destination.write_batch(
                     rejected, f"{stream.destination}__rejects", batch_id, now.date()

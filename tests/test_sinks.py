@@ -1,11 +1,12 @@
 import datetime as dt
 import glob
+import os
 import uuid
 
 import pytest
 
 from changelake.plans.config import Destination
-from changelake.sinks.parquet import append_parquet, records_per_file, write_batch
+from changelake.sinks.parquet import append_parquet, measured_width, records_per_file, write_batch
 from changelake.sinks.tables import append_table, replace_batch
 from changelake.sinks.topics import publish_frame
 
@@ -102,3 +103,29 @@ def test_new_columns_of_tables_are_kept(spark, way):
     write(numbers(spark, 1, 3), "b3")
     rows = sorted((r.x, r.v) for r in spark.table(name).collect())
     assert rows == [(0, None), (1, None), (2, "v2"), (3, None)]
+
+
+@pytest.mark.parametrize("text", ["concat('k', id)", "concat(repeat(sha2(cast(id as string), 256), 20), sha2(cast(id + 1 as string), 512))"])
+def test_files_are_sized_by_what_was_written(spark, tmp_path, text):
+    """After a first batch cut by a guess, files are within a fifth of the wanted size, whether texts are narrow or wide."""
+    base, wanted = str(tmp_path), 1
+    rows = spark.range(60_000).selectExpr("id", f"{text} as text").coalesce(1)
+    write_batch(rows.limit(3000), base, "t", "b0", DAY, file_size_mb=wanted)
+    width = measured_width(spark, f"{base}/t")
+    n = int(2.5 * wanted * 1024 * 1024 / width)
+    big = spark.range(n).selectExpr("id", f"{text} as text").coalesce(1)
+    for k in (1, 2):
+        write_batch(big, base, "t", f"b{k}", DAY, file_size_mb=wanted)
+    sizes = sorted(os.path.getsize(f) for f in glob.glob(f"{base}/t/*/batch_id=b2/*.parquet"))
+    assert len(sizes) >= 3 and all(abs(s / (wanted * 1024 * 1024) - 1) < 0.2 for s in sizes[1:])
+    assert spark.read.parquet(f"{base}/t").count() == 2 * n + 3000
+
+
+def test_empty_and_repeated_batches_are_measured_once(spark, tmp_path):
+    base = str(tmp_path)
+    write_batch(numbers(spark, 0), base, "t", "none", DAY)
+    write_batch(numbers(spark, 5).filter("false"), base, "t", "none2", DAY)
+    assert measured_width(spark, f"{base}/t") is None
+    for n in (5000, 2000):
+        write_batch(numbers(spark, n), base, "t", "b", DAY)
+    assert len(glob.glob(f"{base}/t/_sizes/b~2000~*")) == 1 and len(glob.glob(f"{base}/t/_sizes/*~*")) == 1

@@ -1,7 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from changelake.sources import snapshot as snap
+from changelake.sources.snapshot import chunked_snapshot, quantile_chunks, snapshot_resume
 
 
 @pytest.mark.parametrize("pages", [0, 1, 499, 500, 501, 1000, 1200, 1500, 1_200_000])
@@ -61,3 +64,33 @@ def test_snapshot_scan(spark):
     out = snap.snapshot_scan(df, ["y", "x"], F.lit(None).cast("timestamp"))
     assert out.columns == ["y", "x", "_cdc_position", "_cdc_operation", "_cdc_timestamp"]
     assert tuple(out.first())[:4] == ("a", 1, 0, "SNAPSHOT")
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 40])
+def test_quantile_chunks(spark, n):
+    """Ranges of like size over a skewed key; values that fill a range have their own; scans find the same rows."""
+    rnd = random.Random(n)
+    keys = [int(rnd.paretovariate(0.5)) for _ in range(3000)] + [17] * 1500 + [-5] * 700 + [None] * 20
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(5)
+    chunks = quantile_chunks(df, "k", n)
+    got = [r for r in chunked_snapshot(df, chunks).groupBy("chunk").agg(F.count("*").alias("rows"), F.min("k").alias("low"), F.max("k").alias("high")).collect()]
+    assert sum(r.rows for r in got) == len(keys) and {r.chunk for r in got} <= set(range(chunks.count))
+    spread = sorted((r.low, r.high) for r in got if r.low is not None)
+    assert all(a[1] < b[0] for a, b in zip(spread, spread[1:]))
+    share = len(keys) / n
+    assert all(r.rows <= 2 * share + 20 for r in got if r.low != r.high)
+    if n == 40:
+        assert any(r.low == r.high == 17 for r in got) and any(r.low == r.high == -5 for r in got)
+    for first, last in ((0, 0), (n // 2, n - 1), (0, chunks.count - 1)):
+        found = df.filter(chunks.between(first, last)).count()
+        assert found == sum(r.rows for r in got if first <= r.chunk <= last)
+
+
+def test_quantile_chunks_of_times_and_of_nothing(spark):
+    df = spark.sql("select timestamp_seconds(id * id) as at from range(500)")
+    chunks = quantile_chunks(df, "at", 5)
+    rows = [r["count"] for r in chunked_snapshot(df, chunks).groupBy("chunk").count().collect()]
+    assert len(rows) == 5 and max(rows) <= 200
+    assert sum(snapshot_resume(df, chunks, n).count() for n in (0, chunks.count)) == 500
+    none = quantile_chunks(df.limit(0), "at", 5)
+    assert none.count == 1 and chunked_snapshot(df.limit(0), none).count() == 0 and chunked_snapshot(df, none).filter("chunk = 0").count() == 500

@@ -9,6 +9,7 @@ import pytest
 from changelake.functions.types import Field
 from changelake.operators.progress import STREAM_SCHEMA
 from changelake.plans.config import Destination, Stream, catalog_frame
+from changelake.plans.current_table import CurrentTable
 from changelake.plans.full_load import full_load
 from changelake.plans.progress_store import GLOBAL, ProgressStore
 from changelake.plans.sync import start_positions, sync
@@ -243,3 +244,36 @@ def test_global_position_of_several_streams_is_refused(spark, world):
     store.update(spark, streams=small_frame(spark, row, STREAM_SCHEMA))
     with pytest.raises(ValueError):
         run(spark, world)
+
+
+def test_states_are_kept(spark, world):
+    """A loaded table's state through changes in later syncs: new, deleted and moved rows, values left unchanged, a TRUNCATE."""
+    root, source, destination, store = world
+    streams = [Stream("n.a", destination_table="a_log", primary_key=("id",)), Stream("n.b")]
+    options = {"clock": clock, "states": f"{root}/states", "files_per_trigger": 1}
+
+    def state():
+        kept = CurrentTable(f"{root}/states/g=0/a_log", [Field("id", "INT64"), Field("v", "STRING")])
+        return {r.id: r.v for r in kept.read(spark).collect()}
+
+    sync(spark, source, f"{root}/in", destination, streams, store, **options)
+    assert state() == {i: str(i) for i in range(100)}
+    unchanged = [("t", "200"), ("u", None)]
+    land(
+        frame(
+            spark,
+            [
+                message(5, "B"), message(6, "R", oid=1, table="n.a", columns=["id", "v"]), message(7, "I", oid=1, new=t("500", "new")),
+                message(8, "U", oid=1, old=t("20") + [("n", None)], new=unchanged), message(9, "D", oid=1, old=t("3") + [("n", None)]),
+                message(10, "U", oid=1, new=t("4", "late")), message(11, "C"),
+            ],
+        ),
+        f"{root}/in",
+    )
+    sync(spark, source, f"{root}/in", destination, streams, store, **options)
+    want = {i: str(i) for i in range(100) if i not in (3, 20)} | {4: "late", 200: "20", 500: "new"}
+    assert state() == want
+    land(frame(spark, [message(12, "B"), message(13, "T", oid=1), message(14, "I", oid=1, new=t("1", "again")), message(15, "C")]), f"{root}/in")
+    sync(spark, source, f"{root}/in", destination, streams, store, **options)
+    assert state() == {1: "again"}
+    assert operations(spark, destination, "a_log") == {"SNAPSHOT": 100, "INSERT": 2, "UPDATE": 2, "DELETE": 1}
