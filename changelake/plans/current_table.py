@@ -84,6 +84,7 @@ class CurrentTable:
         written = folders.numbered(spark, data, "bucket=")
         pointer = {b: v for b, v in pointer.items() if b not in touched} | {b: version for b in written}
         self._swap(spark, version, pointer, truncated)
+        folders.remove(spark, batch)
         return version
 
     def _place(self, at: tuple[int, int] | None) -> Column | None:

@@ -8,6 +8,7 @@ changes nothing, and one that comes late but was never applied is applied then.
     <store>/g=<n>/cdc/held/batch=<b>        messages that wait, as of batch b
     <store>/g=<n>/cdc/relations/batch=<b>   relations that batch b announced
     <store>/g=<n>/cdc/applied/batch=<b>     places of the messages that batch b applied, as intervals
+    <store>/g=<n>/cdc/work/batch=<b>        steps of batch b, each written once and dropped at its end
     <store>/g=<n>/cdc/<name>-all/batch=<b>  what all batches before b wrote, merged: the applied places, and the relations
     <store>/g=<n>/cdc/commits/batch=<b>     per stream: last commit, first batch that holds messages, whether BEGINs carry the final LSN
 
@@ -107,6 +108,15 @@ class _State:
     def write(self, df: DataFrame, name: str, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch}")
 
+    def step(self, df: DataFrame, name: str, batch: int) -> DataFrame:
+        """The same rows, written once, so that what follows is planned and repeated from here."""
+        path = f"{self.root}/work/batch={batch}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def end(self, spark: SparkSession, batch: int) -> None:
+        folders.remove(spark, f"{self.root}/work/batch={batch}")
+
     def retire(self, spark: SparkSession, before: int) -> None:
         """Drop what no batch from `before` on can need."""
         for name in ("held", "commits"):
@@ -231,11 +241,12 @@ def change_cdc(
             # Something came at or before the last commit: what was applied before is left out, and what wasn't finds its
             # transaction among those that were.
             applied = applied.filter(F.col("stream_id").isin(late))
-            rows = outside(rows, applied, ["stream_id"], "seq")
+            rows = state.step(outside(rows, applied, ["stream_id"], "seq"), "rows", number)
             borders = border_marks(applied, ["stream_id"])
             markers = rows.filter(kind.isin("B", "C")).select(borders.columns).unionByName(borders)
         # A table that was not announced yet may be announced by a file that is still to come.
         named = resolve_relation(rows, known, truncates=True).unionByName(rows.filter(kind.isin("B", "C")), allowMissingColumns=True)
+        named = state.step(named, "named", number)
         placed = _placed(named, markers.select("stream_id", "seq", "lsn", "msg_type", "xid")).persist()
         cached.append(placed)
         shown = placed.groupBy("stream_id").agg(F.max(_final_lsn()).alias("final_lsn")).where("final_lsn").collect()
@@ -319,13 +330,14 @@ def change_cdc(
                     current.apply(table_events(changes.filter(F.col("table_name") == table), fields, key))
                 if table not in changed:
                     return
-                seen = Observation()
+                seen = Observation() if destination.type == "parquet" else None
                 good, _ = split_rejects(table_changes(changes, table, fields, seen))
                 _, rejected = split_rejects(table_changes(changes, table, fields))
                 # Each partition of the batch may hold a few rows of each table: gather them into
                 # files of a fair size.
                 destination.write_batch(good.hint("rebalance"), name, batch_id, now.date())
-                note_malformed(spark, store, name, batch_id, seen.get)
+                if seen is not None:
+                    note_malformed(spark, store, name, batch_id, seen.get)
                 if any(not f.nullable for f in fields) and not rejected.isEmpty():
                     destination.write_batch(rejected, f"{name}__rejects", batch_id, now.date())
 
@@ -347,6 +359,7 @@ def change_cdc(
         finally:
             for df in cached:
                 df.unpersist()
+            state.end(spark, number)
 
     writer = messages.writeStream.foreachBatch(write).option(
         "checkpointLocation", f"{folder}/checkpoint-cdc"

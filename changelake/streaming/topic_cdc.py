@@ -83,7 +83,8 @@ def topic_cdc(
         batch_id = f"cdc-{generation}-{number:010d}"
         batch = batch.persist()
         try:
-            seen = Observation() if stream.normalize_payload and stream.payload_columns else None
+            counts = stream.normalize_payload and stream.payload_columns and destination.type == "parquet"
+            seen = Observation() if counts else None
             good, _ = split_rejects(topic_log(batch, fields, F.lit(now), seen))
             destination.write_batch(good, stream.destination, batch_id, now.date())
             if seen is not None:
