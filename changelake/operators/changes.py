@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from changelake.functions.casts import cast_text
 from changelake.functions.types import Field
-from changelake.operators.ordered import BLOCK_WIDTH, nearest_markers
+from changelake.operators.ordered import BLOCK_WIDTH, UPPER_WIDTH, nearest_markers
 
 TUPLE = T.ArrayType(T.StructType().add("kind", "string").add("text", "string"))
 MESSAGE_SCHEMA = (
@@ -69,7 +69,8 @@ def classify_messages(log: DataFrame) -> DataFrame:
 
 
 def resolve_relation(
-    log: DataFrame, earlier: DataFrame | None = None, width: int = BLOCK_WIDTH, truncates: bool = False
+    log: DataFrame, earlier: DataFrame | None = None, width: int = BLOCK_WIDTH, truncates: bool = False,
+    upper_width: int | None = UPPER_WIDTH,
 ) -> DataFrame:
     """Give each row change the latest relation of its oid seen before it; with `truncates`, each TRUNCATE too.
 
@@ -93,6 +94,7 @@ def resolve_relation(
         value=F.struct("rel_namespace", "rel_table", "rel_columns"),
         before="_relation",
         width=width,
+        upper_width=upper_width,
     )
 
     known_name = F.concat_ws(".", "_relation.rel_namespace", "_relation.rel_table")

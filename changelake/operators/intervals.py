@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changelake.operators.ordered import BLOCK_WIDTH, _block, carried_forward
+from changelake.operators.ordered import BLOCK_WIDTH, UPPER_WIDTH, _block, carried_forward
 
 
 def islands(places: DataFrame, keys: list[str], order: str, mark: Column, width: int = BLOCK_WIDTH) -> DataFrame:
@@ -40,11 +40,13 @@ def merged(intervals: DataFrame, keys: list[str], width: int = BLOCK_WIDTH) -> D
     ).drop("_begun")
 
 
-def outside(rows: DataFrame, intervals: DataFrame, keys: list[str], order: str, width: int = BLOCK_WIDTH) -> DataFrame:
+def outside(
+    rows: DataFrame, intervals: DataFrame, keys: list[str], order: str, width: int = BLOCK_WIDTH, upper_width: int | None = UPPER_WIDTH
+) -> DataFrame:
     """The rows whose place is in none of the intervals."""
     placed = rows.withColumns({"_at": 2 * F.col(order) + 1, "_ends": F.lit(None).cast("bigint"), "_is_row": F.lit(True)})
     starts = intervals.select(*keys, (2 * F.col("seq_from")).alias("_at"), F.col("seq_to").alias("_ends"))
-    found = carried_forward(placed.unionByName(starts, allowMissingColumns=True), keys, "_at", {"_upto": F.col("_ends")}, width)
+    found = carried_forward(placed.unionByName(starts, allowMissingColumns=True), keys, "_at", {"_upto": F.col("_ends")}, width, upper_width)
     return found.filter(F.col("_is_row") & (F.col("_upto").isNull() | (F.col("_upto") < F.col(order)))).select(rows.columns)
 
 

@@ -30,37 +30,40 @@ def _same(keys: list[str], other: str) -> Column:
 
 
 def _borders(
-    blocks: DataFrame, keys: list[str], forward: list[str], backward: list[str] = (), upper_width: int = UPPER_WIDTH
+    blocks: DataFrame, keys: list[str], forward: list[str], backward: list[str] = (), upper_width: int | None = UPPER_WIDTH
 ) -> DataFrame:
     """For each block (keys, `_block`) what crosses its borders, its keys renamed to `_of_<key>`.
 
     Of a `forward` column the last value (not null) of the blocks before it, of a `backward` column
-    the first of those after it.
+    the first of those after it. Without an `upper_width` all blocks of a key are in one window.
     """
-    upper = keys + ["_upper"]
-    blocks = blocks.withColumn("_upper", _block("_block", upper_width))
-    filled = lambda c: F.when(F.col(c).isNotNull(), F.col("_block"))
-    uppers = blocks.groupBy(upper).agg(
-        *[F.max_by(c, filled(c)).alias(c) for c in forward], *[F.min_by(c, filled(c)).alias(c) for c in backward]
-    )
-
     def windows(place: list[str], order: str):
         over = Window.partitionBy(place)
         up = over.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         down = over.orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
         return {c: F.last(c, True).over(up) for c in forward} | {c: F.last(c, True).over(down) for c in backward}
 
+    renamed = [F.col(c).alias(f"_of_{c}") for c in keys + ["_block"]]
+    if upper_width is None:
+        return blocks.select(*renamed, *[c.alias(n) for n, c in windows(keys, "_block").items()])
+    upper = keys + ["_upper"]
+    blocks = blocks.withColumn("_upper", _block("_block", upper_width))
+    filled = lambda c: F.when(F.col(c).isNotNull(), F.col("_block"))
+    uppers = blocks.groupBy(upper).agg(
+        *[F.max_by(c, filled(c)).alias(c) for c in forward], *[F.min_by(c, filled(c)).alias(c) for c in backward]
+    )
     above = uppers.select(
         *[F.col(c).alias(f"_up_{c}") for c in upper], *[c.alias(f"_above_{n}") for n, c in windows(keys, "_upper").items()]
     )
     return blocks.join(above, _same(upper, "_up_")).select(
-        *[F.col(c).alias(f"_of_{c}") for c in keys + ["_block"]],
+        *renamed,
         *[F.coalesce(c, F.col(f"_above_{n}")).alias(n) for n, c in windows(upper, "_block").items()],
     )
 
 
 def carried_forward(
-    rows: DataFrame, keys: list[str], order: str, values: dict[str, Column], width: int = BLOCK_WIDTH
+    rows: DataFrame, keys: list[str], order: str, values: dict[str, Column], width: int = BLOCK_WIDTH,
+    upper_width: int | None = UPPER_WIDTH,
 ) -> DataFrame:
     """Add to every row the last value (not null) at or before it among the rows of its keys.
 
@@ -72,7 +75,7 @@ def carried_forward(
     blocks = rows.groupBy(place).agg(
         *[F.max_by(g, F.when(F.col(g).isNotNull(), F.col(order))).alias(f"_last{g}") for g in given.values()]
     )
-    borders = _borders(blocks, keys, [f"_last{g}" for g in given.values()])
+    borders = _borders(blocks, keys, [f"_last{g}" for g in given.values()], upper_width=upper_width)
     inside = Window.partitionBy(place).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     added = {n: F.coalesce(F.last(g, True).over(inside), F.col(f"_last{g}")) for n, g in given.items()}
     return (
@@ -91,6 +94,7 @@ def nearest_markers(
     before: str | None = None,
     after: str | None = None,
     width: int = BLOCK_WIDTH,
+    upper_width: int | None = UPPER_WIDTH,
 ) -> DataFrame:
     """Give every row the value of the closest marker before and/or after it.
 
@@ -110,7 +114,7 @@ def nearest_markers(
     blocks = together.groupBy(place).agg(
         F.min_by("_mark", place_of_mark).alias("_first"), F.max_by("_mark", place_of_mark).alias("_last")
     )
-    carried = _borders(blocks, keys, ["_last"], ["_first"]).withColumnsRenamed({"_last": "_before", "_first": "_after"})
+    carried = _borders(blocks, keys, ["_last"], ["_first"], upper_width).withColumnsRenamed({"_last": "_before", "_first": "_after"})
 
     # At one place the row comes first in either direction.
     inside, is_marker = Window.partitionBy(place), F.col("_is_row").isNull()

@@ -38,7 +38,7 @@ from changelake.functions.types import OPERATION_COLUMN, Field
 from changelake.operators.catalog import CDC
 from changelake.operators.changes import DATA_TYPES, MESSAGE_SCHEMA, resolve_relation
 from changelake.operators.intervals import border_marks, islands, merged, outside
-from changelake.operators.ordered import nearest_markers
+from changelake.operators.ordered import BLOCK_WIDTH, UPPER_WIDTH, nearest_markers
 from changelake.operators.progress import sync_counts
 from changelake.operators.records import add_cdc_metadata, change_operation, split_rejects
 from changelake.operators.state import table_events
@@ -130,11 +130,11 @@ class _State:
                     folders.remove(spark, f"{self.root}/{at}/batch={old}")
 
 
-def _placed(rows: DataFrame, markers: DataFrame) -> DataFrame:
+def _placed(rows: DataFrame, markers: DataFrame, upper_width: int | None) -> DataFrame:
     """Add the nearest BEGIN or COMMIT on either side."""
     return nearest_markers(
         rows, markers, ["stream_id"], "seq", value=F.struct("msg_type", "xid", "seq", "lsn"),
-        before="_begin", after="_commit",
+        before="_begin", after="_commit", upper_width=upper_width,
     )
 
 
@@ -205,6 +205,7 @@ def change_cdc(
             r.stream_id: r
             for r in batch.groupBy("stream_id").agg(
                 F.min("seq").alias("first"),
+                F.max("seq").alias("last"),
                 F.count(F.when(kind == "C", 1)).alias("commits"),
                 F.count(F.when(kind == "B", 1)).alias("begins"),
                 F.count(F.when(kind == "R", 1)).alias("relations"),
@@ -220,6 +221,9 @@ def change_cdc(
             s for s, r in heads.items()
             if r.commits or r.relations or s in late or (r.begins and s in held_from)
         ]
+        # Windows over blocks hold as many as the batch touches; only one that is spread very far is worth another level.
+        wide = any(r.last - r.first >= BLOCK_WIDTH * UPPER_WIDTH for r in heads.values())
+        upper = UPPER_WIDTH if wide else None
         relations = batch.filter(kind == "R")
         known = state.all(spark, "relations", number, MESSAGE_SCHEMA)
         if any(r.relations for r in heads.values()):
@@ -241,13 +245,13 @@ def change_cdc(
             # Something came at or before the last commit: what was applied before is left out, and what wasn't finds its
             # transaction among those that were.
             applied = applied.filter(F.col("stream_id").isin(late))
-            rows = state.step(outside(rows, applied, ["stream_id"], "seq"), "rows", number)
+            rows = state.step(outside(rows, applied, ["stream_id"], "seq", upper_width=upper), "rows", number)
             borders = border_marks(applied, ["stream_id"])
             markers = rows.filter(kind.isin("B", "C")).select(borders.columns).unionByName(borders)
         # A table that was not announced yet may be announced by a file that is still to come.
-        named = resolve_relation(rows, known, truncates=True).unionByName(rows.filter(kind.isin("B", "C")), allowMissingColumns=True)
+        named = resolve_relation(rows, known, truncates=True, upper_width=upper).unionByName(rows.filter(kind.isin("B", "C")), allowMissingColumns=True)
         named = state.step(named, "named", number)
-        placed = _placed(named, markers.select("stream_id", "seq", "lsn", "msg_type", "xid")).persist()
+        placed = _placed(named, markers.select("stream_id", "seq", "lsn", "msg_type", "xid"), upper).persist()
         cached.append(placed)
         shown = placed.groupBy("stream_id").agg(F.max(_final_lsn()).alias("final_lsn")).where("final_lsn").collect()
         final_lsn = sorted({r.stream_id for r in shown} | {s for s, r in old.items() if r.final_lsn})
