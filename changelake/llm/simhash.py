@@ -226,13 +226,150 @@ def digest(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """One document of each group: that with the smallest doc_id (null only where there is no other) and, of several texts with that id, hash."""
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"))
-    rows = grouped_docs(rows, ("doc_id", "_h"))
+#: Samples of shingles that each text files itself under, shingles in a sample, and the bits in which fingerprints of candidates may differ.
+SAMPLES, SAMPLE, LOOSE = 8, 3, 18
+
+
+def shingle_hashes(raw: bytes | None, width: int) -> np.ndarray:
+    """Different XXH64 of a text's shingles (lower-cased A-Z); of all words where there are fewer than `width`, none where there are none."""
+    import xxhash
+
+    words = (raw or b"").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined, at = b" ".join(words), 0
+    starts = [0]
+    for w in words:
+        at += len(w) + 1
+        starts.append(at)
+    ends = starts[width:] if len(words) >= width else starts[-1:]
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(joined[a : b - 1], SEED) for a, b in zip(starts, ends)), np.uint64, len(ends)))
+
+
+def sample_keys(hashes: np.ndarray) -> list[int]:
+    """A key for each of SAMPLES orders of the shingles: a hash of the SAMPLE first ones.
+
+    Texts of shingle similarity s share a key with a chance of about s ** SAMPLE each: at 0.8, one of eight with 0.997.
+    """
+    keys = []
+    for k in range(SAMPLES if len(hashes) else 0):
+        mixed = hashes * np.uint64(0x9E3779B97F4A7C15 + 2 * (k + 1) * 0x632BE59BD9B4E019 & (1 << 64) - 1 | 1)
+        mixed ^= mixed >> np.uint64(29)
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        first = np.sort(np.partition(mixed, SAMPLE - 1)[:SAMPLE] if len(mixed) > SAMPLE else mixed)
+        keys.append(hash((k, *first.tolist())))
+    return keys
+
+
+def similarity(a: bytes | None, b: bytes | None, width: int) -> float:
+    """Jaccard similarity of two texts' sets of shingles."""
+    x, y = shingle_hashes(a, width), shingle_hashes(b, width)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / max(len(x) + len(y) - both, 1)
+
+
+def _sampled(docs: DataFrame, width: int) -> DataFrame:
+    """The rows with their sample keys."""
+    kept = [c for c in docs.columns if c != "text"]
+    schema = ", ".join(f"`{c}` {t}" for c, t in docs.select(*kept).dtypes) + ", fp long, keys array<long>"
+
+    def run(of):
+        for batch, raws in batches(of):
+            fps = pa.array([fingerprint(raw, width) for raw in raws], pa.int64())
+            keys = pa.array([sample_keys(shingle_hashes(raw, width)) for raw in raws], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), fps, keys], names=[*kept, "fp", "keys"])
+
+    return docs.mapInArrow(run, schema)
+
+
+def _candidates(filed: DataFrame) -> DataFrame:
+    """Pairs (a, b) of fingerprints under one key, at LOOSE bits or fewer; `filed` has key, fp and root, one row of each root under a key.
+
+    A key that more than PAIRWISE roots share (a passage that many texts have) is not paired: its fingerprints are tried with those of SAMPLES pivots, and paired
+    under the key joined with each quarter of the fingerprint, so that texts near each other still meet.
+    """
+    crowded = saved(filed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > PAIRWISE), "crowded").select("key")
+    apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= LOOSE
+    ends = lambda x, y: (x.withColumnRenamed("fp", "a").withColumnRenamed("root", "ra"), y.withColumnRenamed("fp", "b").withColumnRenamed("root", "rb"))
+
+    def paired(rows, others, key):
+        x, y = ends(rows, others)
+        return x.join(y, key).where((F.col("ra") != F.col("rb")) & apart).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    few = filed.join(crowded, "key", "left_anti")
+    pairs = paired(few, few, "key")
+    many = saved(filed.join(crowded, "key", "left_semi"), "many")
+    pivots = many.groupBy("key").agg(*(F.min_by(F.struct("fp", "root"), F.xxhash64("fp", F.lit(k))).alias(f"p{k}") for k in range(SAMPLES)))
+    pivots = pivots.select("key", F.explode(F.array_distinct(F.array(*(f"p{k}" for k in range(SAMPLES))))).alias("p")).select("key", "p.*")
+    quarters = F.array(*(F.xxhash64("key", F.lit(q), F.shiftrightunsigned("fp", 16 * q).bitwiseAND(F.lit(0xFFFF))) for q in range(4)))
+    cut = saved(many.select(F.explode(quarters).alias("part"), "fp", "root"), "quarters")
+    sizes = saved(cut.groupBy("part").agg(F.count("*").alias("n"), F.min(F.struct("fp", "root")).alias("p")), "quarter-sizes")
+    close = cut.join(sizes.where(F.col("n") <= PAIRWISE).select("part"), "part", "left_semi")
+    heads = sizes.where(F.col("n") > PAIRWISE).select("part", "p.*")
+    return saved(pairs.union(paired(many, pivots, "key")).union(paired(close, close, "part")).union(paired(cut, heads, "part")).distinct(), "candidates")
+
+
+def _alike(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
+    """The pairs whose texts have a similarity of `least` or more, on their whole sets of shingles."""
+
+    def run(of):
+        for batch in of:
+            both = zip(batch.column("ta").cast(pa.large_binary()).to_pylist(), batch.column("tb").cast(pa.large_binary()).to_pylist())
+            stay = pa.array([similarity(x, y, width) >= least for x, y in both], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(stay), batch.column("b").filter(stay)], names=["a", "b"])
+
+    whole = pairs.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a")
+    return saved(whole.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "alike")
+
+
+def near_roots(docs: DataFrame, width: int = 5, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, _h, fp of every row; fp, root of every fingerprint): documents of one root are near copies, by chains of links.
+
+    Fingerprints at two bits or fewer are linked by the pigeonhole search. Copies at a similarity of 0.8 are ten bits apart, too far for it: they
+    meet as candidates under samples of their shingles, are sifted on all bits of their fingerprints and then verified on whole sets of shingles. Candidates already
+    joined are skipped; the nearest ones of each text are verified first (one, then two, four, ...), until none is left.
+    """
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("_h"), "text")
+    rows = saved(_sampled(hashed, width), "sampled")
+    firsts = saved(rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_h")).alias("w")).select("fp", "w.doc_id", "w._h"), "firsts")
+    edges = links(firsts)
+
+    def rooted(edges):
+        return saved(firsts.select("fp").join(components(edges).toDF("fp", "root"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root")), "rooted")
+
+    roots = rooted(edges)
+    keyed = saved(rows.select("fp", F.explode("keys").alias("key")).distinct(), "keyed")
+    # Of a group that is joined already, one text a key, another one under each.
+    filed = keyed.join(roots, "fp").groupBy("key", "root").agg(F.min_by("fp", F.xxhash64("fp", "key")).alias("fp"))
+    open_pairs = _candidates(saved(filed, "filed"))
+    named = open_pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(firsts, "fp")
+    named = saved(named.toDF("fp", "_id", "_wh"), "needed")
+    whole = docs.select("doc_id", "text").join(named, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_wh")))
+    texts = saved(whole.select("fp", F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["fp"]), "texts")
+    shares = 1
+    while not open_pairs.isEmpty():
+        # A text with very many candidates is one row for each share of them before anything is shuffled.
+        apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
+        ends = F.explode(F.array(*(F.struct(F.col(x).alias("fp"), (F.xxhash64(y) % shares).alias("share")) for x, y in (("a", "b"), ("b", "a"))))).alias("e")
+        nearest = open_pairs.select(ends, F.struct(apart.alias("n"), "a", "b").alias("pair")).groupBy("e.fp", "e.share").agg(F.min("pair").alias("pair"))
+        tried = saved(nearest.select("pair.a", "pair.b").distinct(), "tried")
+        edges = edges.union(_alike(tried, texts, width, least))
+        roots = rooted(edges)
+        left = open_pairs.join(tried, ["a", "b"], "left_anti").join(roots.toDF("a", "ra"), "a").join(roots.toDF("b", "rb"), "b")
+        open_pairs = saved(left.where("ra != rb").select("a", "b"), "open-pairs")
+        shares *= 2
+    return rows.select("doc_id", "_h", "fp"), roots
+
+
+def deduplicated(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:
+    """One document of each group of near copies, with all its columns: that with the smallest doc_id (null only where there is no other) and, of several texts with that id, hash.
+
+    Groups are those of `near_roots`. Null texts and texts without words are copies of each other; texts of fewer words than `width` are copies where all their words are
+    equal. Repeated rows stay once. Long texts are read whole. An empty table gives no rows; columns beside doc_id and text only travel, whatever their names.
+    """
+    rows, roots = near_roots(docs, width, least)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_h")).alias("w")
-    group = F.coalesce("component_id", "fp")
-    winners = saved(rows.groupBy(F.col("component_id").isNull(), group).agg(first).select("w.doc_id", "w._h"), "winners")
+    winners = saved(rows.join(roots, "fp").groupBy("root").agg(first).select("w.doc_id", "w._h"), "winners")
     whole = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("_h"))
     stay = whole.join(
         winners.toDF("_id", "_wh"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_wh")), "left_semi"

@@ -1,0 +1,82 @@
+"""Near copies at a similarity of 0.8 on five words: the stage against plain Python, with planted copies of many degrees."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from changelake.llm import simhash
+from tests.llm import brute
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def altered(words, rnd, n, vocabulary):
+    out = list(words)
+    for at in rnd.sample(range(len(out)), n):
+        out[at] = rnd.choice(vocabulary)
+    return out
+
+
+@pytest.fixture(scope="module")
+def planted():
+    """(doc_id, text): originals of 60 to 600 words, copies with some words replaced, texts that share a long passage with others."""
+    rnd = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    notice = rnd.choices(vocabulary, k=60)
+    rows = []
+    for _ in range(150):
+        words = rnd.choices(vocabulary, k=rnd.randrange(60, 600))
+        rows.append(words)
+        for share in rnd.sample((0.002, 0.005, 0.01, 0.015, 0.02, 0.03, 0.06, 0.15), 2):
+            rows.append(altered(words, rnd, max(1, int(share * len(words))), vocabulary))
+    rows += [notice + rnd.choices(vocabulary, k=rnd.randrange(40, 90)) for _ in range(130)]
+    rnd.shuffle(rows)
+    return [(i, " ".join(w)) for i, w in enumerate(rows)]
+
+
+def test_recall_and_precision(spark, planted):
+    """All links that plain Python finds among all pairs, and none else: groups are made of verified links."""
+    df = spark.createDataFrame(planted, "doc_id long, text string")
+    rows, roots = simhash.near_roots(df.repartition(4))
+    got = {r.doc_id: r.root for r in rows.join(roots, "fp").collect()}
+    assert len(got) == len(planted)
+    alike = [
+        (a, b) for k, (b, y) in enumerate(planted) for a, x in planted[:k]
+        if set(x.split()[::7]) & set(y.split()) and brute.shingle_similarity(x, y) >= 0.8
+    ]
+    assert len(alike) > 150
+    found = sum(got[a] == got[b] for a, b in alike)
+    assert found >= 0.97 * len(alike)
+    assert sum(got[a] == got[b] for a, b in alike if brute.shingle_similarity(planted[a][1], planted[b][1]) < 0.9) >= 20
+    whole = brute.components([d for d, _ in planted], alike)
+    wrong = [(a, b) for a in got for b in got if a < b and got[a] == got[b] and whole[a] != whole[b]]
+    assert not wrong
+
+
+def test_crowd_under_one_key(spark):
+    """Hundreds of texts alike in a passage only, hundreds of copies of one text, each with other words replaced: none of the first go, one of the second stays."""
+    rnd = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    first, passage = rnd.choices(vocabulary, k=200), rnd.choices(vocabulary, k=150)
+    texts = [altered(first, rnd, 2, vocabulary) for _ in range(300)] + [passage + rnd.choices(vocabulary, k=60) for _ in range(200)]
+    rows = [(i, " ".join(w), None, "s", 1) for i, w in enumerate(texts)]
+    stay = {r.doc_id for r in simhash.deduplicated(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert stay == {0, *range(300, 500)}
+
+
+def test_odd_rows(spark):
+    """Nulls, ties, repeats, short and very long texts, columns with names of the operator's own."""
+    long = " ".join(f"x{i}" for i in range(40_000))
+    words = [f"y{i}" for i in range(100)]
+    near = [" ".join(words), " ".join([*words[:-1], "z"]), " ".join(["z", *words[:-2], "z"])]
+    rows = [(None, near[0]), (None, near[1]), (None, near[2]), (7, None), (8, ""), (9, " \t\n"), (1, "one two"), (2, "One  two"), (3, "one two three")]
+    rows += [(20, long), (20, long), (21, long + " end"), (None, long), (4, "tie"), (4, "tie"), (4, "other")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    names = ("fp", "root", "key", "keys", "a", "b", "n", "_h", "_id", "row")
+    out = simhash.deduplicated(df.select("*", *(F.lit("mine").alias(c) for c in names)))
+    assert out.columns == ["doc_id", "text", *names]
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert sorted(d for d, _ in got if d is not None) == [1, 3, 4, 4, 7, 20]
+    assert sum(d is None for d, _ in got) == 1 and (7, None) in got and (20, long) in got
+    assert simhash.deduplicated(df.limit(0)).collect() == []
