@@ -574,3 +574,16 @@ CHECKS["q_malformed_values"] = with_(DIRTY) + """
 SELECT 'events' AS table_name, 'cdc-0-0000000000' AS batch_id, 'k' AS column_name, count(*) AS records
 FROM dirty WHERE CASE WHEN json_valid(value) THEN json_extract_string(value, '$.k') END IS NOT NULL
 """
+
+CHECKS["q_schema_versions"] = """
+WITH m AS (SELECT max(o_orderkey) AS m FROM orders),
+placed AS (
+    SELECT orders.*, CASE WHEN o_orderkey <= floor(m / 3) THEN 1 WHEN o_orderkey <= floor(m * 2 / 3) THEN 2 ELSE 3 END AS v FROM orders, m
+)
+SELECT 's1' AS stream_id, CAST(o_orderkey * 2 AS BIGINT) AS seq, CASE WHEN o_orderkey % 5 = 0 THEN 'D' ELSE 'U' END AS msg_type, CAST(v AS BIGINT) AS version,
+    o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+    strftime(CASE WHEN v < 3 THEN date_trunc('day', o_orderdate) ELSE o_orderdate END, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
+    CASE WHEN v < 3 THEN o_orderstatus END AS o_orderstatus,
+    CASE WHEN v > 1 AND o_orderkey % 13 <> 0 THEN o_totalprice END AS o_totalprice
+FROM placed
+"""

@@ -331,3 +331,47 @@ def catalog_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("custkey")
     ).agg(F.bool_and(F.col("o_orderstatus") != "P").alias("full_load_completed"))
     return streams.join(per_customer, "custkey").select("stream_id", "full_load_completed")
+
+
+def versioned_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders as row changes at place 2n for order n, and the announcements of their table, which changes twice.
+
+    From a third of the keys on a price is there and the key is wider; from two thirds on the date has a time, the customer is text and the status is
+    gone. In between the second announcement comes again. Every 13th price is malformed, every fifth change a DELETE.
+    """
+    orders, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    last = F.max("o_orderkey")
+    text = {
+        "o_orderkey": key.cast("string"),
+        "o_custkey": F.col("o_custkey").cast("string"),
+        "o_totalprice": F.when(key % 13 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string")),
+        "o_orderstatus": F.col("o_orderstatus"),
+    }
+    day, time = F.date_format("o_orderdate", "yyyy-MM-dd"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    first = [("o_orderkey", "int4"), ("o_custkey", "int4"), ("o_orderdate", "date"), ("o_orderstatus", "text")]
+    second = [("o_orderkey", "bigint"), ("o_custkey", "int4"), ("o_totalprice", "double precision"), ("o_orderdate", "date"), ("o_orderstatus", "text")]
+    third = [("o_orderkey", "bigint"), ("o_orderdate", "timestamp"), ("o_custkey", "varchar"), ("o_totalprice", "double precision")]
+
+    def values(version: list[tuple[str, str]], date: Column) -> Column:
+        items = [(text | {"o_orderdate": date})[name] for name, _ in version]
+        return F.array(*[F.struct(F.lit("t").alias("kind"), i.alias("text")) for i in items])
+
+    m = orders.agg(last).scalar()
+    row = F.when(key <= F.floor(m / 3), values(first, day)).when(key <= F.floor(m * 2 / 3), values(second, day)).otherwise(values(third, time))
+    kind = F.when(key % 5 == 0, "D").otherwise("U")
+    changes = orders.select(
+        F.lit("s1").alias("stream_id"), (key * 2).alias("seq"), kind.alias("msg_type"), F.lit(16384).cast("bigint").alias("rel_oid"),
+        F.when(kind == "D", row).alias("old_tuple"), F.when(kind == "U", row).alias("new_tuple"),
+    )
+    at = [F.lit(-1), F.floor(last / 3) * 2 + 1, F.floor(last / 2) * 2 + 1, F.floor(last * 2 / 3) * 2 + 1]
+    told = F.array(*[
+        F.struct(
+            seq.cast("bigint").alias("seq"), F.array(*[F.lit(n) for n, _ in v]).alias("rel_columns"), F.array(*[F.lit(t) for _, t in v]).alias("rel_types"),
+        )
+        for seq, v in zip(at, (first, second, second, third))
+    ])
+    relations = orders.agg(told.alias("told")).select(
+        F.lit("s1").alias("stream_id"), F.lit(16384).cast("bigint").alias("rel_oid"), F.lit("shop").alias("rel_namespace"), F.lit("orders").alias("rel_table"),
+        F.explode("told").alias("r"),
+    ).select("*", "r.*").drop("r")
+    return changes, relations

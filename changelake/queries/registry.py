@@ -15,6 +15,7 @@ from changelake.operators import changes as chg
 from changelake.operators import progress as prg
 from changelake.operators import records as rec
 from changelake.operators import state as sta
+from changelake.operators import versions as ver
 from changelake.operators.transactions import assemble_transactions, commit_positions, stream_positions
 from changelake.plans.change_log import committed_changes, table_changes
 from changelake.plans.config import Destination, Stream
@@ -818,3 +819,13 @@ def malformed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = ProgressStore(f"{root}/state")
     sync_topic(spark, stream, Destination(base_path=f"{root}/out"), [entry], store, clock=_clock)
     return malformed(spark, store, "events")
+
+
+@query
+def schema_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes, relations = inputs.versioned_orders(spark, sf_dir)
+    versions = ver.relation_versions(relations)
+    # One row per column of one table.
+    columns = ver.merged_columns(versions).filter(F.col("table_name") == "shop.orders").collect()
+    rows = ver.landed(ver.in_force(changes, versions), columns)
+    return rows.withColumns({"version": F.col("version").cast("bigint"), "o_orderdate": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")})
