@@ -253,12 +253,3 @@ def unigram(docs):
     counts = Counter(w for h, t in texts if not h for w in t)
     n, v = sum(counts.values()), len(counts)
     return [(h, len(t), sum(counts[w] > 0 for w in t), n, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in t)) for h, t in texts]
-
-
-def shingle_similarity(a, b, width=5):
-    """Jaccard similarity of the sets of word shingles of two texts."""
-    sets = []
-    for text in (a, b):
-        words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
-        sets.append({tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set())
-    return len(sets[0] & sets[1]) / max(len(sets[0] | sets[1]), 1)
