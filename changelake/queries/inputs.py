@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from changelake.functions.positions import format_lsn
 from changelake.functions.types import Field
 from changelake.operators.changes import MESSAGE_SCHEMA
 from changelake.session import small_frame, use_utc
@@ -221,7 +222,7 @@ def account_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def message(seq: Column, letter: Column | str, **values: Column) -> list[Column]:
         values |= {
-            "stream_id": F.lit("s1"), "seq": seq, "lsn": lsn_text(n), "msg_type": F.lit(letter) if isinstance(letter, str) else letter, "xid": n,
+            "stream_id": F.lit("s1"), "seq": seq, "lsn": account_lsn(n), "msg_type": F.lit(letter) if isinstance(letter, str) else letter, "xid": n,
         }
         return [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in MESSAGE_SCHEMA.fields]
 
@@ -240,6 +241,15 @@ def account_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def account_position(n: Column) -> Column:
+    """Commit position of an account's order. Ascends with the orders, as in any stream; that of `lsn_text` wraps among every 65,536th."""
+    return F.floor(n / 256) * 4294967296 + n % 256 * 65537
+
+
+def account_lsn(n: Column) -> Column:
+    return format_lsn(account_position(n))
+
+
 def lsn_text(key: Column) -> Column:
     low = (key * 65537) % 4294967296
     return F.concat_ws("/", F.hex(F.expr("o_orderkey div 256")), F.hex(low))

@@ -747,16 +747,15 @@ def reconciled_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     note = F.max_by(F.when(F.col("note_kind") == "t", F.col("note")), F.when(F.col("note_kind") != "u", F.col("n")))
     latest = F.max_by(F.struct("op", "id", "status", "price"), "n")
     rows = history.groupBy("customer").agg(latest.alias("r"), note.alias("note")).filter("r.op <> 'D'").select("customer", "r.*", "note")
-    position = lambda n: F.floor(n / 256) * 4294967296 + n * 65537 % 4294967296
-    rows = rows.withColumns({"_low": position(share(-1)), "_high": position(share(1))})
+    rows = rows.withColumns({"_low": inputs.account_position(share(-1)), "_high": inputs.account_position(share(1))})
     rows = _landed(rows, "state-rows")
     marks = rows.select(F.array(F.col("id").cast("string")).alias("_key"), "_low", "_high")
     loaded = sta.snapshot_events(rows, inputs.ACCOUNTS, ["id"], F.lit("s1"), F.col("_low")).join(marks, "_key")
     loaded = _landed(loaded, "state-snapshot")
     events = _account_events(spark, sf_dir)
     kept = sta.reconcile(loaded, events).select("id", F.lit(True).alias("kept"))
-    # The log is applied from the lowest mark on.
-    later = events.filter(F.col("_position") > loaded.agg(F.min("_low")).scalar())
+    # The log is applied from the lowest mark on, that of the first range, whether it held rows or not.
+    later = events.filter(F.col("_position") > inputs.account_position(F.floor(last * 9 / 20)))
     state = sta.current_state(loaded.select(later.columns).unionByName(later), inputs.ACCOUNTS)
     of_log = F.when(F.col("_seq") < sta.LAST_SEQ, F.col("_seq"))
     state = _account_rows(state.withColumn("position", of_log), "position")
