@@ -70,13 +70,13 @@ def classify_messages(log: DataFrame) -> DataFrame:
 
 def resolve_relation(
     log: DataFrame, earlier: DataFrame | None = None, width: int = BLOCK_WIDTH, truncates: bool = False,
-    upper_width: int | None = UPPER_WIDTH,
+    upper_width: int | None = UPPER_WIDTH, size: int | None = None,
 ) -> DataFrame:
     """Give each row change the latest relation of its oid seen before it; with `truncates`, each TRUNCATE too.
 
     Adds `table_name` and replaces `rel_columns`. `earlier` holds relation messages of earlier
     batches, in the layout of the log. Relations are carried along the log in blocks, however many
-    there are; a null oid has none.
+    there are; a null oid has none. `size` is the number of messages, counted if it is not given.
     """
     is_relation = F.col("msg_type") == "R"
     relations = log.filter(is_relation)
@@ -95,6 +95,7 @@ def resolve_relation(
         before="_relation",
         width=width,
         upper_width=upper_width,
+        size=size,
     )
 
     known_name = F.concat_ws(".", "_relation.rel_namespace", "_relation.rel_table")

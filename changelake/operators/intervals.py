@@ -41,12 +41,13 @@ def merged(intervals: DataFrame, keys: list[str], width: int = BLOCK_WIDTH) -> D
 
 
 def outside(
-    rows: DataFrame, intervals: DataFrame, keys: list[str], order: str, width: int = BLOCK_WIDTH, upper_width: int | None = UPPER_WIDTH
+    rows: DataFrame, intervals: DataFrame, keys: list[str], order: str, width: int = BLOCK_WIDTH, upper_width: int | None = UPPER_WIDTH,
+    size: int | None = None,
 ) -> DataFrame:
     """The rows whose place is in none of the intervals."""
     placed = rows.withColumns({"_at": 2 * F.col(order) + 1, "_ends": F.lit(None).cast("bigint"), "_is_row": F.lit(True)})
     starts = intervals.select(*keys, (2 * F.col("seq_from")).alias("_at"), F.col("seq_to").alias("_ends"))
-    found = carried_forward(placed.unionByName(starts, allowMissingColumns=True), keys, "_at", {"_upto": F.col("_ends")}, width, upper_width)
+    found = carried_forward(placed.unionByName(starts, allowMissingColumns=True), keys, "_at", {"_upto": F.col("_ends")}, width, upper_width, size)
     return found.filter(F.col("_is_row") & (F.col("_upto").isNull() | (F.col("_upto") < F.col(order)))).select(rows.columns)
 
 

@@ -189,10 +189,11 @@ def fill_unchanged(events: DataFrame, fields: list[Field], width: int = BLOCK_WI
     them, are returned as they are.
     """
     names = [f.name for f in fields]
+    size = events.count()
     events = moved_values(events, fields, width)
     marks = {f"_m{i}": F.when(_carries(n), F.struct(F.col(f"`{n}`").alias("value"))) for i, n in enumerate(names)}
     events = events.withColumn("_order", F.when(F.col("_op") == "S", F.lit(-1).cast("bigint")).otherwise(F.col("_seq")))
-    rows = carried_forward(events, ["_key"], "_order", marks, width)
+    rows = carried_forward(events, ["_key"], "_order", marks, width, size=size)
     missing = lambda n: F.coalesce(F.array_contains("_unchanged", n), F.lit(False))
     columns = [F.when(missing(n), F.col(f"_m{i}.value")).otherwise(F.col(f"`{n}`")).alias(n) for i, n in enumerate(names)]
     still = F.array_compact(F.array(*[F.when(missing(n) & F.col(f"_m{i}").isNull(), n) for i, n in enumerate(names)]))

@@ -11,7 +11,7 @@ from changelake.operators.ordered import BLOCK_WIDTH, nearest_markers
 
 
 def assemble_transactions(
-    log: DataFrame, changes: DataFrame | None = None, width: int = BLOCK_WIDTH
+    log: DataFrame, changes: DataFrame | None = None, width: int = BLOCK_WIDTH, size: int | None = None
 ) -> DataFrame:
     """Row changes of committed transactions, with the transaction they belong to.
 
@@ -20,7 +20,7 @@ def assemble_transactions(
     transaction was started over. Adds `tx_xid`, `commit_seq` and `commit_lsn`.
 
     `changes` may hold the row changes of the log already resolved and filtered, so that only
-    those are shuffled; otherwise they are taken from the log.
+    those are shuffled; otherwise they are taken from the log. `size` is the number of messages, counted if it is not given.
     """
     if changes is None:
         changes = log.filter(is_change())
@@ -34,6 +34,7 @@ def assemble_transactions(
         before="_begin",
         after="_commit",
         width=width,
+        size=log.count() if size is None else size,
     )
     return placed.filter(
         (F.col("_begin.msg_type") == "B") & (F.col("_commit.msg_type") == "C")

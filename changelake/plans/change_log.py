@@ -27,8 +27,9 @@ def committed_changes(
     Naming the tables and dropping what is not wanted needs no shuffle, so it comes before the
     transactions, which need one.
     """
-    wanted = target_filter(resolve_relation(log, earlier, width, truncates), targets)
-    committed = assemble_transactions(log, wanted, width)
+    size = log.count()
+    wanted = target_filter(resolve_relation(log, earlier, width, truncates, size=size), targets)
+    committed = assemble_transactions(log, wanted, width, size)
     return add_cdc_metadata(committed, change_operation(), ingest_ts)
 
 

@@ -130,11 +130,11 @@ class _State:
                     folders.remove(spark, f"{self.root}/{at}/batch={old}")
 
 
-def _placed(rows: DataFrame, markers: DataFrame, upper_width: int | None) -> DataFrame:
+def _placed(rows: DataFrame, markers: DataFrame, upper_width: int | None, size: int) -> DataFrame:
     """Add the nearest BEGIN or COMMIT on either side."""
     return nearest_markers(
         rows, markers, ["stream_id"], "seq", value=F.struct("msg_type", "xid", "seq", "lsn"),
-        before="_begin", after="_commit", upper_width=upper_width,
+        before="_begin", after="_commit", upper_width=upper_width, size=size,
     )
 
 
@@ -206,6 +206,7 @@ def change_cdc(
             for r in batch.groupBy("stream_id").agg(
                 F.min("seq").alias("first"),
                 F.max("seq").alias("last"),
+                F.count(F.lit(1)).alias("messages"),
                 F.count(F.when(kind == "C", 1)).alias("commits"),
                 F.count(F.when(kind == "B", 1)).alias("begins"),
                 F.count(F.when(kind == "R", 1)).alias("relations"),
@@ -235,8 +236,10 @@ def change_cdc(
         waiting, rows = rows.filter(~F.col("stream_id").isin(closing)), rows.filter(F.col("stream_id").isin(closing))
         taken_up = {s: held_from[s] for s in closing if s in held_from}
         earlier = state.held(spark, taken_up, number) if taken_up else None
+        size = sum(r.messages for r in heads.values())
         if earlier is not None:
             rows = rows.unionByName(earlier.select(rows.columns))
+            size += earlier.count()
         if earlier is not None or late:
             rows = rows.dropDuplicates(["stream_id", "seq"])
         markers = rows.filter(kind.isin("B", "C"))
@@ -245,13 +248,13 @@ def change_cdc(
             # Something came at or before the last commit: what was applied before is left out, and what wasn't finds its
             # transaction among those that were.
             applied = applied.filter(F.col("stream_id").isin(late))
-            rows = state.step(outside(rows, applied, ["stream_id"], "seq", upper_width=upper), "rows", number)
+            rows = state.step(outside(rows, applied, ["stream_id"], "seq", upper_width=upper, size=size), "rows", number)
             borders = border_marks(applied, ["stream_id"])
             markers = rows.filter(kind.isin("B", "C")).select(borders.columns).unionByName(borders)
         # A table that was not announced yet may be announced by a file that is still to come.
-        named = resolve_relation(rows, known, truncates=True, upper_width=upper).unionByName(rows.filter(kind.isin("B", "C")), allowMissingColumns=True)
+        named = resolve_relation(rows, known, truncates=True, upper_width=upper, size=size).unionByName(rows.filter(kind.isin("B", "C")), allowMissingColumns=True)
         named = state.step(named, "named", number)
-        placed = _placed(named, markers.select("stream_id", "seq", "lsn", "msg_type", "xid"), upper).persist()
+        placed = _placed(named, markers.select("stream_id", "seq", "lsn", "msg_type", "xid"), upper, size).persist()
         cached.append(placed)
         shown = placed.groupBy("stream_id").agg(F.max(_final_lsn()).alias("final_lsn")).where("final_lsn").collect()
         final_lsn = sorted({r.stream_id for r in shown} | {s for s, r in old.items() if r.final_lsn})

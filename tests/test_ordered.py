@@ -1,11 +1,13 @@
 """Block-wise ordered work against plain loops."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from changelake.operators.ordered import nearest_markers, row_numbers
+from changelake.operators import ordered
+from changelake.operators.ordered import carried_forward, nearest_markers, row_numbers
 
 
 def stream(seed, size=400, span=3000):
@@ -54,3 +56,35 @@ def test_row_numbers(spark, width):
         for n, seq in enumerate(sorted(s for k, s, _ in rows if k == key), 1):
             want[key, seq] = n
     assert got == want
+
+
+def test_null_keys_are_a_key(spark):
+    df = spark.createDataFrame([(None, n, n % 3 == 0) for n in range(40)] + [("a", 100, False)], "k string, seq bigint, m boolean")
+    got = nearest_markers(df.filter("not m"), df.filter("m"), ["k"], "seq", F.struct("seq"), "b", "a", width=4)
+    found = {(r.k, r.seq): (r.b and r.b.seq, r.a and r.a.seq) for r in got.collect()}
+    want = {(None, n): (n // 3 * 3, n // 3 * 3 + 3 if n < 39 else None) for n in range(40) if n % 3}
+    assert found == want | {("a", 100): (None, None)}
+
+
+@pytest.mark.parametrize("rows", [1, 100])
+def test_partitions_hold_bounded_numbers_of_rows(spark, monkeypatch, rows):
+    """However many rows there are, a partition holds no more, and rows are shuffled and sorted no more often than that needs."""
+    monkeypatch.setattr(ordered, "ROWS_OF_PART", 10)
+    n = rows * 10 * spark.sparkContext.defaultParallelism
+    df = spark.range(n).select(F.lit("s").alias("k"), F.col("id").alias("seq"), (F.col("id") % 3 == 0).alias("m"))
+    got = nearest_markers(df.filter("not m"), df.filter("m"), ["k"], "seq", F.struct("seq"), "b", "a", width=2)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert ("REPARTITION_BY_NUM" in text) == (rows > 1)
+    # Rows are not shuffled again for the join with what crosses the borders.
+    again = [line for line in text.splitlines() if "Exchange hashpartitioning(coalesce(" in line]
+    assert all("_upper" in line for line in again)
+    if rows > 1:
+        held = df.count() / int(re.search(r"hashpartitioning\(_place#\d+, (\d+)\), REPARTITION_BY_NUM", text)[1])
+        assert held <= 10
+
+
+def test_carried_forward(spark):
+    df = spark.range(1000).select(F.lit("s").alias("k"), F.col("id").alias("seq"), F.when(F.col("id") % 7 == 0, F.col("id")).alias("v"))
+    got = carried_forward(df, ["k"], "seq", {"c": F.col("v")}, width=16)
+    assert got.columns == ["k", "seq", "v", "c"]
+    assert [(r.seq, r.c) for r in got.orderBy("seq").collect()] == [(n, n // 7 * 7) for n in range(1000)]
