@@ -41,6 +41,9 @@ QUERIES = {}
 # Width of the key ranges of `orders` and `lineitem` in the snapshot queries.
 ORDER_RANGE = 5000
 
+# Messages of a landed file, about.
+FILE_MESSAGES = 262_144
+
 ORDERS_A = [Field("o_orderkey", "INT64"), Field("o_custkey", "INT64"), Field("o_orderstatus")]
 
 
@@ -505,6 +508,11 @@ def _clock():
     return inputs.INGEST_TS
 
 
+def _files(log: DataFrame, least: int) -> int:
+    """How many files messages land in, so that none holds more than about FILE_MESSAGES."""
+    return max(least, -(-log.count() // FILE_MESSAGES))
+
+
 @query
 def append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A snapshot appended to a dated folder in bounded files, read back."""
@@ -564,9 +572,9 @@ def table_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table job: load `orders`, then stream landed changes of it."""
     orders = inputs.table(spark, sf_dir, "orders")
     root = shared_folder(spark, "table-sync")
-    # Eight files that land in no order.
+    # Eight files, or as many as keep each small, that land in no order.
     log = inputs.changes(spark, sf_dir)
-    log.repartition(8, F.expr("seq div 1024")).write.parquet(f"{root}/messages")
+    log.repartition(_files(log, 8), F.expr("seq div 1024")).write.parquet(f"{root}/messages")
     path = f"{sf_dir}/orders.parquet"
     source = FileTables({"shop.orders_a": path}, {"shop.orders_a": "o_orderkey"})
     destination = Destination(base_path=f"{root}/out")
@@ -657,7 +665,7 @@ def route_late_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Parts that cut transactions: the second has the row changes alone.
     part = F.when(~F.col("msg_type").isin("B", "C", "R"), 2).when(F.col("seq") % 8 < 4, 1).otherwise(3)
     part = F.when(F.col("msg_type") == "R", 1).otherwise(part)
-    files = 4
+    files = _files(log, 4)
     for n in (3, 2, 1):
         log.filter(part == n).repartition(files, F.expr("seq div 1024")).write.mode("append").parquet(f"{root}/messages")
     destination = Destination(base_path=f"{root}/out")
