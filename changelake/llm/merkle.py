@@ -191,16 +191,16 @@ def digest(docs: DataFrame) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified.
 
     Rows whose id's crc32 divides by 5 are tampered with: A-Z of their text are lower-cased before the check; a null id is none of these. A text without A-Z stays what it was and is
-    verified. Null values of any column count as `-`, empty ones as `0:`. Repeated rows are leaves each, in places next to each other. Texts are read whole,
-    once. Other columns are not read. An empty table gives no rows.
+    verified. Every row is folded up its path, tampered with or not. Null values of any column count as `-`, empty ones as `0:`. Repeated rows are leaves each, in places next to each
+    other. Texts are read whole, once. Other columns are not read. An empty table gives no rows.
     """
     mark = F.coalesce(F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), 5) == 0), F.lit(False))
     fields = [F.col(c) for c in FIELDS]
-    changed = F.when(mark & (ascii_lower(F.col("text")) != F.col("text")), leaf([*fields[:-1], ascii_lower(F.col("text"))]))
+    changed = F.when(mark, leaf([*fields[:-1], ascii_lower(F.col("text"))]))
     leaves = saved(docs.select("source", "doc_id", leaf(fields).alias("leaf"), changed.alias("changed")), "merkle-leaves")
     found = proofs(leaves)
     siblings = F.array_join(F.transform("path", lambda p: F.concat(p["before"], p["after"])), "")
-    found = found.withColumn("folded_root", F.when(F.col("changed").isNotNull(), folded(F.col("changed"), F.col("path"))).otherwise(F.col("root")))
+    found = found.withColumn("folded_root", folded(F.coalesce("changed", "leaf"), F.col("path")))
     return found.select(
         "doc_id", "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
     )

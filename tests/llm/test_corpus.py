@@ -51,6 +51,20 @@ def test_proofs_hold_for_other_rows(spark):
     assert sorted((r.source, r.idx) for r in got) == sorted((f"s{i % 3}", i // 3) for i in range(50))
 
 
+def test_every_row_is_folded(spark, monkeypatch):
+    """A wrong sibling shows in rows that nobody tampered with, and in texts that lower-casing leaves as they are."""
+    right = merkle.proofs
+
+    def wrong(leaves):
+        return right(leaves).withColumn("path", F.transform("path", lambda p: F.struct(F.concat(F.lit("0"), p["before"]).alias("before"), p["after"].alias("after"))))
+
+    df = spark.createDataFrame([(i, "low", "en", f"s{i % 2}", 1) for i in range(40)], SCHEMA)
+    assert all(r.verified for r in merkle.digest(df).collect())
+    monkeypatch.setattr(merkle, "proofs", wrong)
+    found = merkle.digest(df).collect()
+    assert len(found) == 40 and not any(r.verified or r.folded_root == r.root for r in found)
+
+
 @pytest.mark.parametrize("most", [3, 70_000])
 def test_totals(spark, most):
     rnd = random.Random(most)
