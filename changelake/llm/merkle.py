@@ -139,14 +139,18 @@ def _spread(runs: DataFrame, above: DataFrame) -> DataFrame:
     return nodes.withColumn("path", path).withColumn("idx", F.col("run") * FAN + F.col("_i")).withColumn("row", F.col("_node.row")).drop("run", "_lone", "_i", "_node")
 
 
-def _nodes_with_paths(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
-    """The nodes of the lowest level with their paths to the top; `tops` has (tree, path, others), and the others are handed down."""
-    above = None
-    for runs in reversed(levels):
-        own = runs.where(_lone()).select("tree", "run").join(tops, "tree")
+def _nodes_with_paths(levels: list[DataFrame], tops: DataFrame, name: str) -> DataFrame:
+    """The nodes of the lowest level with their paths to the top; `tops` has (tree, path, others), and the others are handed down.
+
+    What a level hands down is written: the plan of one level is all that the driver holds, however many there are.
+    """
+    tops, above = saved(tops, f"{name}-tops"), None
+    for level in reversed(range(len(levels))):
+        own = levels[level].where(_lone()).select("tree", "run").join(tops, "tree")
         above = own if above is None else above.unionByName(own)
-        nodes = _spread(runs, above)
-        above = nodes.drop("row").withColumnRenamed("idx", "run")
+        nodes = _spread(levels[level], above)
+        if level:
+            above = saved(nodes.drop("row").withColumnRenamed("idx", "run"), f"{name}-paths-{level}")
     return nodes
 
 
@@ -176,8 +180,8 @@ def proofs(leaves: DataFrame) -> DataFrame:
     subroots = _numbered(_tops(levels), "tree")
     sources = _levels(subroots.select(F.lit("").alias("tree"), "idx", F.struct("digest", F.col("tree").alias("src")).alias("row")), "merkle-tops")
     root = _tops(sources).select("tree", F.array().cast(_PATH).alias("path"), F.col("digest").alias("root"))
-    tops = _nodes_with_paths(sources, root).select(F.col("row.src").alias("tree"), "path", F.col("row.digest").alias("subroot"), "root")
-    out = _nodes_with_paths(levels, tops)
+    tops = _nodes_with_paths(sources, root, "merkle-tops").select(F.col("row.src").alias("tree"), "path", F.col("row.digest").alias("subroot"), "root")
+    out = _nodes_with_paths(levels, tops, "merkle-leaves")
     name = F.when(F.col("tree") != "", F.substring("tree", 2, 1 << 30))
     return out.select(name.alias("source"), "idx", *(F.col("row")[c].alias(c) for c in rest), "path", "subroot", "root")
 

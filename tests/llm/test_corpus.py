@@ -65,6 +65,16 @@ def test_every_row_is_folded(spark, monkeypatch):
     assert len(found) == 40 and not any(r.verified or r.folded_root == r.root for r in found)
 
 
+def test_plan_does_not_grow_with_levels(spark):
+    """The driver plans one level at a time: more levels, or levels of sources, make no larger plan."""
+
+    def joins(n, sources):
+        rows = spark.range(n).select(F.col("id").alias("doc_id"), F.format_string("s%03d", F.col("id") % sources).alias("source"), *(F.lit(None).cast(t).alias(c) for c, t in (("text", "string"), ("lang", "string"), ("n_chars", "long"))))
+        return merkle.digest(rows)._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+
+    assert joins(5000, 1) == joins(20, 1) == joins(600, 20) <= 3
+
+
 @pytest.mark.parametrize("most", [3, 70_000])
 def test_totals(spark, most):
     rnd = random.Random(most)
