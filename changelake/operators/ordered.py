@@ -163,25 +163,34 @@ def nearest_markers(
 def row_numbers(
     df: DataFrame, keys: list[str], order: str, name: str, width: int = BLOCK_WIDTH
 ) -> DataFrame:
-    """Number the rows of each key from 1 in the order of a unique integer column."""
-    rows = df.withColumn("_block", _block(order, width))
-    place = keys + ["_block"]
-    upper = keys + ["_upper"]
-    blocks = rows.groupBy(place).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_upper", _block("_block", UPPER_WIDTH))
+    """Number the rows of each key from 1 in the order of a unique integer column.
+
+    Blocks of blocks are made only where the order values spread that far, which is asked first. A null key is a key.
+    """
+    ends = df.agg(F.min(order).alias("first"), F.max(order).alias("last")).first()
+    wide = ends.first is not None and ends.last // width - ends.first // width >= UPPER_WIDTH
+    rows = df.withColumn("_place", F.struct(_block(order, width).alias("_block"), *keys))
+    blocks = rows.groupBy("_place").agg(F.count(F.lit(1)).alias("_rows")).select("_place.*", "_rows")
 
     def before(n: str, over: list[str], by: str) -> Column:
         earlier = Window.partitionBy(over).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(n).over(earlier), F.lit(0))
 
-    uppers = blocks.groupBy(upper).agg(F.sum("_rows").alias("_rows"))
-    uppers = uppers.select(*upper, before("_rows", keys, "_upper").alias("_above"))
-    starts = blocks.withColumn("_start", before("_rows", upper, "_block")).join(uppers, upper)
-    starts = starts.select(*place, (F.col("_start") + F.col("_above")).alias("_start"))
-    inside = Window.partitionBy(place).orderBy(order)
+    if wide:
+        upper = keys + ["_upper"]
+        blocks = blocks.withColumn("_upper", _block("_block", UPPER_WIDTH))
+        uppers = blocks.groupBy(upper).agg(F.sum("_rows").alias("_rows"))
+        uppers = uppers.select(*[F.col(c).alias(f"_up_{c}") for c in upper], before("_rows", keys, "_upper").alias("_above"))
+        starts = blocks.withColumn("_start", before("_rows", upper, "_block")).join(uppers, _same(upper, "_up_"))
+        starts = starts.withColumn("_start", F.col("_start") + F.col("_above"))
+    else:
+        starts = blocks.withColumn("_start", before("_rows", keys, "_block"))
+    starts = starts.select(F.struct("_block", *keys).alias("_of_place"), "_start")
+    inside = Window.partitionBy("_place").orderBy(order)
     # The join needs the same partitioning and sort prefix as the window before it.
     return (
         rows.withColumn("_number", F.row_number().over(inside))
-        .join(starts, place)
+        .join(starts, F.col("_place") == F.col("_of_place"))
         .withColumn(name, F.col("_start") + F.col("_number"))
-        .drop("_block", "_start", "_number")
+        .drop("_place", "_of_place", "_start", "_number")
     )

@@ -58,6 +58,17 @@ def test_row_numbers(spark, width):
     assert got == want
 
 
+@pytest.mark.parametrize("upper", [4, 65_536])
+def test_row_numbers_of_null_keys(spark, monkeypatch, upper):
+    """A null key is numbered like any other, with and without blocks of blocks."""
+    monkeypatch.setattr(ordered, "UPPER_WIDTH", upper)
+    rows = [(None if n % 3 else "a", n * n - 50) for n in range(60)] + [(None, 10_000)]
+    df = spark.createDataFrame(rows, "k string, seq bigint")
+    got = {(r.k, r.seq): r.n for r in row_numbers(df, ["k"], "seq", "n", 7).collect()}
+    assert got == {(k, s): sum(o == k and q <= s for o, q in rows) for k, s in rows}
+    assert row_numbers(df.limit(0), ["k"], "seq", "n").isEmpty()
+
+
 def test_null_keys_are_a_key(spark):
     df = spark.createDataFrame([(None, n, n % 3 == 0) for n in range(40)] + [("a", 100, False)], "k string, seq bigint, m boolean")
     got = nearest_markers(df.filter("not m"), df.filter("m"), ["k"], "seq", F.struct("seq"), "b", "a", width=4)
